@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from dataclasses import dataclass
 from itertools import combinations
 from multiprocessing.pool import ThreadPool
 
@@ -22,8 +24,16 @@ def column_pairs(columns: Sequence[str]) -> list[tuple[str, str]]:
     return list(combinations(columns, 2))
 
 
+@dataclass(frozen=True)
+class Points:
+    """Weighted points ready for k-means, and the mean variance of their columns."""
+
+    frame: DataFrame
+    variance: float
+
+
 @contextmanager
-def weighted_points(df: DataFrame, columns: Sequence[str]) -> Iterator[DataFrame]:
+def weighted_points(df: DataFrame, columns: Sequence[str]) -> Iterator[Points]:
     """Distinct points with their row count as ``weight``, held while in use.
 
     k-means on the weighted points has the same centers and cost as on all rows, and every
@@ -32,11 +42,15 @@ def weighted_points(df: DataFrame, columns: Sequence[str]) -> Iterator[DataFrame
     """
     counted = df.select(*columns).dropna().groupBy(*columns).agg(F.count("*").cast("double").alias("weight")).persist()
     try:
-        tasks = max(1, -(-counted.count() // POINTS_PER_TASK))
+        weight = F.col("weight")
+        mean_square = [F.sum(weight * F.col(c) * F.col(c)) / F.sum(weight) for c in columns]
+        mean = [F.sum(weight * F.col(c)) / F.sum(weight) for c in columns]
+        spread = sum((q - m * m for q, m in zip(mean_square, mean)), F.lit(0.0)) / len(columns)
+        distinct, variance = counted.agg(F.count("*"), spread).first()
         points = VectorAssembler(inputCols=list(columns), outputCol="features").transform(counted)
-        held = points.coalesce(tasks).persist()
+        held = points.coalesce(max(1, -(-distinct // POINTS_PER_TASK))).persist()
         try:
-            yield held
+            yield Points(held, variance or 0.0)
         finally:
             held.unpersist()
     finally:
@@ -44,27 +58,34 @@ def weighted_points(df: DataFrame, columns: Sequence[str]) -> Iterator[DataFrame
 
 
 def best_kmeans(
-    points: DataFrame,
+    points: Points,
     ks: Sequence[int],
     starts: int = 10,
     max_iter: int = 100,
+    tolerance: float = 1e-4,
     seed: int = 1,
     parallelism: int = 8,
 ) -> dict[int, tuple[KMeansModel, float]]:
     """Per number of clusters, the model with the lowest cost of ``starts`` runs, and that cost.
 
-    ``points`` comes from ``weighted_points``.
+    A run stops after ``max_iter`` passes, or when the squared moves of all centers together
+    are at most ``tolerance`` of the columns' mean variance.
     """
 
     def run(setting: tuple[int, int]) -> tuple[int, float, int, KMeansModel]:
         k, start = setting
-        kmeans = KMeans(k=k, maxIter=max_iter, seed=seed + start, featuresCol="features", weightCol="weight")
-        model = kmeans.fit(points)
+        # the stop rule of Spark is on the move of each single center
+        move = math.sqrt(max(tolerance * points.variance, 0.0) / k)
+        kmeans = KMeans(
+            k=k, maxIter=max_iter, tol=move, seed=seed + start, featuresCol="features", weightCol="weight",
+            solver="block",
+        )
+        model = kmeans.fit(points.frame)
         return k, model.summary.trainingCost, start, model
 
     settings = [(k, start) for k in ks for start in range(starts)]
     with ThreadPool(max(1, min(parallelism, len(settings)))) as pool:
-        runs = pool.map(inheritable_thread_target(points.sparkSession)(run), settings, chunksize=1)
+        runs = pool.map(inheritable_thread_target(points.frame.sparkSession)(run), settings, chunksize=1)
     best = {k: min((r for r in runs if r[0] == k), key=lambda r: r[1:3]) for k in ks}
     return {k: (model, cost) for k, (_, cost, _, model) in best.items()}
 
@@ -110,7 +131,7 @@ def report(
         with weighted_points(df, (x, y)) as points:
             model, cost = best_kmeans(points, [k], starts, parallelism=parallelism)[k]
             cluster = F.col("prediction").alias("cluster")
-            sizes = model.transform(points).groupBy(cluster).agg(F.sum("weight").cast("long").alias("counts")).collect()
+            sizes = model.transform(points.frame).groupBy(cluster).agg(F.sum("weight").cast("long").alias("counts")).collect()
         half = max(box[x]["spread"] + 1, box[y]["spread"] + 1) / 2
         limits = [box[c]["mean"] + s * half for c in (x, y) for s in (-1, 1)]
         centers = [[float(v) for v in center] for center in model.clusterCenters()]

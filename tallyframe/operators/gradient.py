@@ -68,7 +68,7 @@ def descend(
     done = 0
     try:
         for t in range(1, iterations + 1):
-            batch = rows if fraction >= 1.0 else rows.sample(fraction, seed=seed + t)
+            batch = rows if fraction >= 1.0 else rows.sample(fraction=fraction, seed=seed + t)
             pull = batch.withColumn("_slope", slope(_margin(features, weights), F.col(label)))
             sums = pull.agg(F.count("*"), *[F.sum(F.col("_slope") * F.col(f)) for f in features]).first()
             if not sums[0]:

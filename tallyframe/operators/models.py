@@ -35,8 +35,8 @@ def logistic_classifier(features: str = "scaled", **more) -> LogisticRegression:
     return LogisticRegression(labelCol="label", featuresCol=features, **more)
 
 
-def svm_classifier(features: str = "scaled", **more) -> LinearSVC:
-    return LinearSVC(labelCol="label", featuresCol=features, **more)
+def svm_classifier(features: str = "scaled", iterations: int = 25, **more) -> LinearSVC:
+    return LinearSVC(labelCol="label", featuresCol=features, maxIter=iterations, **more)
 
 
 def bayes_classifier(smoothing: float = 60.0, features: str = "scaled") -> NaiveBayes:

@@ -34,7 +34,7 @@ def cut_points(
         return []
     keys = df.select(*order)
     fraction = min(1.0, SAMPLE_PER_RANGE * ranges / rows)
-    drawn = sorted(tuple(r) for r in keys.sample(fraction, seed=7).dropna().collect())
+    drawn = sorted(tuple(r) for r in keys.sample(fraction=fraction, seed=7).dropna().collect())
     step = len(drawn) / ranges
     return sorted({drawn[int(i * step)] for i in range(1, ranges)}) if drawn else []
 

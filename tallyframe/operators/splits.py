@@ -29,7 +29,7 @@ def hash_split(df: DataFrame, keys: Sequence[str], parts: Mapping[str, int], nam
 
 def random_split(df: DataFrame, weights: Sequence[float], seed: int | None = None) -> list[DataFrame]:
     """Spark's own split; with a seed it repeats only while the partitioning stays the same."""
-    return df.randomSplit(list(weights), seed)
+    return df.randomSplit([float(w) for w in weights], seed)
 
 
 def positional_folds(

@@ -18,7 +18,8 @@ def space_words(column: str | Column) -> Column:
 
 def token_words(column: str | Column) -> Column:
     """Words between runs of space, tab, newline, return and form feed; none is empty."""
-    return F.filter(F.split(column, "[ \\t\\n\\r\\f]+", -1), lambda w: w != "")
+    spaced = F.translate(F.col(column) if isinstance(column, str) else column, "\t\n\r\f", "    ")
+    return F.array_remove(F.split(spaced, " ", -1), "")
 
 
 def word_count(lines: DataFrame, words=space_words, column: str = "value") -> DataFrame:
