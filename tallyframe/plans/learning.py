@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,11 +15,11 @@ from tallyframe.operators import features as V
 from tallyframe.operators import gradient as G
 from tallyframe.operators import models as M
 from tallyframe.operators import tuning as U
-from tallyframe.operators.splits import hash_split
+from tallyframe.operators.splits import hash_split, key_bucket
 from tallyframe.plans import features as P
 from tallyframe.plans.features import SCORED
 from tallyframe.plans.registry import query
-from tallyframe.plans.relational import PAGES
+from tallyframe.plans.relational import HOURS, PAGES
 from tallyframe.plans.splits import bucket_sql
 from tallyframe.plans.tables import HOUR_FEATURES, PAGE_NUMBERS, VECTOR_SIZE, Tables
 from tallyframe.session import staged
@@ -208,7 +209,7 @@ def _bayes(t: Tables):
     pages = clean_pages(t).withColumns({c: clamp_nonnegative(c) for c in PAGE_NUMBERS})
     train, test = two_parts(pages, "url")
     stages = [*V.numeric_stages(PAGE_NUMBERS), V.scaler(with_mean=False)]
-    return M.fit(stages, M.bayes_classifier(60.0), train), test
+    return M.fit(stages, M.bayes_classifier(60.0), train), train, test
 
 
 @query(
@@ -219,7 +220,7 @@ def _bayes(t: Tables):
     ),
 )
 def cls_naive_bayes_params(t: Tables) -> DataFrame:
-    model, test = _bayes(t)
+    model, _, test = _bayes(t)
     rows = M.bayes_parameters(model.stages[-1], PAGE_NUMBERS, test)
     return rows.withColumns({"pi": F.round("pi", 8), "theta": F.round("theta", 8)})
 
@@ -231,10 +232,104 @@ def cls_naive_bayes_params(t: Tables) -> DataFrame:
           FROM scaled s, params p WHERE NOT train GROUP BY url, s.label""",
 )
 def cls_naive_bayes(t: Tables) -> DataFrame:
-    model, test = _bayes(t)
+    model, _, test = _bayes(t)
     return model.transform(test).select("url", "label", "prediction")
 
 
+@query(
+    "prd_scored_bayes",
+    BAYES_FITTED
+    + f"""SELECT url, prediction, CASE prediction WHEN 0 THEN '{PAGE_KINDS[0]}' WHEN 1 THEN '{PAGE_KINDS[1]}' END AS description
+          FROM (SELECT url, arg_max(p.label, p.pi + {' + '.join(f's.{c} * p.{c}' for c in PAGE_NUMBERS)}) AS prediction
+                FROM scaled s, params p GROUP BY url)""",
+)
+def prd_scored_bayes(t: Tables) -> DataFrame:
+    model, train, test = _bayes(t)
+    pages = train.unionByName(test).drop("label")
+    return M.describe(model.transform(pages), PAGE_KINDS).select("url", "prediction", "description")
+
+
+# One split: hours in the order of their mean count, cut where the variance falls most.
+HOUR_ROOT = (
+    HOURS
+    + """, g AS (SELECT hr, count(*) AS n, sum(cnt) AS s FROM hours GROUP BY hr),
+    o AS (SELECT hr, row_number() OVER w AS place, sum(n) OVER w AS ln, sum(s) OVER w AS ls
+          FROM g WINDOW w AS (ORDER BY s::DOUBLE / n, hr)),
+    t AS (SELECT sum(n) AS n, sum(s) AS s FROM g),
+    b AS (SELECT place AS cut, ls::DOUBLE / ln AS low, (t.s - ls)::DOUBLE / (t.n - ln) AS high FROM o, t WHERE ln < t.n
+          ORDER BY ls::DOUBLE * ls / ln + (t.s - ls)::DOUBLE * (t.s - ls) / (t.n - ln) DESC, place LIMIT 1)
+    SELECT instant, cnt, round(CASE WHEN place <= cut THEN low ELSE high END, 6) AS prediction
+    FROM hours JOIN o USING (hr), b"""
+)
+
+
+def _hour_root(t: Tables, estimator) -> DataFrame:
+    hours = hourly(t)
+    scored = M.fit(V.indexed_stages(["hr"]), estimator, hours).transform(hours)
+    return scored.select("instant", "cnt", F.round("prediction", 6).alias("prediction"))
+
+
+@query("reg_tree_root", HOUR_ROOT)
+def reg_tree_root(t: Tables) -> DataFrame:
+    return _hour_root(t, M.tree_regressor(maxDepth=1))
+
+
+@query("reg_gbt_root", HOUR_ROOT)
+def reg_gbt_root(t: Tables) -> DataFrame:
+    return _hour_root(t, M.boosted_regressor(maxDepth=1, maxIter=1))
+
+
+ROLES = ["assistant", "user", "system"]
+
+
+def _role_root_sql(impurity: str) -> str:
+    """One split on the turn number: the one whose separation lowers the impurity most.
+
+    Spark merges two leaves that predict the same class, so such a split leaves the shares as they are.
+    """
+
+    def mixed(parts: list[str], size: str) -> str:
+        return "(" + " + ".join(impurity.format(p=f"(({part}) / ({size}))") for part in parts) + ")"
+
+    def top(parts: list[str]) -> str:
+        return f"list_position([{', '.join(parts)}], greatest({', '.join(parts)}))"
+
+    inside, all_ = [f"i{k}" for k in range(3)], [f"a{k}" for k in range(3)]
+    outside = [f"a{k} - i{k}" for k in range(3)]
+    counted = ", ".join(f"count(*) FILTER (role = '{r}')::DOUBLE AS i{k}" for k, r in enumerate(ROLES))
+    summed = ", ".join(f"sum(i{k}) AS a{k}" for k in range(3))
+    shares = ", ".join(
+        f"round(CASE WHEN {top(inside)} = {top(outside)} THEN a{k} / a WHEN g.turn = c.turn THEN i{k} / i ELSE (a{k} - i{k}) / (a - i) END, 6) AS p_{r}"
+        for k, r in enumerate(ROLES)
+    )
+    return f"""WITH g AS (SELECT turn, count(*)::DOUBLE AS i, {counted} FROM conversations GROUP BY turn),
+    t AS (SELECT sum(i) AS a, {summed} FROM g),
+    b AS (SELECT * FROM g, t
+          ORDER BY i * {mixed(inside, 'i')} + (a - i) * {mixed(outside, 'a - i')} LIMIT 1)
+    SELECT conv_id, c.turn, role, {shares} FROM conversations c, b g"""
+
+
+def _role_root(t: Tables, impurity: str) -> DataFrame:
+    turns = t("conversations").select(
+        "conv_id", "turn", "role", F.col("turn").cast("string").alias("at"),
+        F.when(role == ROLES[0], 0.0).when(role == ROLES[1], 1.0).when(role == ROLES[2], 2.0).alias("label"),
+    )
+    model = M.fit(V.category_stages("at", []), M.tree_classifier(impurity, depth=1), turns)
+    shares = vector_to_array("probability")
+    each = [F.round(shares[k], 6).alias(f"p_{r}") for k, r in enumerate(ROLES)]
+    return model.transform(turns).select("conv_id", "turn", "role", *each)
+
+
+@query("cls_tree_root_gini", _role_root_sql("(-{p} * {p})"))
+def cls_tree_root_gini(t: Tables) -> DataFrame:
+    return _role_root(t, "gini")
+
+
+@query("cls_tree_root_entropy", _role_root_sql("(CASE WHEN {p} > 0 THEN -{p} * log2({p}) ELSE 0 END)"))
+def cls_tree_root_entropy(t: Tables) -> DataFrame:
+    return _role_root(t, "entropy")
+
+
 @query("tun_train_validation")
 def tun_train_validation(t: Tables) -> DataFrame:
     train, _ = two_parts(clean_pages(t), "url")
@@ -261,6 +356,73 @@ def tun_sweep(t: Tables) -> DataFrame:
     return U.sweep(train, validation, settings, train_one, E.auc_of_classes).trials
 
 
+def _bayes_search_sql(parted: str, train: str, held: str, smoothings: list[float], score: str, average: str) -> str:
+    """Closed-form class parameters per smoothing and round; ``held`` rows are predicted, the others train."""
+    total = " + ".join(f"s.{c}" for c in PAGE_NUMBERS)
+    size = len(PAGE_NUMBERS)
+    thetas = ", ".join(f"ln((s.{c} + lam) / ({total} + lam * {size})) AS {c}" for c in PAGE_NUMBERS)
+    return f"""{PAGES}, parted AS ({parted}),
+    spread AS (SELECT {', '.join(f'stddev_samp({c}) AS s_{c}' for c in PAGE_NUMBERS)} FROM parted WHERE {train}),
+    scaled AS (SELECT url, label, fold, {', '.join(f'{c} / s_{c} AS {c}' for c in PAGE_NUMBERS)} FROM parted, spread),
+    lams AS (SELECT unnest(range({len(smoothings)}))::INT AS trial, unnest({smoothings}::DOUBLE[]) AS lam),
+    rounds AS (SELECT unnest({held}) AS r),
+    sums AS (SELECT r, label, count(*) AS n, {', '.join(f'sum({c}) AS {c}' for c in PAGE_NUMBERS)}
+             FROM scaled, rounds WHERE fold <> r AND fold >= 0 GROUP BY r, label),
+    totals AS (SELECT r, sum(n) AS n, count(*) AS k FROM sums GROUP BY r),
+    params AS (SELECT trial, lam, s.r, s.label, ln((s.n + lam) / (t.n + lam * t.k)) AS pi, {thetas}
+               FROM sums s JOIN totals t ON s.r = t.r, lams),
+    predicted AS (SELECT trial, lam, x.fold, url, x.label,
+                  arg_max(p.label, p.pi + {' + '.join(f'x.{c} * p.{c}' for c in PAGE_NUMBERS)}) AS prediction
+                  FROM scaled x JOIN params p ON x.fold = p.r GROUP BY trial, lam, x.fold, url, x.label),
+    measured AS (SELECT trial, lam, fold, {score} AS metric FROM predicted GROUP BY trial, lam, fold)
+    SELECT trial, 'smoothing=' || lam AS params, round({average}, 9) AS metric FROM measured GROUP BY trial, lam"""
+
+
+def _bayes_pages(t: Tables) -> DataFrame:
+    return clean_pages(t).withColumns({c: clamp_nonnegative(c) for c in PAGE_NUMBERS})
+
+
+@query(
+    "tun_sweep_bayes",
+    _bayes_search_sql(
+        f"SELECT *, CASE WHEN {bucket_sql('url')} < 80 THEN 0 WHEN {bucket_sql('url')} < 90 THEN 1 ELSE -1 END AS fold FROM pages_",
+        "fold = 0",
+        "[1]",
+        U.BAYES_SWEEP["smoothing"],
+        """(avg(CASE WHEN label = 1 THEN (prediction = 1)::INT END)
+            + avg(CASE WHEN label = 0 THEN (prediction = 0)::INT END)) / 2""",
+        "max(metric)",
+    ),
+)
+def tun_sweep_bayes(t: Tables) -> DataFrame:
+    train, validation, _ = three_parts(_bayes_pages(t), "url")
+    prepared = Pipeline(stages=[*V.numeric_stages(PAGE_NUMBERS), V.scaler(with_mean=False)]).fit(train)
+    done = U.sweep(
+        prepared.transform(train),
+        prepared.transform(validation),
+        U.full_grid(U.BAYES_SWEEP),
+        lambda rows, smoothing: M.bayes_classifier(smoothing).fit(rows),
+        E.auc_of_classes,
+    )
+    return done.trials.select("trial", "params", F.round("metric", 9).alias("metric"))
+
+
+@query(
+    "tun_cross_validation_bayes",
+    _bayes_search_sql(
+        f"SELECT *, {bucket_sql('url', 3)} AS fold FROM pages_", "true", "[0, 1, 2]", [1.0, 20.0, 60.0],
+        "avg((prediction = label)::INT)", "avg(metric)",
+    ),
+)
+def tun_cross_validation_bayes(t: Tables) -> DataFrame:
+    pages = _bayes_pages(t).withColumn("fold", key_bucket("url", buckets=3))
+    stages = [*V.numeric_stages(PAGE_NUMBERS), V.scaler(with_mean=False)]
+    trials = U.cross_validation(
+        stages, M.bayes_classifier(), {"smoothing": [1.0, 20.0, 60.0]}, E.accuracy_evaluator(), pages, fold_column="fold"
+    )[1]
+    return trials.withColumn("metric", F.round("metric", 9))
+
+
 @dataclass(frozen=True)
 class Threshold:
     """Predicts 1 above a fixed score."""
