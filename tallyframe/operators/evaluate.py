@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.functions.columns import absolute_error, is_hit
-from tallyframe.operators.ordering import ROWS_PER_RANGE, cut_points, running_sums
+from tallyframe.operators.ordering import ROWS_PER_RANGE, running_sums
 
 
 def accuracy(df: DataFrame, prediction: str = "prediction", label: str = "label") -> DataFrame:
@@ -37,12 +37,12 @@ def auc_of_scores(
     Rows are first counted per distinct score. The counts below a score come from running
     totals over score ranges, so neither a common score nor many scores load one task.
     """
-    cuts = cut_points(df, [score], rows_per_range)
+    rows = df.count()
     one = F.col(label) == 1
     per_score = df.groupBy(score).agg(
         F.count_if(one).cast("double").alias("_pos"), F.count_if(~one).cast("double").alias("_neg")
     )
-    below = running_sums(per_score, [score], {"_upto": F.col("_neg")}, cuts=cuts)
+    below = running_sums(per_score, [score], {"_upto": F.col("_neg")}, rows, rows_per_range)
     ordered = F.sum(F.col("_pos") * (F.col("_upto") - F.col("_neg") / 2))
     pairs = F.sum("_pos") * F.sum("_neg")
     return below.agg(F.try_divide(ordered, pairs).alias("auc"))

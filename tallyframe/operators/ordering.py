@@ -1,9 +1,8 @@
 """Running totals and row positions over a whole table, without one task seeing it all.
 
-The rows are cut into ranges of the order key. The cut points come from a small sorted
-sample and are plain values, so a row's range depends on the row alone and a recomputed
-task puts it where the lost one did. Each range is numbered by a window of its own and
-shifted by the totals of the ranges before it.
+The rows are range-partitioned and sorted by Spark, numbered within their partition, and
+written once to the shared folder, which fixes the numbers for good. The totals of the
+ranges before it, one row per range, then shift each range.
 """
 
 from __future__ import annotations
@@ -12,92 +11,73 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from tallyframe.session import staged
 
 ROWS_PER_RANGE = 500_000
-SAMPLE_PER_RANGE = 30
-MAX_RANGES = 10_000
+MAX_RANGES = 100_000
 
-_RANGE, _SHIFT = "_range", "_shift_"
+_RANGE, _PLACE, _BEFORE = "_range", "_place", "_before_"
 
 
-def cut_points(
-    df: DataFrame, order: Sequence[str], rows_per_range: int = ROWS_PER_RANGE, rows: int | None = None
-) -> list[tuple]:
-    """Order keys that cut ``df`` into ranges of about ``rows_per_range`` rows.
+def ranges_for(rows: int, rows_per_range: int = ROWS_PER_RANGE) -> int:
+    return max(1, min(-(-rows // rows_per_range), MAX_RANGES))
 
-    The driver receives at most ``SAMPLE_PER_RANGE * MAX_RANGES`` keys.
-    """
-    rows = df.count() if rows is None else rows
-    ranges = min(-(-rows // rows_per_range), MAX_RANGES)
-    if ranges <= 1:
-        return []
-    keys = df.select(*order)
-    fraction = min(1.0, SAMPLE_PER_RANGE * ranges / rows)
-    drawn = sorted(tuple(r) for r in keys.sample(fraction=fraction, seed=7).dropna().collect())
-    step = len(drawn) / ranges
-    return sorted({drawn[int(i * step)] for i in range(1, ranges)}) if drawn else []
-
-
-def range_number(df: DataFrame, order: Sequence[str], cuts: Sequence[tuple]) -> Column:
-    """How many cut points are at or below the row's order key, by binary search."""
-    types = [df.schema[c].dataType for c in order]
-    points = F.array(
-        *[F.struct(*[F.lit(v).cast(t).alias(c) for v, t, c in zip(cut, types, order)]) for cut in cuts]
+
+def _ranged(df: DataFrame, order: Sequence[str], ranges: int) -> DataFrame:
+    """``df`` as a stored table in ``ranges`` sorted ranges, with range number and place, from 1, in the range."""
+    sorted_ranges = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    # the id counts the rows of a partition in its lower 33 bits, above them is the partition number
+    numbered = sorted_ranges.withColumn("_id", F.monotonically_increasing_id())
+    placed = numbered.withColumns(
+        {
+            _RANGE: F.shiftright("_id", 33).cast("int"),
+            _PLACE: F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)) + 1,
+        }
     )
-    steps = F.array(*[F.lit(1 << b) for b in reversed(range(len(cuts).bit_length()))])
-    key = F.struct(*order)
+    return staged(placed.drop("_id"), "ranges")
 
-    def advance(found: Column, step: Column) -> Column:
-        ahead = found + step
-        inside = F.least(ahead, F.lit(len(cuts)))
-        return F.when((ahead <= len(cuts)) & (F.element_at(points, inside) <= key), ahead).otherwise(found)
 
-    return F.aggregate(steps, F.lit(0), advance)
+def _shifted(inside: DataFrame, totals: DataFrame, columns: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """Add to the totals within a range those of the ranges before it; at most MAX_RANGES rows are broadcast."""
+    before = Window.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    shifts = totals.select(_RANGE, *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(_BEFORE + n) for n in names])
+    return inside.join(F.broadcast(shifts), _RANGE).select(
+        *columns, *[(F.col(n) + F.col(_BEFORE + n)).alias(n) for n in names]
+    )
 
 
 def running_sums(
-    df: DataFrame,
-    order: Sequence[str],
-    sums: Mapping[str, Column],
-    cuts: Sequence[tuple] | None = None,
-    rows_per_range: int = ROWS_PER_RANGE,
-    rows: int | None = None,
+    df: DataFrame, order: Sequence[str], sums: Mapping[str, Column], rows: int, rows_per_range: int = ROWS_PER_RANGE
 ) -> DataFrame:
     """Add, per entry of ``sums``, its total over all rows up to and including this one.
 
-    ``order`` names columns that together are unique and of number, text or date type.
-    ``df`` is scanned several times: pass a stored table, not a costly plan.
+    ``order`` names columns that together are unique. ``rows`` is the number of rows, or more:
+    it decides how many ranges there are.
     """
-    for c in order:
-        if isinstance(df.schema[c].dataType, (T.TimestampType, T.TimestampNTZType)):
-            raise TypeError(f"order by a number made from {c}, such as its microseconds")
-    if cuts is None:
-        cuts = cut_points(df, order, rows_per_range, rows)
-    if not cuts:
-        # a single range: the size check above found few rows
-        window = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = (Window.unboundedPreceding, Window.currentRow)
+    ranges = ranges_for(rows, rows_per_range)
+    if ranges == 1:
+        # at most rows_per_range rows
+        window = Window.orderBy(*order).rowsBetween(*upto)
         return df.select("*", *[F.sum(v).over(window).alias(n) for n, v in sums.items()])
-    ranged = df.withColumn(_RANGE, range_number(df, order, cuts))
-    totals = ranged.groupBy(_RANGE).agg(*[F.sum(v).alias(_SHIFT + n) for n, v in sums.items()])
-    # one row per range, at most MAX_RANGES
-    before = Window.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
-    shifts = totals.select(
-        _RANGE, *[F.coalesce(F.sum(_SHIFT + n).over(before), F.lit(0)).alias(_SHIFT + n) for n in sums]
-    )
-    window = Window.partitionBy(_RANGE).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranged = _ranged(df, order, ranges)
+    window = Window.partitionBy(_RANGE).orderBy(_PLACE).rowsBetween(*upto)
     inside = ranged.select("*", *[F.sum(v).over(window).alias(n) for n, v in sums.items()])
-    return inside.join(F.broadcast(shifts), _RANGE).select(
-        *df.columns, *[(F.col(n) + F.col(_SHIFT + n)).alias(n) for n in sums]
-    )
+    totals = ranged.groupBy(_RANGE).agg(*[F.sum(v).alias(n) for n, v in sums.items()])
+    return _shifted(inside, totals, df.columns, list(sums))
 
 
 def row_position(
-    df: DataFrame,
-    order: Sequence[str],
-    name: str = "position",
-    rows_per_range: int = ROWS_PER_RANGE,
-    rows: int | None = None,
+    df: DataFrame, order: Sequence[str], rows: int, name: str = "position", rows_per_range: int = ROWS_PER_RANGE
 ) -> DataFrame:
-    """Add the row's place, from 1, in the order of ``order``. ``rows`` saves a count where it is known."""
-    return running_sums(df, order, {name: F.lit(1).cast("long")}, None, rows_per_range, rows)
+    """Add the row's place, from 1, in the order of ``order``, whose columns together are unique.
+
+    One shuffle: the place within a range is known from the sort.
+    """
+    ranges = ranges_for(rows, rows_per_range)
+    if ranges == 1:
+        return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long"))
+    ranged = _ranged(df, order, ranges).withColumnRenamed(_PLACE, name)
+    totals = ranged.groupBy(_RANGE).agg(F.count("*").alias(name))
+    return _shifted(ranged, totals, df.columns, [name])

@@ -27,6 +27,12 @@ def hash_split(df: DataFrame, keys: Sequence[str], parts: Mapping[str, int], nam
     return df.withColumn(name, label)
 
 
+def halves(df: DataFrame, keys: Sequence[str], percent: int) -> tuple[DataFrame, DataFrame]:
+    """``percent`` of the rows by key hash, and the others."""
+    bucket = key_bucket(*keys)
+    return df.filter(bucket < percent), df.filter(bucket >= percent)
+
+
 def random_split(df: DataFrame, weights: Sequence[float], seed: int | None = None) -> list[DataFrame]:
     """Spark's own split; with a seed it repeats only while the partitioning stays the same."""
     return df.randomSplit([float(w) for w in weights], seed)
@@ -38,7 +44,7 @@ def positional_folds(
     """Cut the ordered table into ``folds`` runs of equal length; adds the fold number from 1."""
     rows = df.count()
     size = max(-(-rows // folds), 1)
-    placed = row_position(df, order, "_position", rows_per_range, rows)
+    placed = row_position(df, order, rows, "_position", rows_per_range)
     return placed.withColumn(name, (F.floor((F.col("_position") - 1) / size) + 1).cast("int")).drop("_position")
 
 
@@ -76,8 +82,8 @@ def leave_n_out(
         chosen = staged(chosen, "held-out")
         rows = chosen.count()
         if rows > max_test:
-            placed = row_position(chosen, order, "_place", rows_per_range, rows)
-            chosen = placed.filter(F.col("_place") <= max_test).drop("_place")
+            placed = row_position(chosen, order, rows, "_at", rows_per_range)
+            chosen = placed.filter(F.col("_at") <= max_test).drop("_at")
     key = F.struct(*order)
     spans = chosen.groupBy(user).agg(F.min(key).alias("_first"), F.max(key).alias("_last"))
     inside = F.coalesce(key.between(F.col("_first"), F.col("_last")), F.lit(False))

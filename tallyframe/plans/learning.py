@@ -15,7 +15,7 @@ from tallyframe.operators import features as V
 from tallyframe.operators import gradient as G
 from tallyframe.operators import models as M
 from tallyframe.operators import tuning as U
-from tallyframe.operators.splits import hash_split, key_bucket
+from tallyframe.operators.splits import halves, hash_split, key_bucket
 from tallyframe.plans import features as P
 from tallyframe.plans.features import SCORED
 from tallyframe.plans.registry import query
@@ -30,8 +30,7 @@ VECTOR_FEATURES = [f"f{i}" for i in range(VECTOR_SIZE)]
 
 def two_parts(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """70/30 by key hash."""
-    parted = hash_split(df, [key], {"train": 70, "test": 30})
-    return tuple(parted.filter(F.col("part") == p).drop("part") for p in ("train", "test"))
+    return halves(df, [key], 70)
 
 
 def three_parts(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame, DataFrame]:

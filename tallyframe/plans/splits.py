@@ -73,8 +73,8 @@ def _left_out_sql(start: int, stop: int) -> str:
 
 
 def _left_out(t: Tables, start: int, stop: int, max_test: int = 0) -> DataFrame:
-    placed = t("events").select("event_id", "user_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("at"))
-    return S.leave_n_out(placed, "user_id", ["at", "event_id"], start, stop, max_test).drop("at")
+    events = t("events").select("event_id", "user_id", "ts")
+    return S.leave_n_out(events, "user_id", ["ts", "event_id"], start, stop, max_test).drop("ts")
 
 
 @query("win_leave_n_out_a", _left_out_sql(1, 10))
