@@ -94,10 +94,13 @@ def describe_pages(spark: SparkSession, path: str, model: PipelineModel) -> Data
 
 
 def classify_cover(spark: SparkSession, path: str, estimator=None) -> Trained:
-    """Numeric records into a class from 0; accuracy on the test part."""
+    """Numeric records into a class from 0; accuracy on the test part.
+
+    The records have no key, so the split is at random: copies of a record go to both parts.
+    """
     cover = layouts.load_cover(spark, path)
     features = cover.columns[:-1]
-    train, test = S.halves(cover, cover.columns, 70)
+    train, test = S.random_split(cover, [0.7, 0.3], seed=M.SEED)
     model = M.fit(V.numeric_stages(features), estimator or M.tree_classifier(depth=5, bins=20), train)
     scored = model.transform(test)
     return Trained(model, scored, E.accuracy(scored))
@@ -105,9 +108,10 @@ def classify_cover(spark: SparkSession, path: str, estimator=None) -> Trained:
 
 def predict_rentals(spark: SparkSession, path: str, estimator=None) -> Trained:
     """Hourly features, small-valued ones as categories, into a count; RMSE on the test part."""
-    hours = layouts.load_hourly(spark, path)
-    train, test = S.halves(hours, hours.columns, 70)
-    model = M.fit(V.indexed_stages(hours.columns[:-1]), estimator or M.tree_regressor(), train)
+    hours = layouts.load_hourly(spark, path, key="instant")
+    train, test = S.halves(hours, ["instant"], 70)
+    features = [c for c in hours.columns if c not in ("instant", "cnt")]
+    model = M.fit(V.indexed_stages(features), estimator or M.tree_regressor(), train)
     scored = model.transform(test)
     return Trained(model, scored, E.rmse(scored, label="cnt"))
 

@@ -57,7 +57,7 @@ def load_cover(spark: SparkSession, path: str) -> DataFrame:
     return cast_columns(raw, raw.columns).withColumn("label", shift_label(last)).drop(last)
 
 
-def load_hourly(spark: SparkSession, path: str) -> DataFrame:
-    """Hourly rentals with header; features and the label ``cnt`` as doubles."""
-    raw = read_delimited(spark, path, ",", header=True).drop(*HOURLY_UNUSED)
-    return cast_columns(raw, raw.columns)
+def load_hourly(spark: SparkSession, path: str, key: str | None = None) -> DataFrame:
+    """Hourly rentals with header; features and the label ``cnt`` as doubles, ``key`` kept as text."""
+    raw = read_delimited(spark, path, ",", header=True).drop(*[c for c in HOURLY_UNUSED if c != key])
+    return cast_columns(raw, [c for c in raw.columns if c != key])
