@@ -311,7 +311,7 @@ def _role_root_sql(impurity: str) -> str:
 def _role_root(t: Tables, impurity: str) -> DataFrame:
     turns = t("conversations").select(
         "conv_id", "turn", "role", F.col("turn").cast("string").alias("at"),
-        F.when(role == ROLES[0], 0.0).when(role == ROLES[1], 1.0).when(role == ROLES[2], 2.0).alias("label"),
+        (F.array_position(F.array(*map(F.lit, ROLES)), F.col("role")) - 1).cast("double").alias("label"),
     )
     model = M.fit(V.category_stages("at", []), M.tree_classifier(impurity, depth=1), turns)
     shares = vector_to_array("probability")
