@@ -15,6 +15,9 @@ WEEKDAYS = {0: "一", 1: "二", 2: "三", 3: "四", 4: "五", 5: "六", 6: "日"
 WORKING_DAYS = {0: "非工作日", 1: "工作日"}
 WEATHER = {1: "晴", 2: "阴", 3: "小雨", 4: "大雨"}
 
+# Names of the first cover-type fields in the report.
+COVER_NAMES = {"f0": "海拔", "f1": "方位", "f2": "斜率", "f3": "垂直距离", "f4": "水平距离", "f5": "9点时阴影"}
+
 # What the normalised weather readings were divided by.
 READING_MAXIMA = {"temp": 41.0, "atemp": 50.0, "hum": 100.0, "windspeed": 67.0}
 

@@ -14,7 +14,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.functions.columns import PAGE_KINDS, clamp_nonnegative
+from tallyframe.functions import columns as C
 from tallyframe.operators import evaluate as E
 from tallyframe.operators import features as V
 from tallyframe.operators import gradient as G
@@ -52,13 +52,13 @@ def _numeric(pages: DataFrame) -> list[str]:
 
 
 def classify_pages(spark: SparkSession, path: str, estimator=None) -> Trained:
-    """Category and numbers of labelled pages into a binary classifier; area under ROC on the test part."""
+    """Category and numbers of labelled pages into a binary classifier; area under ROC of its scores on the test part."""
     pages = layouts.load_pages(spark, path)
     train, test = S.halves(pages, ["url"], 70)
     stages = V.category_stages("alchemy_category", _numeric(pages))
     model = M.fit(stages, estimator or M.tree_classifier(), train)
     scored = model.transform(test)
-    return Trained(model, scored, E.auc_of_classes(scored))
+    return Trained(model, scored, E.auc_of_model(scored))
 
 
 def classify_pages_linearly(spark: SparkSession, path: str, train_model=G.logistic_sgd, **setting) -> Trained:
@@ -80,7 +80,7 @@ def _standardised(train: DataFrame, numeric: Sequence[str]) -> PipelineModel:
 def classify_pages_by_bayes(spark: SparkSession, path: str, smoothing: float = 60.0) -> Trained:
     pages = layouts.load_pages(spark, path)
     numeric = _numeric(pages)
-    train, test = S.halves(pages.withColumns({c: clamp_nonnegative(c) for c in numeric}), ["url"], 70)
+    train, test = S.halves(pages.withColumns({c: C.clamp_nonnegative(c) for c in numeric}), ["url"], 70)
     stages = [*V.category_stages("alchemy_category", numeric), V.scaler(with_mean=False)]
     model = M.fit(stages, M.bayes_classifier(smoothing), train)
     scored = model.transform(test)
@@ -90,7 +90,7 @@ def classify_pages_by_bayes(spark: SparkSession, path: str, smoothing: float = 6
 def describe_pages(spark: SparkSession, path: str, model: PipelineModel) -> DataFrame:
     """url, prediction and description of unlabelled pages."""
     scored = model.transform(layouts.load_pages(spark, path))
-    return M.describe(scored, PAGE_KINDS).select("url", "prediction", "description")
+    return M.describe(scored, C.PAGE_KINDS).select("url", "prediction", "description")
 
 
 def classify_cover(spark: SparkSession, path: str, estimator=None) -> Trained:
@@ -106,6 +106,14 @@ def classify_cover(spark: SparkSession, path: str, estimator=None) -> Trained:
     return Trained(model, scored, E.accuracy(scored))
 
 
+def describe_cover(scored: DataFrame) -> DataFrame:
+    """The leading fields under their names, with label, prediction and whether it is right."""
+    names = {f: name for f, name in C.COVER_NAMES.items() if f in scored.columns}
+    return scored.withColumnsRenamed(names).select(
+        *names.values(), "label", "prediction", C.is_hit("label", "prediction").alias("hit")
+    )
+
+
 def predict_rentals(spark: SparkSession, path: str, estimator=None) -> Trained:
     """Hourly features, small-valued ones as categories, into a count; RMSE on the test part."""
     hours = layouts.load_hourly(spark, path, key="instant")
@@ -116,6 +124,18 @@ def predict_rentals(spark: SparkSession, path: str, estimator=None) -> Trained:
     return Trained(model, scored, E.rmse(scored, label="cnt"))
 
 
+def describe_rentals(scored: DataFrame) -> DataFrame:
+    """Codes as text, readings in their units, and the prediction with its error."""
+    texts = {
+        "season": C.SEASONS, "holiday": C.HOLIDAYS, "weekday": C.WEEKDAYS,
+        "workingday": C.WORKING_DAYS, "weathersit": C.WEATHER,
+    }
+    changed = {c: C.code_to_text(c, m) for c, m in texts.items() if c in scored.columns}
+    changed |= {c: C.denormalise(c, m) for c, m in C.READING_MAXIMA.items() if c in scored.columns}
+    told = E.residuals(scored, label="cnt").withColumns(changed)
+    return told.drop("aFeatures", "features")
+
+
 def sweep_page_trees(
     spark: SparkSession, path: str, grid: Mapping[str, Sequence] = U.TREE_SWEEP, parallelism: int = 4
 ) -> U.Sweep:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,6 +49,12 @@ def auc_of_scores(
     return below.agg(F.try_divide(ordered, pairs).alias("auc"))
 
 
+def auc_of_model(scored: DataFrame, raw: str = "rawPrediction", label: str = "label") -> DataFrame:
+    """Area under ROC of a binary classifier's raw prediction for class 1."""
+    score = vector_to_array(F.col(raw))[1].alias("_score")
+    return auc_of_scores(scored.select(score, label), "_score", label)
+
+
 def residuals(df: DataFrame, prediction: str = "prediction", label: str = "label") -> DataFrame:
     """Add the absolute error and whether the whole-number prediction is right."""
     return df.withColumns({"error": absolute_error(label, prediction), "hit": is_hit(label, prediction)})

@@ -1,8 +1,10 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyframe import jobs
+from tallyframe.operators import evaluate as E
 from tallyframe.operators import gradient as G
 from tallyframe.operators import models as M
 
@@ -35,7 +37,7 @@ def folder(tmp_path_factory):
 def test_page_jobs(spark, folder):
     path = str(folder / "train.tsv")
     done = jobs.classify_pages(spark, path, M.tree_classifier("entropy", 5, 5))
-    assert done.metric.first()[0] > 0.7
+    assert done.metric.first()[0] == pytest.approx(E.binary_evaluator().evaluate(done.scored)) and done.metric.first()[0] > 0.7
     told = jobs.describe_pages(spark, str(folder / "test.tsv"), done.model)
     assert told.count() == 300 and told.filter("description IS NULL").count() == 0
     assert jobs.classify_pages_linearly(spark, path).metric.first()[0] > 0.8
@@ -50,8 +52,16 @@ def test_sweep(spark, folder):
 
 
 def test_cover_and_rentals(spark, folder):
-    assert jobs.classify_cover(spark, str(folder / "cover.csv")).metric.first()[0] > 0.9
-    assert jobs.predict_rentals(spark, str(folder / "hour.csv")).metric.first()[0] < 30
+    cover = jobs.classify_cover(spark, str(folder / "cover.csv"))
+    assert cover.metric.first()[0] > 0.9
+    told = jobs.describe_cover(cover.scored)
+    assert told.columns == ["海拔", "方位", "斜率", "label", "prediction", "hit"]
+    assert told.filter("hit").count() == cover.scored.filter("label = prediction").count()
+    rentals = jobs.predict_rentals(spark, str(folder / "hour.csv"))
+    assert rentals.metric.first()[0] < 30
+    told = jobs.describe_rentals(rentals.scored.withColumn("temp", F.lit(0.5)))
+    assert told.filter("season = '春' AND temp = 20.5").count() == told.count() > 0
+    assert told.filter("error IS NULL").count() == 0
 
 
 def test_recommender(spark, folder, tmp_path):
