@@ -42,7 +42,7 @@ def register_users(spark: SparkSession, users_path: str, zipcodes_path: str) ->
     return users, zipcodes
 
 
-def count_words(spark: SparkSession, path: str, output: str, words=X.space_words) -> bool:
+def count_words(spark: SparkSession, path: str, output: str, words: X.Splitter = X.space_words) -> bool:
     """Write ``word<TAB>count`` lines; False when ``output`` was there already."""
     return sinks.write_lines_once(X.word_count(read_lines(spark, path), words), output, ["word", "counts"])
 
@@ -172,15 +172,15 @@ RATED_AT = "position long, user int, item int, rating float, rated_at long"
 
 
 def split_ratings(ratings: DataFrame, order: Sequence[str], folds: int = 5) -> dict[str, DataFrame]:
-    """Test and base parts: ``folds`` runs of the ordered ratings, and two times ten ratings per user.
+    """Test and base parts: ``folds`` runs of the ordered ratings, then the first and second ten of each user.
 
     Every part is sorted by user and item.
     """
     folded = S.positional_folds(ratings, order, folds)
     parts = {}
     for i in range(1, folds + 1):
-        parts[f"u{i}.test"], parts[f"u{i}.base"] = S.fold_test(folded, i), S.fold_base(folded, i)
-    for name, start, stop in (("ua", 1, 10), ("ub", 11, 20)):
+        parts[f"fold{i}.test"], parts[f"fold{i}.base"] = S.fold_test(folded, i), S.fold_base(folded, i)
+    for name, start, stop in (("first", 1, 10), ("second", 11, 20)):
         marked = S.leave_n_out(ratings, "user", order, start, stop, max_test=100_000)
         parts[f"{name}.test"] = marked.filter("held_out").drop("held_out")
         parts[f"{name}.base"] = marked.filter("NOT held_out").drop("held_out")

@@ -18,27 +18,27 @@ def folder(tmp_path_factory):
         score = "?" if i % 9 == 0 else str(rng.random())
         fields = [f"http://p{i}", str(i), "t", rng.choice(["arts", "news", "?"]), score, str(size), str(int(size > 50))]
         pages.append("\t".join(f'"{f}"' for f in fields))
-    (at / "train.tsv").write_text("\n".join(pages) + "\n")
+    (at / "labelled.tsv").write_text("\n".join(pages) + "\n")
     bare = ["\t".join(line.split("\t")[:-1]) for line in pages]
-    (at / "test.tsv").write_text("\n".join(bare) + "\n")
+    (at / "unlabelled.tsv").write_text("\n".join(bare) + "\n")
     cover = [(rng.randint(0, 9), rng.randint(0, 9), i) for i in range(200)]
-    (at / "cover.csv").write_text("".join(f"{a},{b},{i},{1 + a // 4}\n" for a, b, i in cover))
+    (at / "records.csv").write_text("".join(f"{a},{b},{i},{1 + a // 4}\n" for a, b, i in cover))
     head = "instant,dteday,season,yr,hr,casual,registered,cnt\n"
-    (at / "hour.csv").write_text(head + "".join(f"{i},d,1,0,{i % 24},1,2,{10 * (i % 24) + i % 3}\n" for i in range(300)))
+    (at / "hours.csv").write_text(head + "".join(f"{i},d,1,0,{i % 24},1,2,{10 * (i % 24) + i % 3}\n" for i in range(300)))
     ratings = [(u, i, 1 + (u * i) % 5, 1000 + u) for u in range(1, 31) for i in range(1, 26)]
     rng.shuffle(ratings)
-    (at / "u.data").write_text("".join("\t".join(map(str, r)) + "\n" for r in ratings))
-    (at / "u.ordered").write_text("".join("\t".join(map(str, (n, *r))) + "\n" for n, r in enumerate(ratings)))
-    (at / "u.item").write_text("".join(f"{i}|film {i}|x\n" for i in range(1, 26)))
+    (at / "ratings.tsv").write_text("".join("\t".join(map(str, r)) + "\n" for r in ratings))
+    (at / "ordered.tsv").write_text("".join("\t".join(map(str, (n, *r))) + "\n" for n, r in enumerate(ratings)))
+    (at / "items.txt").write_text("".join(f"{i}|film {i}|x\n" for i in range(1, 26)))
     (at / "text").write_text("a b\na  a\n")
     return at
 
 
 def test_page_jobs(spark, folder):
-    path = str(folder / "train.tsv")
+    path = str(folder / "labelled.tsv")
     done = jobs.classify_pages(spark, path, M.tree_classifier("entropy", 5, 5))
     assert done.metric.first()[0] == pytest.approx(E.binary_evaluator().evaluate(done.scored)) and done.metric.first()[0] > 0.7
-    told = jobs.describe_pages(spark, str(folder / "test.tsv"), done.model)
+    told = jobs.describe_pages(spark, str(folder / "unlabelled.tsv"), done.model)
     assert told.count() == 300 and told.filter("description IS NULL").count() == 0
     assert jobs.classify_pages_linearly(spark, path).metric.first()[0] > 0.8
     assert jobs.classify_pages_linearly(spark, path, G.svm_sgd).metric.first()[0] > 0.7
@@ -46,18 +46,18 @@ def test_page_jobs(spark, folder):
 
 
 def test_sweep(spark, folder):
-    done = jobs.sweep_page_trees(spark, str(folder / "train.tsv"), {"impurity": ["gini"], "depth": [1, 3], "bins": [10]})
+    done = jobs.sweep_page_trees(spark, str(folder / "labelled.tsv"), {"impurity": ["gini"], "depth": [1, 3], "bins": [10]})
     assert done.trials.count() == 2
     assert done.best().stages
 
 
 def test_cover_and_rentals(spark, folder):
-    cover = jobs.classify_cover(spark, str(folder / "cover.csv"))
+    cover = jobs.classify_cover(spark, str(folder / "records.csv"))
     assert cover.metric.first()[0] > 0.9
     told = jobs.describe_cover(cover.scored)
     assert told.columns == ["海拔", "方位", "斜率", "label", "prediction", "hit"]
     assert told.filter("hit").count() == cover.scored.filter("label = prediction").count()
-    rentals = jobs.predict_rentals(spark, str(folder / "hour.csv"))
+    rentals = jobs.predict_rentals(spark, str(folder / "hours.csv"))
     assert rentals.metric.first()[0] < 30
     told = jobs.describe_rentals(rentals.scored.withColumn("temp", F.lit(0.5)))
     assert told.filter("season = '春' AND temp = 20.5").count() == told.count() > 0
@@ -66,25 +66,25 @@ def test_cover_and_rentals(spark, folder):
 
 def test_recommender(spark, folder, tmp_path):
     model = str(tmp_path / "model")
-    assert jobs.train_recommender(spark, str(folder / "u.data"), model, blocks=2)
-    assert not jobs.train_recommender(spark, str(folder / "u.data"), model, blocks=2)
-    items = jobs.recommend(spark, model, str(folder / "u.item"), user=7).collect()
+    assert jobs.train_recommender(spark, str(folder / "ratings.tsv"), model, blocks=2)
+    assert not jobs.train_recommender(spark, str(folder / "ratings.tsv"), model, blocks=2)
+    items = jobs.recommend(spark, model, str(folder / "items.txt"), user=7).collect()
     assert len(items) == 10 and all(r.title == f"film {r.item}" for r in items)
-    assert jobs.recommend(spark, model, str(folder / "u.item"), item=3, k=4).count() == 4
+    assert jobs.recommend(spark, model, str(folder / "items.txt"), item=3, k=4).count() == 4
     with pytest.raises(ValueError):
-        jobs.recommend(spark, model, str(folder / "u.item"))
+        jobs.recommend(spark, model, str(folder / "items.txt"))
 
 
 def test_split_files(spark, folder):
-    ratings = jobs.load_ordered_ratings(spark, str(folder / "u.ordered"))
+    ratings = jobs.load_ordered_ratings(spark, str(folder / "ordered.tsv"))
     parts = jobs.split_ratings(ratings, ["position"])
     whole = sorted(ratings.collect())
-    for name in ("u1", "u5", "ua", "ub"):
+    for name in ("fold1", "fold5", "first", "second"):
         test, base = parts[f"{name}.test"].collect(), parts[f"{name}.base"].collect()
         assert sorted(test + base) == whole
         assert [(r.user, r.item) for r in test] == sorted((r.user, r.item) for r in test)
-    assert parts["u2.test"].count() == 150
-    assert parts["ua.test"].count() == 300 and parts["ub.test"].count() == 300
+    assert parts["fold2.test"].count() == 150
+    assert parts["first.test"].count() == 300 and parts["second.test"].count() == 300
 
 
 def test_words(spark, folder, tmp_path):
