@@ -37,8 +37,8 @@ def weighted_points(df: DataFrame, columns: Sequence[str]) -> Iterator[Points]:
     """Distinct points with their row count as ``weight``, held while in use.
 
     k-means on the weighted points has the same centers and cost as on all rows, and every
-    pass of it is shorter where points repeat. The points are spread over as many tasks as
-    their number asks for.
+    pass of it is shorter where points repeat. The points are read in as many tasks as their
+    number asks for.
     """
     counted = df.select(*columns).dropna().groupBy(*columns).agg(F.count("*").cast("double").alias("weight")).persist()
     try:
@@ -49,12 +49,13 @@ def weighted_points(df: DataFrame, columns: Sequence[str]) -> Iterator[Points]:
         distinct, variance = counted.agg(F.count("*"), spread).first()
         points = VectorAssembler(inputCols=list(columns), outputCol="features").transform(counted)
         held = points.coalesce(max(1, -(-distinct // POINTS_PER_TASK))).persist()
-        try:
-            yield Points(held, variance or 0.0)
-        finally:
-            held.unpersist()
+        held.count()
     finally:
         counted.unpersist()
+    try:
+        yield Points(held, variance or 0.0)
+    finally:
+        held.unpersist()
 
 
 def best_kmeans(

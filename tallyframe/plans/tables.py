@@ -130,7 +130,7 @@ class Tables:
             F.count("*").alias("cnt"),
         )
         return counted.select(
-            (F.unix_seconds(hour) / 3600).cast("long").alias("instant"),
+            (F.unix_date(F.to_date(hour)).cast("long") * 24 + F.hour(hour)).alias("instant"),
             F.date_format(hour, "yyyy-MM-dd").alias("dteday"),
             F.quarter(hour).alias("season"),
             F.year(hour).alias("yr"),
