@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_own_dirs: dict[str, str] = {}
+#: Where a local session without ``spark.checkpoint.dir`` keeps its intermediate tables.
+LOCAL_SHARED_DIR = "/tmp/checkpoints"
 
 
 def build_session(app: str = "tallyframe", master: str | None = None, **conf: str) -> SparkSession:
@@ -33,21 +33,17 @@ def build_session(app: str = "tallyframe", master: str | None = None, **conf: st
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session may go without the setting; it gets a fresh folder of its own.
+    Only a local session may go without the setting; it uses ``LOCAL_SHARED_DIR``.
     """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(named)
-        return named
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    if sc.applicationId not in _own_dirs:
-        _own_dirs[sc.applicationId] = tempfile.mkdtemp(prefix="tallyframe-")
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(_own_dirs[sc.applicationId])
-    return _own_dirs[sc.applicationId]
+    if not named:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        named = LOCAL_SHARED_DIR
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(named)
+    return named
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -55,13 +51,29 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/tallyframe/{name}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder once and read it back.
 
     For results that several later passes scan: the passes prune columns, and a lost
-    executor costs a re-read and not a recomputation.
+    executor costs a re-read and not a recomputation. The files go when the session's
+    JVM ends, or earlier through ``discard``.
     """
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    files, where = _file_system(spark, path)
+    files.deleteOnExit(where)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_path = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the files of a ``staged`` table that nothing will read again."""
+    files, where = _file_system(df.sparkSession, df.staged_path)
+    files.delete(where, True)
