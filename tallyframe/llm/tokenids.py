@@ -19,6 +19,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -155,11 +156,14 @@ class Encoder:
         """The ids of all texts one after the other, and how many each text has."""
         counts = np.diff(offsets)
         at_space = np.flatnonzero((data[:-1] == 32) & _AFTER_SPACE[data[1:]])
-        starts = np.unique(np.concatenate([offsets[:-1][counts > 0], at_space]))
+        starts = np.sort(np.concatenate([offsets[:-1][counts > 0], at_space]), kind="stable")
+        starts = starts[np.diff(starts, prepend=-1) > 0]
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(counts), np.int64)
         stops = np.append(starts[1:], len(data))
-        _, first, which = np.unique(arrays.span_hashes(data, starts, stops), return_index=True, return_inverse=True)
+        which, distinct = pd.factorize(arrays.span_hashes(data, starts, stops))
+        first = np.empty(len(distinct), np.int64)
+        first[which[::-1]] = np.arange(len(which))[::-1]
         raw = data.tobytes()
         found = []
         for a, b in zip(starts[first].tolist(), stops[first].tolist(), strict=True):
