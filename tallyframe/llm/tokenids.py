@@ -16,6 +16,7 @@ with a repeated id. Only ``doc_id`` and the text are read.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -126,13 +127,20 @@ def unpack(words: np.ndarray, block_words: np.ndarray, escapes: np.ndarray, n: i
     return ids
 
 
-# A piece of a text runs from a single space before a word to the next such space. No token reaches
-# across it, so pieces are tokenized by themselves, and equal ones of a batch once. After the space
-# must stand a byte that cannot begin white space.
-_AFTER_SPACE = np.ones(256, bool)
-_AFTER_SPACE[[*range(0x21), 0x7F, 0xC2, 0xE1, 0xE2, 0xE3]] = False
+# A piece of a text is what the tokenizer surely splits off: it ends before a space that a word follows,
+# between an ASCII letter and punctuation, and around a single newline. Pieces are tokenized by themselves,
+# and equal ones once. Bytes that may begin white space or letters elsewhere make no border.
+_LETTER, _MARK, _SOLID = (np.zeros(256, bool) for _ in range(3))
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_MARK[list(b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")] = True
+_SOLID[[*range(0x21, 0x7F), *range(0x80, 0x100)]] = True
+_SOLID[[0xC2, 0xE1, 0xE2, 0xE3]] = False
+_WORD = re.compile("\x20?[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u02AF]+")
+# byte-level vocabularies write a byte as the character of that number if it is printable, else as one from 256 on
+_PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_BYTE_CHARS = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(_PRINTABLE)))}
 #: Pieces that a worker remembers between batches.
-REMEMBERED = 500_000
+REMEMBERED = 800_000
 
 
 class Encoder:
@@ -142,29 +150,52 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[bytes, bytes] = {}
+        # a byte-level tokenizer that splits at spaces leaves a word whole, so the word goes to the model at once
+        split = self.tokenizer.pre_tokenizer.pre_tokenize_str(" ab c") if self.tokenizer.pre_tokenizer else []
+        self.byte_level = self.tokenizer.normalizer is None and [x for x, _ in split] == ["\u0120ab", "\u0120c"]
+        self.model = self.tokenizer.model
 
     def _ids(self, piece: bytes) -> bytes:
-        ids = np.array(self.tokenizer.encode(piece.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+        text = piece.decode()
+        if self.byte_level and _WORD.fullmatch(text):
+            ids = [t.id for t in self.model.tokenize(piece.decode("latin-1").translate(_BYTE_CHARS))]
+        else:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        ids = np.array(ids, "<u4").tobytes()
         if len(piece) < 64:
             if len(self.known) >= REMEMBERED:
                 self.known.clear()
             self.known[piece] = ids
         return ids
 
+    def _borders(self, data: np.ndarray, raw: bytes) -> np.ndarray:
+        """Places before which a piece ends."""
+        now, next_ = data[:-1], data[1:]
+        solid = _SOLID[data]
+        after_space = np.flatnonzero((now == 32) & solid[1:])
+        if any(a in raw for a in self.added):  # such a token can have borders inside
+            return after_space
+        letter, mark = _LETTER[data], _MARK[data]
+        border = (letter[:-1] & mark[1:]) | (mark[:-1] & letter[1:])
+        line = np.flatnonzero((data[1:-1] == 10) & solid[:-2] & solid[2:]) + 1
+        border[line - 1] = border[line] = True
+        border[np.flatnonzero(now == 32)] = False
+        return np.sort(np.concatenate([after_space, np.flatnonzero(border) + 1]), kind="stable")
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after the other, and how many each text has."""
         counts = np.diff(offsets)
-        at_space = np.flatnonzero((data[:-1] == 32) & _AFTER_SPACE[data[1:]])
-        starts = np.sort(np.concatenate([offsets[:-1][counts > 0], at_space]), kind="stable")
-        starts = starts[np.diff(starts, prepend=-1) > 0]
-        if not len(starts):
+        if not len(data):
             return np.zeros(0, np.uint32), np.zeros(len(counts), np.int64)
+        raw = data.tobytes()
+        starts = np.sort(np.concatenate([offsets[:-1][counts > 0], self._borders(data, raw)]), kind="stable")
+        starts = starts[np.diff(starts, prepend=-1) > 0]
         stops = np.append(starts[1:], len(data))
         which, distinct = pd.factorize(arrays.span_hashes(data, starts, stops))
         first = np.empty(len(distinct), np.int64)
         first[which[::-1]] = np.arange(len(which))[::-1]
-        raw = data.tobytes()
         found = []
         for a, b in zip(starts[first].tolist(), stops[first].tolist(), strict=True):
             piece = raw[a:b]
