@@ -40,7 +40,7 @@ CONTEXTS = 1 << 16
 STRENGTH = 1.0
 EXACT = 256
 #: Text bytes that a task holds as 64-bit columns at once, about.
-BATCH = 12 << 20
+BATCH = 8 << 20
 BURN_IN, SAMPLES = 1, 2
 SLICES = 16
 
@@ -48,13 +48,13 @@ U64 = np.uint64
 START, END = U64(0x5EED0001), U64(0x5EED0002)
 
 # per part: words, pairs of each, and per pair context, customers and tables per sample (latest last);
-# customers and tables per context, and the parent's tables per word and sample
-_STATE = "part int, words binary, runs binary, contexts binary, counts binary, tables array<binary>, roots array<binary>, seats binary"
+# the parent's tables per word and sample
+_STATE = "part int, words binary, runs binary, contexts binary, counts binary, tables array<binary>, roots array<binary>"
 
 
 def part_bits(spark) -> int:
-    """Bits that name a part: as many parts as shuffle partitions, or up to twice as many."""
-    return (int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()
+    """Bits that name a part: four to eight parts per shuffle partition, which a task takes one by one."""
+    return (4 * int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()
 
 
 def _parts_of(words: np.ndarray, bits: int) -> np.ndarray:
@@ -148,30 +148,26 @@ class Seating:
         )
 
     def row(self, part: int) -> pa.Table:
-        """With ``seats``: customers and tables per context, then scalars of the part."""
-        tables, roots = self.tables[-1], self.roots[-1]
-        per_word = self.per_word(tables)
-        scalars = [
-            self.counts.sum(), len(self.words), per_word.sum(), roots.sum(),
-            (self.counts == 1).sum(), (self.counts == 2).sum(), (per_word == 1).sum(), (per_word == 2).sum(),
-        ]
-        seats = np.concatenate(
-            [
-                np.bincount(self.contexts, self.counts, CONTEXTS),
-                np.bincount(self.contexts, tables, CONTEXTS),
-                np.array(scalars, float),
-            ]
-        )
         blob = lambda b: pa.array([b.tobytes()], pa.binary())
         many = lambda x: pa.array([[v.astype("<u4").tobytes() for v in x]], pa.list_(pa.binary()))
         return pa.table(
             {
                 "part": pa.array([part], pa.int32()), "words": blob(self.words), "runs": blob(self.runs.astype("<u4")),
                 "contexts": blob(self.contexts), "counts": blob(self.counts.astype("<u4")),
-                "tables": many(self.tables), "roots": many(self.roots), "seats": blob(seats),
+                "tables": many(self.tables), "roots": many(self.roots),
             }
         )
 
+    def seats(self) -> np.ndarray:
+        """Customers per context, tables per context, and scalars of the part."""
+        tables, roots = self.tables[-1], self.roots[-1]
+        per_word = self.per_word(tables)
+        scalars = [
+            self.counts.sum(), len(self.words), per_word.sum(), roots.sum(),
+            (self.counts == 1).sum(), (self.counts == 2).sum(), (per_word == 1).sum(), (per_word == 2).sum(),
+        ]
+        return np.concatenate([np.bincount(self.contexts, self.counts, CONTEXTS), np.bincount(self.contexts, tables, CONTEXTS), scalars])
+
     def per_word(self, values: np.ndarray) -> np.ndarray:
         return arrays.text_sums(values, self.runs)
 
@@ -204,10 +200,12 @@ class Totals:
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(2 * CONTEXTS + 8)
     for batch in batches:
-        for blob in batch.column(0).to_pylist():
-            cut = [x.tobytes() for x in np.array_split(np.frombuffer(blob, float), SLICES)]
-            yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array(cut, pa.binary())], ["slice", "seats"])
+        for row in batch.to_pylist():
+            total += Seating.read(row).seats()
+    cut = [x.tobytes() for x in np.array_split(total, SLICES)]
+    yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array(cut, pa.binary())], ["slice", "seats"])
 
 
 def _sum_slices(group: pa.Table) -> pa.Table:
@@ -216,7 +214,7 @@ def _sum_slices(group: pa.Table) -> pa.Table:
 
 
 def totals(state: DataFrame) -> Totals:
-    summed = state.select("seats").mapInArrow(_slices, "slice int, seats binary").groupBy("slice").applyInArrow(_sum_slices, "slice int, seats binary")
+    summed = state.mapInArrow(_slices, "slice int, seats binary").groupBy("slice").applyInArrow(_sum_slices, "slice int, seats binary")
     rows = sorted(summed.collect())  # a fixed number of numbers
     seats = np.concatenate([np.frombuffer(r["seats"], float) for r in rows]) if rows else np.zeros(2 * CONTEXTS + 8)
     n, v, t, r, once, twice, root_once, root_twice = seats[2 * CONTEXTS :]
@@ -386,8 +384,7 @@ def _copies(hot: dict[int, int], bits: int):
                         [t[run] for t in mine.tables], [r[w : w + 1] for r in mine.roots],
                     )
                     for k in range(1, hot[int(mine.words[w])]):
-                        table = one.row((row["part"] + k) % (1 << bits))
-                        yield from table.set_column(7, "seats", pa.array([None], pa.binary())).to_batches()
+                        yield from one.row((row["part"] + k) % (1 << bits)).to_batches()
 
     return copies
 
