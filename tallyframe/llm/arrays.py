@@ -16,6 +16,9 @@ import pyarrow.compute as pc
 U64 = np.uint64
 #: Bytes per piece; a single longer text is a piece of its own.
 PIECE = 1 << 20
+#: Bytes of text that a task packs together, about, and rows of the batches that come to it.
+GATHER = 12 << 20
+RECORDS = 1000
 
 #: The white space of the contracts, ``[\x20\x09-\x0D]``.
 SPACES = [0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]
@@ -64,6 +67,32 @@ def pieces(offsets: np.ndarray, size: int = PIECE) -> Iterator[tuple[int, int]]:
         first = last
 
 
+def bound_batches(spark) -> None:
+    """Let Arrow batches have at most ``RECORDS`` rows, unless the session has a number of its own.
+
+    The default of 10,000 texts of a few kB is tens of MB per buffer, several of which a task holds.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, RECORDS)
+
+
+def gathered(batches: Iterator[pa.RecordBatch], text: int, size: int = GATHER) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``size`` bytes of the text column, and one text at least."""
+    held: list[pa.RecordBatch] = []
+    n = 0
+    for batch in batches:
+        _, offsets = text_buffer(batch.column(text))
+        for first, last in pieces(offsets, size):
+            held.append(batch.slice(first, last - first))
+            n += int(offsets[last] - offsets[first])
+            if n >= size:
+                yield pa.concat_batches(held)
+                held, n = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def lower(data: np.ndarray) -> np.ndarray:
     """A-Z to a-z; every other byte stays."""
     return _LOWER[data]
@@ -149,7 +178,3 @@ def text_sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
         np.cumsum(values, out=total[1:])
         ends = np.cumsum(counts)
         return total[ends] - total[ends - counts]
-
-
-def binary_column(blobs: list[bytes]) -> pa.Array:
-    return pa.array(blobs, pa.binary())

@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyframe.llm import arrays
+
 UNDETERMINED = "und"
 BUCKETS = 1 << 16
 ORDERS = (1, 2, 3)
@@ -118,6 +120,7 @@ def _add_up(group: pa.Table) -> pa.Table:
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> LanguageModel:
     """Learn from all rows of ``docs`` that have both a text and a language."""
+    arrays.bound_batches(docs.sparkSession)
     known = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).dropna()
     sums = known.mapInArrow(_count, _COUNTS).groupBy("lang", "slice").applyInArrow(_add_up, _COUNTS)
     rows = sorted(sums.collect())  # SLICES rows of fixed size per language

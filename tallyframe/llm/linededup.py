@@ -124,7 +124,7 @@ def _line_batches(text: pa.Array) -> Iterator[tuple[int, int, tuple]]:
 
 def _count_keys(least_chars: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in arrays.gathered(batches, 1):
             ids = batch.column(0).fill_null(NO_ID).to_numpy(zero_copy_only=False)
             parts = []
             for first, last, (h1, h2, points, counts) in _line_batches(batch.column(1)):
@@ -217,6 +217,7 @@ def deduplicated(
 ) -> DataFrame:
     """Add the struct ``_lines``: n_lines, n_dropped and the ``kept`` text."""
     spark = docs.sparkSession
+    arrays.bound_batches(spark)
     shards, bits = index(docs, text, least_chars, least_docs)
     sizes = sorted((r["shard"], r["n"]) for r in shards.select("shard", F.length("blob").alias("n")).collect())
     groups: list[list[int]] = [[]]

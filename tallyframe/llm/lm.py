@@ -39,8 +39,6 @@ from tallyframe.session import discard, staged
 CONTEXTS = 1 << 16
 STRENGTH = 1.0
 EXACT = 256
-#: Text bytes that a task holds as 64-bit columns at once, about.
-BATCH = 8 << 20
 BURN_IN, SAMPLES = 1, 2
 SLICES = 16
 
@@ -95,17 +93,9 @@ def _grouped(words: np.ndarray, contexts: np.ndarray, counts: np.ndarray | None
     return words[pairs][heads], np.diff(heads, append=len(pairs)), contexts[pairs], counts
 
 
-def _cut(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
-    """Batches of about ``BATCH`` bytes of text, and one text at least."""
-    for batch in batches:
-        _, offsets = arrays.text_buffer(batch.column(text))
-        for first, last in arrays.pieces(offsets, BATCH):
-            yield batch.slice(first, last - first)
-
-
 def _count(bits: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _cut(batches, 0):
+        for batch in arrays.gathered(batches, 0):
             word, context, _ = tokens(*arrays.text_buffer(batch.column(0)))
             words, runs, contexts, counts = _grouped(word, context)
             parts = _parts_of(words, bits)
@@ -292,6 +282,7 @@ class Model:
 def fit(docs: DataFrame, text: str = "text", burn_in: int = BURN_IN, samples: int = SAMPLES) -> Model:
     """Learn from all texts of ``docs``."""
     spark = docs.sparkSession
+    arrays.bound_batches(spark)
     bits = part_bits(spark)
     blocks = docs.select(text).mapInArrow(_count(bits), "part int, words binary, runs binary, contexts binary, counts binary")
     state = staged(blocks.groupBy("part").applyInArrow(_merge, _STATE), "seating")
@@ -323,7 +314,7 @@ def _blocks(bits: int, hot: dict[int, int]):
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
-        for number, batch in enumerate(_cut(batches, 2)):
+        for number, batch in enumerate(arrays.gathered(batches, 2)):
             word, context, n = tokens(*arrays.text_buffer(batch.column(2)))
             doc = np.repeat(np.arange(len(n), dtype=np.uint32), n)
             order = np.argsort(word, kind="stable")

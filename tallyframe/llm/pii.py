@@ -188,6 +188,7 @@ def train(keys: np.ndarray, n: np.ndarray, steps: int = 400) -> np.ndarray:
 
 def fit(docs: DataFrame, text: str = "text") -> np.ndarray | None:
     """The classifier's weights from all texts; None if there is no candidate."""
+    arrays.bound_batches(docs.sparkSession)
     counted = docs.select(text).mapInArrow(_count_votes, "key array<int>, n long")
     rows = counted.groupBy("key").agg(F.sum("n").alias("n")).orderBy("key").collect()  # one row per pattern of votes and shape
     if not rows:

@@ -2,15 +2,28 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+import tallyframe
 from tallyframe.llm import ann, decontaminate, langid, linededup, lm, mixing, pii, quality, shinglejoin, tokenids
 from tallyframe.session import fresh_path
 
 
+def _let_workers_import(spark: SparkSession) -> None:
+    """Python workers of a local session find this package wherever the driver was started."""
+    root = str(Path(tallyframe.__file__).resolve().parent.parent)
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        environment["PYTHONPATH"] = f"{root}{os.pathsep}{known}".rstrip(os.pathsep)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    _let_workers_import(spark)
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 

@@ -83,7 +83,7 @@ def profile(text: pa.Array) -> pa.Array:
 
 def _count_blocks(bits: int):
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in arrays.gathered(batches, 0):
             found = [(h >> U64(64 - bits - KEY_BITS)).astype(np.int64) for _, _, h, _ in shingle_sets(batch.column(0))]
             keys = np.sort(np.concatenate(found)) if found else np.zeros(0, np.int64)
             parts = keys >> KEY_BITS
@@ -140,7 +140,7 @@ def _prefixes(shared, bits: int):
         keys, levels = shared.value
         seen: set[int] = set()
         rows = []
-        for number, batch in enumerate(batches):
+        for number, batch in enumerate(arrays.gathered(batches, 0)):
             parts = []
             for _, _, hashes, counts in shingle_sets(batch.column(0)):
                 f1, _ = class_sums(hashes, counts)
@@ -291,6 +291,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 def linked_components(docs: DataFrame, text: str = "text") -> DataFrame:
     """Per document: doc_id, n_shingles, component_id and the number of documents of its class."""
     spark = docs.sparkSession
+    arrays.bound_batches(spark)
     bits = part_bits(spark)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), profile(F.col(text)).alias("p")).select("doc_id", "p.*")
     profiles = staged(slim, "profiles")

@@ -228,7 +228,7 @@ def _encode_part(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path).encode
         part, chunk, before = TaskContext.get().partitionId(), 0, 0
-        for batch in batches:
+        for batch in arrays.gathered(batches, 1, CHUNK_BYTES):
             data, offsets = arrays.text_buffer(batch.column(1))
             docs = batch.column(0)
             no_id = docs.is_null().to_numpy(zero_copy_only=False)
@@ -251,6 +251,7 @@ def _encode_part(path: str, end_id: int):
 
 def write_ids(docs: DataFrame, path: str, tokenizer: str, text: str = "text", end_id: int = END_ID) -> None:
     """Tokenize ``docs`` and write them to the folder ``path`` in ascending ``doc_id`` order."""
+    arrays.bound_batches(docs.sparkSession)
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
     ordered = slim.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
