@@ -15,10 +15,10 @@ import pyarrow.compute as pc
 
 U64 = np.uint64
 #: Bytes per piece; a single longer text is a piece of its own.
-PIECE = 1 << 20
+PIECE = 1 << 18
 #: Bytes of text that a task packs together, about, and rows of the batches that come to it.
-GATHER = 12 << 20
-RECORDS = 1000
+GATHER = 6 << 20
+RECORDS = 500
 
 #: The white space of the contracts, ``[\x20\x09-\x0D]``.
 SPACES = [0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]

@@ -55,6 +55,11 @@ def part_bits(spark) -> int:
     return (4 * int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()
 
 
+def dealt(blocks: DataFrame, bits: int) -> DataFrame:
+    """Rows by part, in as many tasks as there are parts: each then fetches and sorts little."""
+    return blocks.repartition(1 << bits, "part")
+
+
 def _parts_of(words: np.ndarray, bits: int) -> np.ndarray:
     return (words >> U64(64 - bits)).astype(np.int64) if bits else np.zeros(len(words), np.int64)
 
@@ -285,7 +290,7 @@ def fit(docs: DataFrame, text: str = "text", burn_in: int = BURN_IN, samples: in
     arrays.bound_batches(spark)
     bits = part_bits(spark)
     blocks = docs.select(text).mapInArrow(_count(bits), "part int, words binary, runs binary, contexts binary, counts binary")
-    state = staged(blocks.groupBy("part").applyInArrow(_merge, _STATE), "seating")
+    state = staged(dealt(blocks, bits).groupBy("part").applyInArrow(_merge, _STATE), "seating")
     seen = [totals(state)]
     for i in range(burn_in + samples):
         keep = max(1, i - burn_in + 1)
@@ -486,7 +491,7 @@ def score(docs: DataFrame, model: Model, held: Column, text: str = "text") -> Da
     blocks = slim.mapInArrow(_blocks(model.bits, hot), _BLOCK)
     state = model.state.mapInArrow(_copies(hot, model.bits), _STATE)
     shared = spark.sparkContext.broadcast(model.samples)
-    sums = blocks.groupBy("part").cogroup(state.groupBy("part")).applyInArrow(_score(shared), _SUMS)
+    sums = dealt(blocks, model.bits).groupBy("part").cogroup(dealt(state, model.bits).groupBy("part")).applyInArrow(_score(shared), _SUMS)
     found = sums.groupBy("block").applyInArrow(_collect_block, _RESULT)
     return found.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(int(n)).cast("long").alias("train_tokens"), "base_score", "score"

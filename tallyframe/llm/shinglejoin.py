@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyframe.llm import arrays
-from tallyframe.llm.lm import part_bits
+from tallyframe.llm.lm import dealt, part_bits
 from tallyframe.session import staged
 
 WORDS = 5
@@ -116,7 +116,7 @@ def _count_part(group: pa.Table) -> pa.Table:
 def frequent_shingles(docs: DataFrame, text: str, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Keys of the most frequent shingles, ascending, and the level of each."""
     blocks = docs.select(text).mapInArrow(_count_blocks(bits), "part int, wide boolean, deltas binary")
-    counted = staged(blocks.groupBy("part").applyInArrow(_count_part, "part int, level int, n long, keys binary"), "frequent")
+    counted = staged(dealt(blocks, bits).groupBy("part").applyInArrow(_count_part, "part int, level int, n long, keys binary"), "frequent")
     held, least = 0, 64
     for row in sorted(counted.groupBy("level").agg(F.sum("n").alias("n")).collect(), reverse=True):
         held += row["n"]
@@ -261,7 +261,8 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, text: str)
     # a few ids go to the scan; many are joined, where Spark puts a Bloom filter before the shuffle
     ids = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
     texts = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col(text).alias("_text")).join(ids, F.col("_id").eqNullSafe(F.col("doc_id")))
-    sets = texts.select("class", shingles_of("_text").alias("s")).filter(F.col("s.f1") == F.col("class")).select("class", "s.shingles")
+    # not deterministic: else Spark evaluates it once more for the filter
+    sets = texts.select("class", shingles_of.asNondeterministic()("_text").alias("s")).filter(F.col("s.f1") == F.col("class")).select("class", "s.shingles")
     sets = staged(sets.dropDuplicates(["class"]), "sets")
     both = left.join(sets.select(F.col("class").alias("b"), F.col("shingles").alias("s_b")), "b")
     both = both.join(sets.select(F.col("class").alias("a"), F.col("shingles").alias("s_a")), "a")
@@ -302,7 +303,7 @@ def linked_components(docs: DataFrame, text: str = "text") -> DataFrame:
 
     shared = spark.sparkContext.broadcast(frequent_shingles(docs, text, bits))
     packed = docs.select(text).mapInArrow(_prefixes(shared, bits), "part int, hot boolean, token binary, class binary, n binary, place binary")
-    postings = staged(packed.groupBy("part").applyInArrow(_shared_only, _POSTING), "postings").distinct()
+    postings = staged(dealt(packed, bits).groupBy("part").applyInArrow(_shared_only, _POSTING), "postings").distinct()
 
     hubs = postings.groupBy("token").agg(F.min(F.struct("class", "n", "place")).alias("hub"))
     star = postings.join(hubs, "token").filter(F.col("class") != F.col("hub.class"))
