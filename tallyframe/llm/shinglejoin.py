@@ -10,8 +10,9 @@ sums over the set, so copies cost one row each and are never paired.
    their count. (count level, hash) orders all shingles, rare first.
 2. Each class sends the prefix of its set, which any linked set must meet. Shingles that
    only one class sent are dropped where they meet. Frequent ones are not gathered anywhere.
-3. Per shared shingle, each class is paired with the least class only. After length and positional
-   filter a pair is checked once: suffix filter (shingles per hash range bound the
+3. Per shared shingle, each class is paired with the least class only, first with the least of
+   all its shingles, then with the others that are still in another component. After length and
+   positional filter a pair is checked once: suffix filter (shingles per hash range bound the
    intersection), then the sets themselves. Links give components.
 4. Where the classes of a shingle are still in several components, the classes outside the
    largest one are paired with all classes of other components, and checked the same way.
@@ -211,8 +212,9 @@ _POSTING = "token long, class long, n long, place long"
 
 def may_link(n: Column, place: Column, m: Column, other: Column) -> Column:
     """Length and positional filter for sets of sizes ``n`` and ``m`` with a shared shingle at these places."""
-    # |x & y| >= PERCENT / (100 + PERCENT) * (n + m)
-    most = F.least(place, other) + 1 + F.least(n - place - 1, m - other - 1)
+    # |x & y| >= PERCENT / (100 + PERCENT) * (n + m); at the first shared shingle nothing before it is
+    # shared, so linked sets pass there, and it does not matter that they may fail at a later one
+    most = 1 + F.least(n - place - 1, m - other - 1)
     return (100 * F.least(n, m) >= PERCENT * F.greatest(n, m)) & ((100 + PERCENT) * most >= PERCENT * (n + m))
 
 
@@ -251,6 +253,13 @@ def shingles_of(text: pa.Array) -> pa.Array:
     )
 
 
+def _apart(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose classes are not in one component yet."""
+    side = lambda k: known.select(F.col("node").alias(k), F.col("component").alias(f"in_{k}"))
+    both = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
+    return both.filter(F.coalesce("in_a", "a") != F.coalesce("in_b", "b")).select("a", "b")
+
+
 def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, text: str) -> DataFrame:
     """The pairs (a, b) of classes whose sets link."""
     side = lambda k: classes.select(F.col("class").alias(k), F.col("n").alias(f"n_{k}"), F.col("ranges").alias(f"r_{k}"))
@@ -308,8 +317,11 @@ def linked_components(docs: DataFrame, text: str = "text") -> DataFrame:
     hubs = postings.groupBy("token").agg(F.min(F.struct("class", "n", "place")).alias("hub"))
     star = postings.join(hubs, "token").filter(F.col("class") != F.col("hub.class"))
     star = star.filter(may_link(F.col("n"), F.col("place"), F.col("hub.n"), F.col("hub.place")))
-    first = staged(star.select(F.col("hub.class").alias("a"), F.col("class").alias("b")).distinct(), "first-pairs")
-    links = _verified(first, classes, docs, text)
+    stars = staged(star.select(F.col("hub.class").alias("a"), F.col("class").alias("b")).distinct(), "stars")
+    # in a large group nearly all have the same least class, so one pair each joins most of it
+    links = _verified(stars.groupBy("b").agg(F.min("a").alias("a")), classes, docs, text)
+    tried = stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    links = links.union(_verified(_apart(stars, components(links)).join(tried, ["a", "b"], "left_anti"), classes, docs, text))
     known = components(links)
 
     label = F.coalesce("component", "class").alias("component")
@@ -324,9 +336,8 @@ def linked_components(docs: DataFrame, text: str = "text") -> DataFrame:
     other = (F.col("component") == F.col("largest")) | (F.col("o_class") < F.col("class"))
     cross = still.join(outside, "token").filter((F.col("component") != F.col("o_component")) & other)
     cross = cross.filter(may_link(F.col("n"), F.col("place"), F.col("o_n"), F.col("o_place")))
-    second = cross.select(F.least("class", "o_class").alias("a"), F.greatest("class", "o_class").alias("b")).distinct()
-    second = staged(second.join(first, ["a", "b"], "left_anti"), "second-pairs")
-    links = links.union(_verified(second, classes, docs, text))
+    rest = cross.select(F.least("class", "o_class").alias("a"), F.greatest("class", "o_class").alias("b")).distinct()
+    links = links.union(_verified(rest.join(stars, ["a", "b"], "left_anti"), classes, docs, text))
     known = components(links)
 
     named = classes.join(known.withColumnRenamed("node", "class"), "class", "left").select("class", "f2", "n", "doc_id", "copies", label)
