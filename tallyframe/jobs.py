@@ -171,17 +171,17 @@ def recommend(
 RATED_AT = "position long, user int, item int, rating float, rated_at long"
 
 
-def split_ratings(ratings: DataFrame, order: Sequence[str], folds: int = 5) -> dict[str, DataFrame]:
+def split_ratings(ratings: DataFrame, order: Sequence[str], folds: int = 5, max_test: int = 0) -> dict[str, DataFrame]:
     """Test and base parts: ``folds`` runs of the ordered ratings, then the first and second ten of each user.
 
-    Every part is sorted by user and item.
+    With ``max_test`` above 0 the last two test parts have at most so many rows, the first in ``order``. Every part is sorted by user and item.
     """
     folded = S.positional_folds(ratings, order, folds)
     parts = {}
     for i in range(1, folds + 1):
         parts[f"fold{i}.test"], parts[f"fold{i}.base"] = S.fold_test(folded, i), S.fold_base(folded, i)
     for name, start, stop in (("first", 1, 10), ("second", 11, 20)):
-        marked = S.leave_n_out(ratings, "user", order, start, stop, max_test=100_000)
+        marked = S.leave_n_out(ratings, "user", order, start, stop, max_test=max_test)
         parts[f"{name}.test"] = marked.filter("held_out").drop("held_out")
         parts[f"{name}.base"] = marked.filter("NOT held_out").drop("held_out")
     return {name: part.orderBy("user", "item") for name, part in parts.items()}

@@ -68,56 +68,6 @@ def scaled_columns(df: DataFrame, columns: Sequence[str], with_mean: bool = True
     return df.withColumns({c: scale(c) for c in columns})
 
 
-def category_indexer(category: str, unseen: str = "error") -> StringIndexer:
-    """Category to index: most frequent first, ties by name. An unseen category raises by default."""
-    return StringIndexer(inputCol=category, outputCol=f"{category}_index", handleInvalid=unseen)
-
-
-def category_encoder(category: str) -> OneHotEncoder:
-    """Index to one-hot vector with a place for every category."""
-    return OneHotEncoder(inputCol=f"{category}_index", outputCol=f"{category}_vec", dropLast=False)
-
-
-def category_stages(category: str, numeric: Sequence[str], output: str = "features", unseen: str = "error") -> list:
-    """Index and one-hot the category, then assemble it with the numeric columns."""
-    return [
-        category_indexer(category, unseen),
-        category_encoder(category),
-        VectorAssembler(inputCols=[f"{category}_vec", *numeric], outputCol=output),
-    ]
-
-
-def numeric_stages(numeric: Sequence[str], output: str = "features") -> list:
-    return [VectorAssembler(inputCols=list(numeric), outputCol=output)]
-
-
-def indexed_stages(numeric: Sequence[str], max_categories: int = 24, output: str = "features") -> list:
-    """Assemble, then treat every feature with at most ``max_categories`` values as categorical."""
-    return [
-        VectorAssembler(inputCols=list(numeric), outputCol="aFeatures"),
-        VectorIndexer(inputCol="aFeatures", outputCol=output, maxCategories=max_categories),
-    ]
-
-
-def scaler(with_mean: bool = True, source: str = "features", output: str = "scaled") -> StandardScaler:
-    """Divide by the sample deviation, optionally after subtracting the mean; a constant column gives 0."""
-    return StandardScaler(inputCol=source, outputCol=output, withMean=with_mean, withStd=True)
-
-
-def unpack(df: DataFrame, vector: str, names: Sequence[str]) -> DataFrame:
-    """Spread a vector column over double columns and drop it."""
-    kept = [c for c in df.columns if c != vector and c not in names]
-    values = df.withColumn("_values", vector_to_array(F.col(vector)))
-    return values.select(*kept, *[F.col("_values")[i].alias(n) for i, n in enumerate(names)])
-
-
-def scaled_columns(df: DataFrame, columns: Sequence[str], with_mean: bool = True) -> DataFrame:
-    """Replace columns by their scaled values, fitted on ``df`` in one pass."""
-    vectors = VectorAssembler(inputCols=list(columns), outputCol="_raw").transform(df)
-    fitted = scaler(with_mean, "_raw", "_scaled").fit(vectors)
-    return unpack(fitted.transform(vectors).drop("_raw", *columns), "_scaled", columns)
-
-
 def category_index(df: DataFrame, category: str) -> DataFrame:
     """The fitted dictionary with counts: category, index, rows."""
     fitted: Transformer = category_indexer(category).fit(df)

@@ -27,21 +27,18 @@ def group_share(df: DataFrame, *keys: str) -> DataFrame:
     return groups.withColumn("percent", F.col("counts") * 100.0 / total)
 
 
-def crosstab(
-    df: DataFrame, row: str, column: str, values: Sequence | None = None, max_values: int = 1000
-) -> DataFrame:
+def crosstab(df: DataFrame, row: str, column: str, values: Sequence | None = None) -> DataFrame:
     """Counts of every pair of values; the first column is named ``row_column``.
 
-    Without ``values`` the distinct values of ``column`` become columns, which is refused
-    above ``max_values``.
+    Without ``values`` every distinct value of ``column`` becomes a column, ``null`` for NULL. Name
+    the values of a column with very many.
     """
+    label = F.coalesce(F.col(column).cast("string"), F.lit("null"))
     if values is None:
-        found = df.select(column).distinct().orderBy(column).limit(max_values + 1).collect()
-        if len(found) > max_values:
-            raise ValueError(f"{column} has more than {max_values} values: name the ones to show")
-        values = [r[0] for r in found if r[0] is not None]
-    table = df.groupBy(F.col(row).alias(f"{row}_{column}")).pivot(column, list(values)).agg(F.count(F.lit(1)))
-    return table.fillna(0, subset=[str(v) for v in values])
+        values = [r[0] for r in df.select(label.alias("value")).distinct().orderBy("value").collect()]
+    names = [str(v) for v in values]
+    table = df.select(F.col(row).alias(f"{row}_{column}"), label.alias("_label")).groupBy(f"{row}_{column}")
+    return table.pivot("_label", names).agg(F.count(F.lit(1))).fillna(0, subset=names)
 
 
 def extents(df: DataFrame, *columns: str) -> DataFrame:

@@ -91,9 +91,9 @@ def prj_rename(t: Tables) -> DataFrame:
     return named.select("vec_id", *[F.round(n, 6).alias(n) for n in names.values()], "label")
 
 
-@query("flt_conjunction", USERS + "SELECT * FROM users WHERE occupation = 'BUILDING' AND gender = 'M' AND age = 24")
+@query("flt_conjunction", USERS + "SELECT * FROM users WHERE occupation = 'BUILDING' AND gender = 'M' AND age = 25")
 def flt_conjunction(t: Tables) -> DataFrame:
-    return t.users().filter((F.col("occupation") == "BUILDING") & (F.col("gender") == "M") & (F.col("age") == 24))
+    return t.users().filter((F.col("occupation") == "BUILDING") & (F.col("gender") == "M") & (F.col("age") == 25))
 
 
 JOINED_SQL = """
@@ -134,13 +134,13 @@ def join_left_sql(t: Tables) -> DataFrame:
     "join_left_then_filter",
     USERS_ZIP
     + """SELECT u.*, z.city, z.state FROM users u LEFT JOIN zipcodes z ON TRY_CAST(u.zipcode AS INT) = z.zipcode
-         WHERE z.state = 'FRANCE'""",
+         WHERE z.state = 'NATION_7'""",
 )
 def join_left_then_filter(t: Tables) -> DataFrame:
     _views(t)
     return t.spark.sql(
         """SELECT u.*, z.city, z.state FROM user_table u
-           LEFT JOIN zipcode_table z ON try_cast(u.zipcode AS int) = z.zipcode WHERE z.state = 'FRANCE'"""
+           LEFT JOIN zipcode_table z ON try_cast(u.zipcode AS int) = z.zipcode WHERE z.state = 'NATION_7'"""
     )
 
 
