@@ -151,7 +151,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[bytes, bytes] = {}
+        self.forget()
         # a byte-level tokenizer that splits at spaces leaves a word whole, so the word goes to the model at once
         split = self.tokenizer.pre_tokenizer.pre_tokenize_str(" ab c") if self.tokenizer.pre_tokenizer else []
         self.byte_level = self.tokenizer.normalizer is None and [x for x, _ in split] == ["\u0120ab", "\u0120c"]
@@ -163,12 +163,32 @@ class Encoder:
             ids = [t.id for t in self.model.tokenize(piece.decode("latin-1").translate(_BYTE_CHARS))]
         else:
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        ids = np.array(ids, "<u4").tobytes()
-        if len(piece) < 64:
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            self.known[piece] = ids
-        return ids
+        return np.array(ids, "<u4").tobytes()
+
+    def forget(self) -> None:
+        """Known pieces as arrays: hashes, ascending, with begin and number of their ids in ``ids``."""
+        self.hashes, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.uint32)
+        self.begins, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _look_up(self, hashes: np.ndarray, raw: bytes, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Begin and number of the ids of distinct pieces in ``ids``; unknown ones are tokenized and added."""
+        if len(self.hashes) > REMEMBERED:
+            self.forget()
+        at = np.searchsorted(self.hashes, hashes)
+        new = np.ones(len(hashes), bool)
+        inside = at < len(self.hashes)
+        new[inside] = self.hashes[at[inside]] != hashes[inside]
+        fresh = np.flatnonzero(new)
+        fresh = fresh[np.argsort(hashes[fresh])]
+        found = [self._ids(raw[a:b]) for a, b in zip(starts[fresh].tolist(), stops[fresh].tolist(), strict=True)]
+        lengths = np.array([len(x) >> 2 for x in found], np.int64)
+        begins = len(self.ids) + np.cumsum(lengths) - lengths
+        self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(found), "<u4")])
+        self.hashes, self.begins, self.lengths = (
+            np.insert(old, at[fresh], some) for old, some in ((self.hashes, hashes[fresh]), (self.begins, begins), (self.lengths, lengths))
+        )
+        at = np.searchsorted(self.hashes, hashes)
+        return self.begins[at], self.lengths[at]
 
     def _borders(self, data: np.ndarray, raw: bytes) -> np.ndarray:
         """Places before which a piece ends."""
@@ -196,16 +216,11 @@ class Encoder:
         which, distinct = pd.factorize(arrays.span_hashes(data, starts, stops))
         first = np.empty(len(distinct), np.int64)
         first[which[::-1]] = np.arange(len(which))[::-1]
-        found = []
-        for a, b in zip(starts[first].tolist(), stops[first].tolist(), strict=True):
-            piece = raw[a:b]
-            found.append(self.known.get(piece) or self._ids(piece))
-        lengths = np.array([len(x) >> 2 for x in found])
-        table = np.frombuffer(b"".join(found), "<u4")
+        begins, lengths = self._look_up(distinct, raw, starts[first], stops[first])
         per_piece = lengths[which]
         ends = np.cumsum(per_piece)
-        shift = (np.cumsum(lengths) - lengths)[which] - (ends - per_piece)
-        ids = table[np.repeat(shift, per_piece) + np.arange(ends[-1])]
+        shift = begins[which] - (ends - per_piece)
+        ids = self.ids[np.repeat(shift, per_piece) + np.arange(ends[-1])]
         upto = np.concatenate([[0], ends])[np.searchsorted(starts, offsets)]
         return ids, np.diff(upto)
 
