@@ -1,7 +1,7 @@
 """Quality classifier: a sparse ensemble of rules over text statistics.
 
-The statistics are DataFrame functions and are stored once per document. Boosted and bagged
-trees are fitted on the labelled ones; every path of a tree is a rule, a conjunction of
+The statistics are DataFrame functions and are stored once per document. Two forests of bagged
+trees, one of them on balanced weights, are fitted on the labelled ones; every path of a tree is a rule, a conjunction of
 thresholds on statistics. A logistic regression with lasso penalty over the rules keeps few of
 them, and those are compiled into one Spark column expression, with which all documents are
 scored. All labelled rows are learned from.
