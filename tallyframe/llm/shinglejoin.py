@@ -10,10 +10,12 @@ sums over the set, so copies cost one row each and are never paired.
    their count. (count level, hash) orders all shingles, rare first.
 2. Each class sends the prefix of its set, which any linked set must meet. Shingles that
    only one class sent are dropped where they meet. Frequent ones are not gathered anywhere.
-3. Per shared shingle, each class is paired with the least class only, first with the least of
-   all its shingles, then with the others that are still in another component. After length and
-   positional filter a pair is checked once: suffix filter (shingles per hash range bound the
-   intersection), then the sets themselves. Links give components.
+3. Per shared shingle, each class is paired with one class only, the hub: the class with the most
+   frequent prefix, or the least of equals. Edits make new, rare shingles, so the hub of a group
+   of near copies is close to what they were made from, and links with most of them. First each
+   class meets the foremost of its hubs, then those that are still in another component. After
+   length and positional filter a pair is checked once: suffix filter (shingles per hash range
+   bound the intersection), then the sets themselves. Links give components.
 4. Where the classes of a shingle are still in several components, the classes outside the
    largest one are paired with all classes of other components, and checked the same way.
    Pairs within a component need no check: they cannot change the components.
@@ -159,11 +161,14 @@ def _prefixes(shared, bits: int):
                     if n and f not in seen:  # copies within a task are sent once
                         seen.add(f)
                         new[i] = True
-                use = new[row] & (place < prefix_length(counts)[row])
-                parts.append((hashes[use], f1[row[use]], counts[row[use]], place[use], level[use] > 0))
+                inside = place < prefix_length(counts)[row]
+                sums = np.bincount(row[inside], level[inside], len(counts))
+                weight = (256 * sums / np.maximum(prefix_length(counts), 1)).astype(np.int64)
+                use = new[row] & inside
+                parts.append((hashes[use], f1[row[use]], counts[row[use]], place[use], weight[row[use]], level[use] > 0))
             if not parts:
                 continue
-            token, f1, n, place, hot = map(np.concatenate, zip(*parts, strict=True))
+            token, f1, n, place, weight, hot = map(np.concatenate, zip(*parts, strict=True))
             part = (token >> U64(64 - bits)).astype(np.int64) if bits else np.zeros(len(token), np.int64)
             part = np.where(hot, (number * 7919 + np.arange(len(part)) // 4096) % (1 << bits), part)
             order = np.lexsort((token, part, hot))
@@ -171,12 +176,11 @@ def _prefixes(shared, bits: int):
             rows = []
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
                 s = order[a:b]
-                rows.append(
-                    (int(part[s[0]]), bool(hot[s[0]]), token[s].tobytes(), f1[s].tobytes(), n[s].astype("<u4").tobytes(), place[s].astype("<u4").tobytes())
-                )
-            columns = list(zip(*rows, strict=True)) or [()] * 6
-            kinds = (pa.int32(), pa.bool_(), *[pa.binary()] * 4)
-            names = ["part", "hot", "token", "class", "n", "place"]
+                small = [x[s].astype("<u4").tobytes() for x in (n, place, weight)]
+                rows.append((int(part[s[0]]), bool(hot[s[0]]), token[s].tobytes(), f1[s].tobytes(), *small))
+            columns = list(zip(*rows, strict=True)) or [()] * 7
+            kinds = (pa.int32(), pa.bool_(), *[pa.binary()] * 5)
+            names = ["part", "hot", "token", "class", "n", "place", "weight"]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
     return prefixes
@@ -189,9 +193,8 @@ def _shared_only(group: pa.Table) -> pa.Table:
         rows = [r for r in group.to_pylist() if r["hot"] == hot]
         if not rows:
             continue
-        token, f1, n, place = (
-            np.concatenate([np.frombuffer(r[c], k) for r in rows]) for c, k in (("token", "<i8"), ("class", "<i8"), ("n", "<u4"), ("place", "<u4"))
-        )
+        kinds = {"token": "<i8", "class": "<i8", "n": "<u4", "place": "<u4", "weight": "<u4"}
+        token, f1, n, place, weight = (np.concatenate([np.frombuffer(r[c], k) for r in rows]) for c, k in kinds.items())
         order = np.lexsort((f1, token))
         token, f1 = token[order], f1[order]
         keep = np.ones(len(token), bool)
@@ -203,11 +206,12 @@ def _shared_only(group: pa.Table) -> pa.Table:
             shared[1:] |= same
             shared[:-1] |= same
             order, token, f1 = order[shared], token[shared], f1[shared]
-        out.append(pa.table({"token": token, "class": f1, "n": n[order].astype(np.int64), "place": place[order].astype(np.int64)}))
+        small = {c: x[order].astype(np.int64) for c, x in (("n", n), ("place", place), ("weight", weight))}
+        out.append(pa.table({"token": token, "class": f1, **small}))
     return pa.concat_tables(out)
 
 
-_POSTING = "token long, class long, n long, place long"
+_POSTING = "token long, class long, n long, place long, weight long"
 
 
 def may_link(n: Column, place: Column, m: Column, other: Column) -> Column:
@@ -311,17 +315,21 @@ def linked_components(docs: DataFrame, text: str = "text") -> DataFrame:
     classes = staged(classes.withColumnRenamed("f1", "class"), "classes")
 
     shared = spark.sparkContext.broadcast(frequent_shingles(docs, text, bits))
-    packed = docs.select(text).mapInArrow(_prefixes(shared, bits), "part int, hot boolean, token binary, class binary, n binary, place binary")
+    packed = docs.select(text).mapInArrow(_prefixes(shared, bits), "part int, hot boolean, token binary, class binary, n binary, place binary, weight binary")
     postings = staged(dealt(packed, bits).groupBy("part").applyInArrow(_shared_only, _POSTING), "postings").distinct()
 
-    hubs = postings.groupBy("token").agg(F.min(F.struct("class", "n", "place")).alias("hub"))
+    order = F.struct((-F.col("weight")).alias("first"), "class", "n", "place")
+    hubs = postings.groupBy("token").agg(F.min(order).alias("hub"))
     star = postings.join(hubs, "token").filter(F.col("class") != F.col("hub.class"))
     star = star.filter(may_link(F.col("n"), F.col("place"), F.col("hub.n"), F.col("hub.place")))
-    stars = staged(star.select(F.col("hub.class").alias("a"), F.col("class").alias("b")).distinct(), "stars")
-    # in a large group nearly all have the same least class, so one pair each joins most of it
-    links = _verified(stars.groupBy("b").agg(F.min("a").alias("a")), classes, docs, text)
-    tried = stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    links = links.union(_verified(_apart(stars, components(links)).join(tried, ["a", "b"], "left_anti"), classes, docs, text))
+    met = staged(star.select("class", F.struct("hub.first", "hub.class").alias("hub")).distinct(), "stars")
+    pair = [F.least("class", "hub.class").alias("a"), F.greatest("class", "hub.class").alias("b")]
+    # in a large group nearly all have the same first hub, so one pair each joins most of it
+    tried = staged(met.groupBy("class").agg(F.min("hub").alias("hub")).select(*pair).distinct(), "first")
+    stars = staged(met.select(*pair).distinct(), "pairs")
+    links = _verified(tried, classes, docs, text)
+    others = _apart(stars, components(links)).join(tried, ["a", "b"], "left_anti")
+    links = links.union(_verified(others, classes, docs, text))
     known = components(links)
 
     label = F.coalesce("component", "class").alias("component")
