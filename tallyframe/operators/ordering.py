@@ -24,6 +24,11 @@ def ranges_for(rows: int, rows_per_range: int = ROWS_PER_RANGE) -> int:
     return max(1, min(-(-rows // rows_per_range), MAX_RANGES))
 
 
+def _ranges(df: DataFrame, rows: int, rows_per_range: int) -> int:
+    """As many ranges as the session has shuffle partitions, or more where the rows ask for them."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), ranges_for(rows, rows_per_range))
+
+
 def _ranged(df: DataFrame, order: Sequence[str], ranges: int) -> DataFrame:
     """``df`` as a stored table in ``ranges`` sorted ranges, with range number and place, from 1, in the range."""
     sorted_ranges = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
@@ -56,12 +61,7 @@ def running_sums(
     it decides how many ranges there are.
     """
     upto = (Window.unboundedPreceding, Window.currentRow)
-    ranges = ranges_for(rows, rows_per_range)
-    if ranges == 1:
-        # at most rows_per_range rows
-        window = Window.orderBy(*order).rowsBetween(*upto)
-        return df.select("*", *[F.sum(v).over(window).alias(n) for n, v in sums.items()])
-    ranged = _ranged(df, order, ranges)
+    ranged = _ranged(df, order, _ranges(df, rows, rows_per_range))
     window = Window.partitionBy(_RANGE).orderBy(_PLACE).rowsBetween(*upto)
     inside = ranged.select("*", *[F.sum(v).over(window).alias(n) for n, v in sums.items()])
     totals = ranged.groupBy(_RANGE).agg(*[F.sum(v).alias(n) for n, v in sums.items()])
@@ -75,9 +75,6 @@ def row_position(
 
     One shuffle: the place within a range is known from the sort.
     """
-    ranges = ranges_for(rows, rows_per_range)
-    if ranges == 1:
-        return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long"))
-    ranged = _ranged(df, order, ranges).withColumnRenamed(_PLACE, name)
+    ranged = _ranged(df, order, _ranges(df, rows, rows_per_range)).withColumnRenamed(_PLACE, name)
     totals = ranged.groupBy(_RANGE).agg(F.count("*").alias(name))
     return _shifted(ranged, totals, df.columns, [name])
