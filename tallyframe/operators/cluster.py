@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Hashable, Iterator, Mapping, Sequence
+from contextlib import ExitStack, contextmanager
 from dataclasses import dataclass
 from itertools import combinations
 from multiprocessing.pool import ThreadPool
@@ -58,37 +58,58 @@ def weighted_points(df: DataFrame, columns: Sequence[str]) -> Iterator[Points]:
         held.unpersist()
 
 
-def best_kmeans(
-    points: Points,
+def best_of_each(
+    points: Mapping[Hashable, Points],
     ks: Sequence[int],
     starts: int = 10,
     max_iter: int = 100,
     tolerance: float = 1e-4,
     seed: int = 1,
     parallelism: int = 8,
-) -> dict[int, tuple[KMeansModel, float]]:
-    """Per number of clusters, the model with the lowest cost of ``starts`` runs, and that cost.
+) -> dict[tuple[Hashable, int], tuple[KMeansModel, float]]:
+    """Per named point set and number of clusters, the model with the lowest cost of ``starts`` runs, and that cost.
 
-    A run stops after ``max_iter`` passes, or when the squared moves of all centers together
+    All runs share one pool, so that none waits for the last run of another set. A run stops after ``max_iter`` passes, or when the squared moves of all centers together
     are at most ``tolerance`` of the columns' mean variance.
     """
 
-    def run(setting: tuple[int, int]) -> tuple[int, float, int, KMeansModel]:
-        k, start = setting
+    def run(setting: tuple[Hashable, int, int]) -> tuple[KMeansModel, float]:
+        name, k, start = setting
         # the stop rule of Spark is on the move of each single center
-        move = math.sqrt(max(tolerance * points.variance, 0.0) / k)
+        move = math.sqrt(max(tolerance * points[name].variance, 0.0) / k)
         kmeans = KMeans(
             k=k, maxIter=max_iter, tol=move, seed=seed + start, featuresCol="features", weightCol="weight",
             solver="block",
         )
-        model = kmeans.fit(points.frame)
-        return k, model.summary.trainingCost, start, model
+        model = kmeans.fit(points[name].frame)
+        return model, model.summary.trainingCost
 
-    settings = [(k, start) for k in ks for start in range(starts)]
+    settings = [(name, k, start) for name in points for k in ks for start in range(starts)]
+    session = next(iter(points.values())).frame.sparkSession
     with ThreadPool(max(1, min(parallelism, len(settings)))) as pool:
-        runs = pool.map(inheritable_thread_target(points.frame.sparkSession)(run), settings, chunksize=1)
-    best = {k: min((r for r in runs if r[0] == k), key=lambda r: r[1:3]) for k in ks}
-    return {k: (model, cost) for k, (_, cost, _, model) in best.items()}
+        runs = pool.map(inheritable_thread_target(session)(run), settings, chunksize=1)
+    best: dict[tuple[Hashable, int], tuple[KMeansModel, float]] = {}
+    for (name, k, _), done in zip(settings, runs):
+        if (name, k) not in best or done[1] < best[name, k][1]:  # the earliest of equals
+            best[name, k] = done
+    return best
+
+
+def best_kmeans(points: Points, ks: Sequence[int], starts: int = 10, **more) -> dict[int, tuple[KMeansModel, float]]:
+    """``best_of_each`` of one point set."""
+    return {k: found for (_, k), found in best_of_each({"points": points}, ks, starts, **more).items()}
+
+
+@contextmanager
+def points_of_pairs(df: DataFrame, pairs: Sequence[Sequence[str]]) -> Iterator[dict[tuple[str, str], Points]]:
+    """The weighted points of every pair, from one held copy of the columns."""
+    columns = df.select(*sorted({c for pair in pairs for c in pair})).persist()
+    with ExitStack() as held:
+        try:
+            points = {(x, y): held.enter_context(weighted_points(columns, (x, y))) for x, y in pairs}
+        finally:
+            columns.unpersist()
+        yield points
 
 
 def squared_distance(columns: Sequence[str], center: Sequence[float]) -> Column:
@@ -114,11 +135,11 @@ def elbow(
     df: DataFrame, pairs: Sequence[Sequence[str]], ks: Sequence[int] = (2, 3, 4, 5), starts: int = 10, parallelism: int = 8
 ) -> DataFrame:
     """Cost of the best clustering for every column pair and number of clusters."""
-    rows = []
-    for x, y in pairs:
-        with weighted_points(df, (x, y)) as points:
-            best = best_kmeans(points, ks, starts, parallelism=parallelism)
-        rows += [(x, y, k, cost) for k, (_, cost) in best.items()]
+    if not pairs:
+        return df.sparkSession.createDataFrame([], "x string, y string, k int, sse double")
+    with points_of_pairs(df, pairs) as points:
+        best = best_of_each(points, ks, starts, parallelism=parallelism)
+    rows = [(x, y, k, cost) for ((x, y), k), (_, cost) in best.items()]
     return df.sparkSession.createDataFrame(rows, "x string, y string, k int, sse double")
 
 
@@ -128,11 +149,13 @@ def report(
     """Per column pair one row per cluster: rows, center, and the limits of a square view on all rows."""
     box = {r["name"]: r for r in extents(df, *sorted({c for pair in pairs for c in pair})).collect()}
     rows = []
-    for x, y in pairs:
-        with weighted_points(df, (x, y)) as points:
-            model, cost = best_kmeans(points, [k], starts, parallelism=parallelism)[k]
-            cluster = F.col("prediction").alias("cluster")
-            sizes = model.transform(points.frame).groupBy(cluster).agg(F.sum("weight").cast("long").alias("counts")).collect()
+    counts, cluster = F.sum("weight").cast("long").alias("counts"), F.col("prediction").alias("cluster")
+    found = {}
+    if pairs:
+        with points_of_pairs(df, pairs) as points:
+            for (pair, _), (model, cost) in best_of_each(points, [k], starts, parallelism=parallelism).items():
+                found[pair] = model, cost, model.transform(points[pair].frame).groupBy(cluster).agg(counts).collect()
+    for (x, y), (model, cost, sizes) in found.items():
         half = max(box[x]["spread"] + 1, box[y]["spread"] + 1) / 2
         limits = [box[c]["mean"] + s * half for c in (x, y) for s in (-1, 1)]
         centers = [[float(v) for v in center] for center in model.clusterCenters()]

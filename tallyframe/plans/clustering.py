@@ -47,9 +47,9 @@ def clu_kmeans(t: Tables) -> DataFrame:
 
 @query("clu_elbow")
 def clu_elbow(t: Tables) -> DataFrame:
-    return K.elbow(_lines(t), K.column_pairs(LINE_NUMBERS), starts=2)
+    return K.elbow(_lines(t), K.column_pairs(LINE_NUMBERS))
 
 
 @query("clu_report")
 def clu_report(t: Tables) -> DataFrame:
-    return K.report(_lines(t), K.column_pairs(LINE_NUMBERS), 3, starts=2)
+    return K.report(_lines(t), K.column_pairs(LINE_NUMBERS), 3)
