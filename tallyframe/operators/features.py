@@ -34,11 +34,17 @@ def numeric_stages(numeric: Sequence[str], output: str = "features") -> list:
     return [VectorAssembler(inputCols=list(numeric), outputCol=output)]
 
 
-def indexed_stages(numeric: Sequence[str], max_categories: int = 24, output: str = "features") -> list:
-    """Assemble, then treat every feature with at most ``max_categories`` values as categorical."""
+def indexed_stages(
+    numeric: Sequence[str], max_categories: int = 24, output: str = "features", unseen: str = "error"
+) -> list:
+    """Assemble, then treat every feature with at most ``max_categories`` values as categorical.
+
+    A value of such a feature that was not there when fitting raises by default; with
+    ``unseen="keep"`` all of them are one category more.
+    """
     return [
         VectorAssembler(inputCols=list(numeric), outputCol="aFeatures"),
-        VectorIndexer(inputCol="aFeatures", outputCol=output, maxCategories=max_categories),
+        VectorIndexer(inputCol="aFeatures", outputCol=output, maxCategories=max_categories, handleInvalid=unseen),
     ]
 
 

@@ -26,6 +26,11 @@ def clean_pages(t: Tables) -> DataFrame:
     return clean_numeric(raw, raw.columns[2:])
 
 
+def all_pages(t: Tables) -> DataFrame:
+    """Pages to score, labelled or not, without the label."""
+    return clean_numeric(t.raw_pages(labelled=False).drop("label"), PAGE_NUMBERS)
+
+
 @query("ftr_string_index", INDEXED + "SELECT * FROM categories")
 def ftr_string_index(t: Tables) -> DataFrame:
     return V.category_index(clean_pages(t).select("alchemy_category"), "alchemy_category")

@@ -21,7 +21,7 @@ from tallyframe.plans.features import SCORED
 from tallyframe.plans.registry import query
 from tallyframe.plans.relational import HOURS, PAGES
 from tallyframe.plans.splits import bucket_sql
-from tallyframe.plans.tables import HOUR_FEATURES, PAGE_NUMBERS, VECTOR_SIZE, Tables
+from tallyframe.plans.tables import ALL_PAGES_SQL, HOUR_FEATURES, PAGE_NUMBERS, VECTOR_SIZE, Tables
 from tallyframe.session import staged
 from tallyframe.sources.layouts import HOURLY_UNUSED
 
@@ -121,7 +121,7 @@ def _hour_scores(t: Tables, stages: list, estimator) -> DataFrame:
 
 @query("reg_tree")
 def reg_tree(t: Tables) -> DataFrame:
-    return _hour_scores(t, V.indexed_stages(HOUR_FEATURES), M.tree_regressor())
+    return _hour_scores(t, V.indexed_stages(HOUR_FEATURES, unseen="keep"), M.tree_regressor())
 
 
 @query("reg_tree_variance")
@@ -131,15 +131,15 @@ def reg_tree_variance(t: Tables) -> DataFrame:
 
 @query("reg_gbt")
 def reg_gbt(t: Tables) -> DataFrame:
-    return _hour_scores(t, V.indexed_stages(HOUR_FEATURES), M.boosted_regressor(maxDepth=5, maxBins=25, maxIter=10))
+    return _hour_scores(t, V.indexed_stages(HOUR_FEATURES, unseen="keep"), M.boosted_regressor(maxDepth=5, maxBins=25, maxIter=10))
 
 
 @query("prd_scored")
 def prd_scored(t: Tables) -> DataFrame:
-    """A model of the labelled pages applied to every page, labelled or not in the training part."""
-    pages = clean_pages(t)
-    model = M.fit(page_stages(), M.tree_classifier("entropy", 5, 5), two_parts(pages, "url")[0])
-    return M.describe(model.transform(pages.drop("label")), PAGE_KINDS).select("url", "prediction", "description")
+    """A model of the labelled pages applied to every page; a category without labelled pages is one of its own."""
+    stages = V.category_stages("alchemy_category", PAGE_NUMBERS, unseen="keep")
+    model = M.fit(stages, M.tree_classifier("entropy", 5, 5), two_parts(clean_pages(t), "url")[0])
+    return M.describe(model.transform(P.all_pages(t)), PAGE_KINDS).select("url", "prediction", "description")
 
 
 # Gradient steps in SQL: one CTE pair per step, weights start at 0.
@@ -240,11 +240,12 @@ def cls_naive_bayes(t: Tables) -> DataFrame:
     BAYES_FITTED
     + f"""SELECT url, prediction, CASE prediction WHEN 0 THEN '{PAGE_KINDS[0]}' WHEN 1 THEN '{PAGE_KINDS[1]}' END AS description
           FROM (SELECT url, arg_max(p.label, p.pi + {' + '.join(f's.{c} * p.{c}' for c in PAGE_NUMBERS)}) AS prediction
-                FROM scaled s, params p GROUP BY url)""",
+                FROM (SELECT url, {', '.join(f'{c} / s_{c} AS {c}' for c in PAGE_NUMBERS)} FROM ({ALL_PAGES_SQL}), spread) s,
+                     params p GROUP BY url)""",
 )
 def prd_scored_bayes(t: Tables) -> DataFrame:
-    model, train, test = _bayes(t)
-    pages = train.unionByName(test).drop("label")
+    model, _, _ = _bayes(t)
+    pages = P.all_pages(t).withColumns({c: clamp_nonnegative(c) for c in PAGE_NUMBERS})
     return M.describe(model.transform(pages), PAGE_KINDS).select("url", "prediction", "description")
 
 
@@ -340,7 +341,7 @@ def tun_train_validation(t: Tables) -> DataFrame:
 def tun_cross_validation(t: Tables) -> DataFrame:
     train, _ = two_parts(hourly(t), "instant")
     grid = {"maxDepth": [5, 10], "maxBins": [25, 35]}
-    stages = V.indexed_stages(HOUR_FEATURES)
+    stages = V.indexed_stages(HOUR_FEATURES, unseen="keep")
     return U.cross_validation(stages, M.tree_regressor(), grid, E.rmse_evaluator("cnt"), train)[1]
 
 

@@ -35,6 +35,9 @@ SELECT CAST(d.doc_id AS VARCHAR) AS url, lang AS alchemy_category,
        CAST(quality AS DOUBLE) AS label
 FROM documents d JOIN labels l ON d.doc_id = l.doc_id"""
 
+#: All documents; the label of one without is NULL.
+ALL_PAGES_SQL = PAGES_SQL.replace("JOIN labels", "LEFT JOIN labels")
+
 HOURS_SQL = """
 SELECT CAST(epoch(date_trunc('hour', ts)) AS BIGINT) // 3600 AS instant,
        strftime(date_trunc('hour', ts), '%Y-%m-%d') AS dteday,
@@ -94,8 +97,8 @@ class Tables:
             F.col("n_name").alias("state"),
         )
 
-    def raw_pages(self) -> DataFrame:
-        """Labelled pages as text, with ``?`` for a missing number. Texts are measured before the join."""
+    def raw_pages(self, labelled: bool = True) -> DataFrame:
+        """Labelled pages, or all, as text, with ``?`` for a missing number. Texts are measured before the join."""
         measured = self("documents").select(
             "doc_id",
             F.col("lang").alias("alchemy_category"),
@@ -105,7 +108,7 @@ class Tables:
             F.length(F.regexp_replace("text", "[^0-9]", "")).cast("string").alias("n_digits"),
         )
         labels = self("labels").select("doc_id", F.col("quality").cast("string").alias("label"))
-        return measured.join(labels, "doc_id").select(
+        return measured.join(labels, "doc_id", "inner" if labelled else "left").select(
             F.col("doc_id").cast("string").alias("url"), "alchemy_category", *PAGE_NUMBERS, "label"
         )
 
