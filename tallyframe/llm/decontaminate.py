@@ -96,6 +96,14 @@ def contamination(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", block: int = BLOCK
 ) -> DataFrame:
     """Per document: row, doc_id, n_words, n_hit and the sorted ``items`` that have windows in it."""
+    marked = docs.withColumn("row", F.monotonically_increasing_id()).select("row", "doc_id", text)
+    return _contamination(marked, benchmark, text, item, item_text, block, stored=False)
+
+
+def _contamination(
+    marked: DataFrame, benchmark: DataFrame, text: str, item: str, item_text: str, block: int, stored: bool
+) -> DataFrame:
+    """``stored``: the numbers of ``marked`` are written and not made by each scan."""
     found = staged(windows(benchmark, item, item_text), "windows")
     tokens = staged(window_tokens(found.select("window").distinct()), "window-tokens")
     vocabulary = tokens.select("token", "size").distinct()
@@ -104,7 +112,8 @@ def contamination(
     sizes = sorted(per_size) or [SHINGLE]
     blocks = max(1, -(-sum(per_size.values()) // block))
 
-    marked = docs.withColumn("row", F.monotonically_increasing_id())
+    if blocks > 1 and not stored:  # each block scans: files may be split in other places then, so numbers are written
+        marked = staged(marked, "numbered")
     parts = []
     for i in range(blocks):
         some = vocabulary.filter(F.pmod(F.xxhash64("token"), F.lit(blocks)) == i).select("token")
@@ -159,10 +168,11 @@ def contamination_query(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents with no hit; ``docs`` must be stored, as its rows are numbered twice."""
-    hit = contamination(docs, benchmark).filter("n_hit > 0").select(F.col("row").alias("_row"))
-    marked = docs.withColumn("_row", F.monotonically_increasing_id())
-    return marked.join(hit, "_row", "left_anti").drop("_row")
+    """The documents with no hit. They are numbered and written once: each scan would number them its own way."""
+    marked = staged(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    named = marked.select(F.col("_row").alias("row"), "doc_id", "text")
+    hit = _contamination(named, benchmark, "text", "item_id", "text", BLOCK, stored=True).filter("n_hit > 0")
+    return marked.join(hit.select(F.col("row").alias("_row")), "_row", "left_anti").drop("_row")
 
 
 CONTAMINATION_SQL = r"""
