@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.base import Transformer
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler, VectorIndexer
+from pyspark.ml.feature import OneHotEncoder, OneHotEncoderModel, StandardScaler, StringIndexer, VectorAssembler, VectorIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +22,11 @@ def category_encoder(category: str) -> OneHotEncoder:
     return OneHotEncoder(inputCol=f"{category}_index", outputCol=f"{category}_vec", dropLast=False)
 
 
+def category_size(fitted: PipelineModel) -> int:
+    """Places of the one-hot vector of a fitted ``category_encoder``."""
+    return next(s.categorySizes[0] for s in fitted.stages if isinstance(s, OneHotEncoderModel))
+
+
 def category_stages(category: str, numeric: Sequence[str], output: str = "features", unseen: str = "error") -> list:
     """Index and one-hot the category, then assemble it with the numeric columns."""
     return [

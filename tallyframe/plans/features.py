@@ -46,8 +46,9 @@ def ftr_string_index(t: Tables) -> DataFrame:
 def ftr_one_hot(t: Tables) -> DataFrame:
     pages = clean_pages(t).select("url", "alchemy_category")
     stages = [V.category_indexer("alchemy_category"), V.category_encoder("alchemy_category")]
-    coded = Pipeline(stages=stages).fit(pages).transform(pages).select("url", "alchemy_category_vec")
-    return V.unpack(coded, "alchemy_category_vec", [f"is{i}" for i in range(4)])
+    fitted = Pipeline(stages=stages).fit(pages)
+    coded = fitted.transform(pages).select("url", "alchemy_category_vec")
+    return V.unpack(coded, "alchemy_category_vec", [f"is{i}" for i in range(V.category_size(fitted))])
 
 
 @query(
@@ -62,8 +63,9 @@ def ftr_one_hot(t: Tables) -> DataFrame:
 def ftr_assemble(t: Tables) -> DataFrame:
     pages = clean_pages(t)
     stages = V.category_stages("alchemy_category", PAGE_NUMBERS)
-    built = Pipeline(stages=stages).fit(pages).transform(pages).select("url", "label", "features")
-    return V.unpack(built, "features", [f"x{i}" for i in range(4 + len(PAGE_NUMBERS))])
+    fitted = Pipeline(stages=stages).fit(pages)
+    built = fitted.transform(pages).select("url", "label", "features")
+    return V.unpack(built, "features", [f"x{i}" for i in range(V.category_size(fitted) + len(PAGE_NUMBERS))])
 
 
 @query(
