@@ -1,21 +1,22 @@
 """Language-model scoring with a hierarchical Pitman-Yor model.
 
-Two levels of Chinese restaurants: one restaurant per context, a context being the hash of
-the word before in ``CONTEXTS`` values, and their shared parent, whose base is uniform over the
+Two levels of Chinese restaurants: one restaurant per context, a context being the 64-bit hash
+of the word before, and their shared parent, whose base is uniform over the
 words seen and one for all others. A customer of a context restaurant is a token; its tables
 are the customers of the parent. A Gibbs step takes all customers of one dish (word) out of a
 restaurant and seats them again one after the other, each at a new table with probability in
 proportion to (strength + discount * tables) * parent's probability. Customers after the first
 ``EXACT`` of a dish are seated in runs of an eighth of those before, with the probability
 held within a run. All dishes of a part are sampled together in numpy; the numbers of
-tables per context are brought together after every round. Probabilities are averaged over
+tables per context are brought together after every round: each part sends the sums of the
+contexts that it has to the context's own part, which answers with the sums of all. Probabilities are averaged over
 the samples of the last ``SAMPLES`` rounds.
 
 Everything of a word (count, seating, scores of its tokens) is in the part that its hash
-names. Tasks count the (word, context) pairs of a batch before sending them. Tokens to be
+names, also the contexts of texts that teach nothing, with a count of 0. Tasks count the (word, context) pairs of a batch before sending them. Tokens to be
 scored travel as packed arrays of a batch; words that make up more than half of an average
 part are spread over several parts, each with a copy of that word's seating. What goes to
-all tasks has a fixed size: two numbers per context, and at most ``2 * parts`` frequent words.
+all tasks is a few sums, and at most ``2 * parts`` frequent words.
 
 Null and empty texts are the end token alone. Rows with a null ``doc_id`` are not held out but
 teach nothing. Repeated rows count each for itself. Only ``doc_id`` and the text are read.
@@ -23,6 +24,7 @@ teach nothing. Repeated rows count each for itself. Only ``doc_id`` and the text
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,18 +38,24 @@ from tallyframe.llm import arrays
 from tallyframe.llm.langid import held_out
 from tallyframe.session import discard, staged
 
-CONTEXTS = 1 << 16
 STRENGTH = 1.0
 EXACT = 256
 BURN_IN, SAMPLES = 1, 2
-SLICES = 16
 
 U64 = np.uint64
 START, END = U64(0x5EED0001), U64(0x5EED0002)
 
-# per part: words, pairs of each, and per pair context, customers and tables per sample (latest last);
-# the parent's tables per word and sample
-_STATE = "part int, words binary, runs binary, contexts binary, counts binary, tables array<binary>, roots array<binary>"
+# per part: words, pairs of each, and per pair the context's place in keys, customers and tables per sample
+# (latest last); the parent's tables per word and sample; the contexts of the part, in order, and of each
+# the customers and the tables per sample over all parts (empty until known)
+_STATE = (
+    "part int, words binary, runs binary, contexts binary, counts binary, tables array<binary>, roots array<binary>,"
+    " keys binary, seats array<binary>"
+)
+_COUNTED = "part int, words binary, runs binary, contexts binary, counts binary"
+_SENT = "home int, part int, keys binary, seats array<binary>"
+_ANSWER = "part int, home int, seats array<binary>"
+_SCALARS = ["n", "v", "t", "r", "once", "twice", "root_once", "root_twice"]
 
 
 def part_bits(spark) -> int:
@@ -73,11 +81,11 @@ def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
         words.append(np.insert(arrays.span_hashes(some, starts, stops), np.cumsum(n), END))
         counts.append(n + 1)
     if not words:
-        return np.zeros(0, U64), np.zeros(0, np.uint16), np.zeros(0, np.int64)
+        return np.zeros(0, U64), np.zeros(0, U64), np.zeros(0, np.int64)
     word, n = np.concatenate(words), np.concatenate(counts)
     before = np.concatenate([[START], word[:-1]]).astype(U64)
     before[np.cumsum(n) - n] = START
-    return word, (arrays.mix(before, 3) >> U64(48)).astype(np.uint16), n
+    return word, before, n
 
 
 def _grouped(words: np.ndarray, contexts: np.ndarray, counts: np.ndarray | None = None):
@@ -101,8 +109,9 @@ def _grouped(words: np.ndarray, contexts: np.ndarray, counts: np.ndarray | None
 def _count(bits: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrays.gathered(batches, 0):
-            word, context, _ = tokens(*arrays.text_buffer(batch.column(0)))
-            words, runs, contexts, counts = _grouped(word, context)
+            word, context, n = tokens(*arrays.text_buffer(batch.column(0)))
+            learned = np.repeat(batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64), n)
+            words, runs, contexts, counts = _grouped(word, context, learned)
             parts = _parts_of(words, bits)
             cuts = np.flatnonzero(np.diff(parts, prepend=-1, append=-2))
             at = np.concatenate([[0], np.cumsum(runs)])
@@ -130,16 +139,20 @@ class Seating:
     counts: np.ndarray
     tables: list[np.ndarray]
     roots: list[np.ndarray]
+    keys: np.ndarray
+    seats: list[np.ndarray]
 
     @classmethod
     def read(cls, row: dict) -> Seating:
         return cls(
             np.frombuffer(row["words"], "<u8"),
             np.frombuffer(row["runs"], "<u4").astype(np.int64),
-            np.frombuffer(row["contexts"], "<u2"),
+            np.frombuffer(row["contexts"], "<u4").astype(np.int64),
             np.frombuffer(row["counts"], "<u4").astype(np.int64),
             [np.frombuffer(b, "<u4").astype(np.int64) for b in row["tables"]],
             [np.frombuffer(b, "<u4").astype(np.int64) for b in row["roots"]],
+            np.frombuffer(row["keys"], "<u8"),
+            [np.frombuffer(b, "<i8") for b in row["seats"]],
         )
 
     def row(self, part: int) -> pa.Table:
@@ -148,20 +161,22 @@ class Seating:
         return pa.table(
             {
                 "part": pa.array([part], pa.int32()), "words": blob(self.words), "runs": blob(self.runs.astype("<u4")),
-                "contexts": blob(self.contexts), "counts": blob(self.counts.astype("<u4")),
-                "tables": many(self.tables), "roots": many(self.roots),
+                "contexts": blob(self.contexts.astype("<u4")), "counts": blob(self.counts.astype("<u4")),
+                "tables": many(self.tables), "roots": many(self.roots), "keys": blob(self.keys),
+                "seats": pa.array([[v.tobytes() for v in self.seats]], pa.list_(pa.binary())),
             }
         )
 
-    def seats(self) -> np.ndarray:
-        """Customers per context, tables per context, and scalars of the part."""
-        tables, roots = self.tables[-1], self.roots[-1]
-        per_word = self.per_word(tables)
-        scalars = [
-            self.counts.sum(), len(self.words), per_word.sum(), roots.sum(),
+    def scalars(self) -> list[int]:
+        """What ``_SCALARS`` names, of the part."""
+        per_word = self.per_word(self.tables[-1])
+        return [
+            self.counts.sum(), (self.per_word(self.counts) > 0).sum(), per_word.sum(), self.roots[-1].sum(),
             (self.counts == 1).sum(), (self.counts == 2).sum(), (per_word == 1).sum(), (per_word == 2).sum(),
         ]
-        return np.concatenate([np.bincount(self.contexts, self.counts, CONTEXTS), np.bincount(self.contexts, tables, CONTEXTS), scalars])
+
+    def per_context(self, values: np.ndarray) -> np.ndarray:
+        return np.bincount(self.contexts, values, len(self.keys)).astype("<i8")
 
     def per_word(self, values: np.ndarray) -> np.ndarray:
         return arrays.text_sums(values, self.runs)
@@ -171,18 +186,19 @@ def _merge(group: pa.Table) -> pa.Table:
     words, contexts, counts = [], [], []
     for row in group.to_pylist():
         words.append(np.repeat(np.frombuffer(row["words"], "<u8"), np.frombuffer(row["runs"], "<u4")))
-        contexts.append(np.frombuffer(row["contexts"], "<u2"))
+        contexts.append(np.frombuffer(row["contexts"], "<u8"))
         counts.append(np.frombuffer(row["counts"], "<u4").astype(np.int64))
     w, runs, c, n = _grouped(*map(np.concatenate, (words, contexts, counts)))
-    return Seating(w, runs, c, n, [np.ones(len(n), np.int64)], [np.ones(len(w), np.int64)]).row(group["part"][0].as_py())
+    keys, places = np.unique(c, return_inverse=True)
+    tables = np.minimum(n, 1)
+    roots = np.minimum(arrays.text_sums(tables, runs), 1)
+    return Seating(w, runs, places, n, [tables], [roots], keys, []).row(group["part"][0].as_py())
 
 
 @dataclass(frozen=True)
 class Totals:
-    """Sums over all parts for one sample: customers and tables per context, and of the parent."""
+    """Sums over all parts for one sample."""
 
-    customers: np.ndarray
-    tables: np.ndarray
     tokens: float
     words: float
     root_customers: float
@@ -194,29 +210,65 @@ class Totals:
         return 1 / (self.words + 1)
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(2 * CONTEXTS + 8)
+def _scalars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
-            total += Seating.read(row).seats()
-    cut = [x.tobytes() for x in np.array_split(total, SLICES)]
-    yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array(cut, pa.binary())], ["slice", "seats"])
-
-
-def _sum_slices(group: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(b, float) for b in group["seats"].to_pylist())
-    return pa.table({"slice": group["slice"][:1], "seats": pa.array([total.tobytes()], pa.binary())})
+            yield pa.RecordBatch.from_arrays([pa.array([int(x)], pa.int64()) for x in Seating.read(row).scalars()], _SCALARS)
 
 
 def totals(state: DataFrame) -> Totals:
-    summed = state.mapInArrow(_slices, "slice int, seats binary").groupBy("slice").applyInArrow(_sum_slices, "slice int, seats binary")
-    rows = sorted(summed.collect())  # a fixed number of numbers
-    seats = np.concatenate([np.frombuffer(r["seats"], float) for r in rows]) if rows else np.zeros(2 * CONTEXTS + 8)
-    n, v, t, r, once, twice, root_once, root_twice = seats[2 * CONTEXTS :]
+    found = state.mapInArrow(_scalars, ", ".join(f"{c} long" for c in _SCALARS)).groupBy().sum().first()
+    n, v, t, r, once, twice, root_once, root_twice = (float(x or 0) for x in found)
     discount = lambda a, b: float(np.clip(a / max(a + 2 * b, 1), 0.05, 0.95))
-    return Totals(
-        seats[:CONTEXTS], seats[CONTEXTS : 2 * CONTEXTS], n, v, t, r, discount(once, twice), discount(root_once, root_twice)
-    )
+    return Totals(n, v, t, r, discount(once, twice), discount(root_once, root_twice))
+
+
+def _send(bits: int, whole: bool):
+    """Sums per context of a part, by the part that is the context's home: of the latest tables, or of all there is."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                mine = Seating.read(row)
+                seats = [mine.per_context(x) for x in ([mine.counts, *mine.tables] if whole else mine.tables[-1:])]
+                homes = _parts_of(mine.keys, bits)
+                cuts = np.flatnonzero(np.diff(homes, prepend=-1, append=-2))
+                rows = [
+                    (int(homes[a]), row["part"], mine.keys[a:b].tobytes(), [x[a:b].tobytes() for x in seats])
+                    for a, b in zip(cuts[:-1], cuts[1:], strict=True)
+                ]
+                columns = list(zip(*rows, strict=True)) or [()] * 4
+                kinds = [pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.binary())]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["home", "part", "keys", "seats"]
+                )
+
+    return send
+
+
+def _answer(group: pa.Table) -> pa.Table:
+    """To each part that asked, the sums over all parts of its contexts."""
+    keys = [np.frombuffer(b, "<u8") for b in group["keys"].to_pylist()]
+    ends = np.cumsum([len(k) for k in keys])[:-1]
+    distinct, places = np.unique(np.concatenate(keys), return_inverse=True)
+    answers = []
+    for column in zip(*group["seats"].to_pylist(), strict=True):
+        values = np.concatenate([np.frombuffer(b, "<i8") for b in column])
+        answers.append(np.split(np.bincount(places, values, len(distinct)).astype("<i8")[places], ends))
+    seats = [[x.tobytes() for x in some] for some in zip(*answers, strict=True)]
+    return pa.table({"part": group["part"], "home": group["home"], "seats": pa.array(seats, pa.list_(pa.binary()))})
+
+
+def context_sums(state: DataFrame, bits: int, whole: bool) -> DataFrame:
+    """Per part, the sums of its contexts over all parts, in pieces by the contexts' homes."""
+    sent = state.mapInArrow(_send(max(bits - 2, 0), whole), _SENT)
+    return sent.groupBy("home").applyInArrow(_answer, _ANSWER)
+
+
+def _seats(answers: pa.Table) -> list[np.ndarray]:
+    """In the order of the part's contexts."""
+    pieces = [row["seats"] for row in sorted(answers.to_pylist(), key=lambda r: r["home"])]
+    return [np.concatenate([np.frombuffer(b, "<i8") for b in column]) for column in zip(*pieces, strict=True)]
 
 
 def seat(counts: np.ndarray, weight: np.ndarray, growth: np.ndarray, discount: float, random: np.random.Generator) -> np.ndarray:
@@ -249,55 +301,75 @@ def root_probability(per_word: np.ndarray, roots: np.ndarray, all_: Totals) -> n
     return (np.maximum(per_word - all_.root_discount * roots, 0) + new) / (STRENGTH + all_.root_customers)
 
 
-def _sample(shared, keep: int, round_: int):
-    def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        all_: Totals = shared.value
-        for batch in batches:
-            for row in batch.to_pylist():
-                random = np.random.default_rng([round_, row["part"]])
-                mine = Seating.read(row)
-                tables, roots = mine.tables[-1].copy(), mine.roots[-1]
-                parent = np.repeat(root_probability(mine.per_word(tables), roots, all_), mine.runs)
-                many = np.flatnonzero(mine.counts > 1)  # a single customer has a single table
-                p = parent[many]
-                others = np.maximum(all_.tables[mine.contexts[many]] - tables[many], 0)
-                tables[many] = seat(mine.counts[many], (STRENGTH + all_.discount * others) * p, all_.discount * p, all_.discount, random)
-                base = all_.root_base()
-                per_word = mine.per_word(tables)
-                rest = np.maximum(all_.root_tables - roots, 0)
-                roots = seat(
-                    per_word, (STRENGTH + all_.root_discount * rest) * base, np.full(len(rest), all_.root_discount * base), all_.root_discount, random
-                )
-                mine.tables = [*mine.tables[len(mine.tables) - keep + 1 :], tables] if keep > 1 else [tables]
-                mine.roots = [*mine.roots[len(mine.roots) - keep + 1 :], roots] if keep > 1 else [roots]
-                yield from mine.row(row["part"]).to_batches()
+def _sample(all_: Totals, keep: int, round_: int):
+    def sample(state: pa.Table, answers: pa.Table) -> pa.Table:
+        row = state.to_pylist()[0]
+        random = np.random.default_rng([round_, row["part"]])
+        mine, everywhere = Seating.read(row), _seats(answers)[-1]
+        tables, roots = mine.tables[-1].copy(), mine.roots[-1]
+        parent = np.repeat(root_probability(mine.per_word(tables), roots, all_), mine.runs)
+        many = np.flatnonzero(mine.counts > 1)  # a single customer has a single table
+        p = parent[many]
+        others = np.maximum(everywhere[mine.contexts[many]] - tables[many], 0)
+        tables[many] = seat(mine.counts[many], (STRENGTH + all_.discount * others) * p, all_.discount * p, all_.discount, random)
+        base = all_.root_base()
+        per_word = mine.per_word(tables)
+        rest = np.maximum(all_.root_tables - roots, 0)
+        roots = seat(
+            per_word, (STRENGTH + all_.root_discount * rest) * base, np.full(len(rest), all_.root_discount * base), all_.root_discount, random
+        )
+        mine.tables = [*mine.tables[len(mine.tables) - keep + 1 :], tables] if keep > 1 else [tables]
+        mine.roots = [*mine.roots[len(mine.roots) - keep + 1 :], roots] if keep > 1 else [roots]
+        return mine.row(row["part"])
 
     return sample
 
 
+def _settle(state: pa.Table, answers: pa.Table) -> pa.Table:
+    row = state.to_pylist()[0]
+    mine = Seating.read(row)
+    mine.seats = _seats(answers)
+    return mine.row(row["part"])
+
+
 @dataclass(frozen=True)
 class Model:
-    """The seating by part, stored, and the totals of each sample."""
+    """The seating by part with the sums of its contexts, stored, and the totals of each sample."""
 
     state: DataFrame
     samples: list[Totals]
     bits: int
 
 
-def fit(docs: DataFrame, text: str = "text", burn_in: int = BURN_IN, samples: int = SAMPLES) -> Model:
-    """Learn from all texts of ``docs``."""
+def _exchanged(state: DataFrame, bits: int, whole: bool, step) -> DataFrame:
+    """``step`` on each part and the sums of its contexts, stored in place of ``state``."""
+    answers = dealt(context_sums(state, bits, whole), bits).groupBy("part")
+    new = staged(dealt(state, bits).groupBy("part").cogroup(answers).applyInArrow(step, _STATE), "seating")
+    discard(state)
+    return new
+
+
+def _free(spark) -> None:
+    """Shuffle files of finished steps go when the driver collects its garbage, which it seldom does by itself."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
+def fit(docs: DataFrame, learn: Column, text: str = "text", burn_in: int = BURN_IN, samples: int = SAMPLES) -> Model:
+    """Learn from the texts of ``docs`` where ``learn`` holds; the contexts of the others are known too."""
     spark = docs.sparkSession
     arrays.bound_batches(spark)
     bits = part_bits(spark)
-    blocks = docs.select(text).mapInArrow(_count(bits), "part int, words binary, runs binary, contexts binary, counts binary")
-    state = staged(dealt(blocks, bits).groupBy("part").applyInArrow(_merge, _STATE), "seating")
+    slim = docs.select(F.col(text).alias("text"), F.coalesce(learn, F.lit(False)).alias("learn"))
+    state = staged(dealt(slim.mapInArrow(_count(bits), _COUNTED), bits).groupBy("part").applyInArrow(_merge, _STATE), "seating")
     seen = [totals(state)]
     for i in range(burn_in + samples):
-        keep = max(1, i - burn_in + 1)
-        new = staged(state.mapInArrow(_sample(spark.sparkContext.broadcast(seen[-1]), keep, i), _STATE), "seating")
-        discard(state)
-        state = new
+        _free(spark)
+        state = _exchanged(state, bits, False, _sample(seen[-1], max(1, i - burn_in + 1), i))
         seen.append(totals(state))
+    _free(spark)
+    state = _exchanged(state, bits, True, _settle)
+    _free(spark)
     return Model(state, seen[-samples:] if burn_in + samples else seen, bits)
 
 
@@ -312,6 +384,11 @@ def _frequent(least: float):
     return frequent
 
 
+def _place(n: int) -> str:
+    """The kind of places in ``n`` keys."""
+    return "<u2" if n <= 1 << 16 else "<u4"
+
+
 def _blocks(bits: int, hot: dict[int, int]):
     """Tokens by part; the row with ``docs`` describes the texts of the block."""
     hot_words = np.array(sorted(hot), U64)
@@ -340,25 +417,26 @@ def _blocks(bits: int, hot: dict[int, int]):
                 lengths = runs[some]
                 take = np.repeat(heads[some] - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
                 kind = "<u2" if len(n) < 1 << 16 else "<u4"
+                keys, places = np.unique(context[take], return_inverse=True)
                 rows.append(
-                    (int(parts[some[0]]), block, words[some].tobytes(), lengths.astype("<u4").tobytes(),
-                     context[take].tobytes(), doc[take].astype(kind).tobytes(), len(n), None, None, None)
+                    (int(parts[some[0]]), block, words[some].tobytes(), lengths.astype("<u4").tobytes(), keys.tobytes(),
+                     places.astype(_place(len(keys))).tobytes(), doc[take].astype(kind).tobytes(), len(n), None, None, None)
                 )
             ids = batch.column(0)
             rows.append(
-                (block % (1 << bits), block, None, None, None, None, len(n),
+                (block % (1 << bits), block, None, None, None, None, None, len(n),
                  ids.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8").tobytes(),
                  (ids.is_null().to_numpy(zero_copy_only=False) + 2 * batch.column(1).to_numpy(zero_copy_only=False)).astype(np.uint8).tobytes(),
                  n.astype("<u4").tobytes())
             )
             columns = list(zip(*rows, strict=True))
-            kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 4, pa.int32(), *[pa.binary()] * 3]
+            kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 5, pa.int32(), *[pa.binary()] * 3]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], _BLOCK_NAMES)
 
     return blocks
 
 
-_BLOCK = "part int, block long, words binary, runs binary, contexts binary, docs binary, n int, ids binary, flags binary, sizes binary"
+_BLOCK = "part int, block long, words binary, runs binary, keys binary, contexts binary, docs binary, n int, ids binary, flags binary, sizes binary"
 _BLOCK_NAMES = [x.split()[0] for x in _BLOCK.split(", ")]
 _SUMS = "block long, n int, sums binary, ids binary, flags binary, sizes binary"
 
@@ -375,9 +453,10 @@ def _copies(hot: dict[int, int], bits: int):
                 ends = np.cumsum(mine.runs)
                 for w in np.flatnonzero(np.isin(mine.words, np.array(sorted(hot), U64))):
                     run = slice(int(ends[w] - mine.runs[w]), int(ends[w]))
+                    its = mine.contexts[run]  # in order, each once
                     one = Seating(
-                        mine.words[w : w + 1], mine.runs[w : w + 1], mine.contexts[run], mine.counts[run],
-                        [t[run] for t in mine.tables], [r[w : w + 1] for r in mine.roots],
+                        mine.words[w : w + 1], mine.runs[w : w + 1], np.arange(len(its)), mine.counts[run],
+                        [t[run] for t in mine.tables], [r[w : w + 1] for r in mine.roots], mine.keys[its], [x[its] for x in mine.seats],
                     )
                     for k in range(1, hot[int(mine.words[w])]):
                         yield from one.row((row["part"] + k) % (1 << bits)).to_batches()
@@ -385,9 +464,12 @@ def _copies(hot: dict[int, int], bits: int):
     return copies
 
 
-def _score(shared):
+def _equal(values: np.ndarray, at: np.ndarray, wanted: np.ndarray) -> bool:
+    return bool((at < len(values)).all() and (values[at] == wanted).all())
+
+
+def _score(samples: list[Totals]):
     def score(blocks: pa.Table, state: pa.Table) -> pa.Table:
-        samples: list[Totals] = shared.value
         parts = [Seating.read(r) for r in state.to_pylist()]
         words = np.concatenate([p.words for p in parts]) if parts else np.zeros(0, U64)
         order = np.argsort(words)
@@ -395,9 +477,11 @@ def _score(shared):
         rank[order] = np.arange(len(words))
         words = words[order]
         runs = np.concatenate([p.runs for p in parts]) if parts else np.zeros(0, np.int64)
-        keys = np.repeat(rank, runs) * CONTEXTS
         join = lambda f: np.concatenate([f(p) for p in parts]) if parts else np.zeros(0, np.int64)
-        keys = keys + join(lambda p: p.contexts.astype(np.int64))
+        known_keys, first = np.unique(np.concatenate([p.keys for p in parts]) if parts else np.zeros(0, U64), return_index=True)
+        seats = [join(lambda p: p.seats[i])[first] for i in range(1 + len(samples))]  # noqa: B023
+        size = max(len(known_keys), 1)
+        keys = np.repeat(rank, runs) * size + join(lambda p: np.searchsorted(known_keys, p.keys)[p.contexts])
         by_key = np.argsort(keys)
         keys, counts = keys[by_key], join(lambda p: p.counts)[by_key]
         totals_ = join(lambda p: p.per_word(p.counts))[order]
@@ -407,8 +491,7 @@ def _score(shared):
             p_root = root_probability(
                 join(lambda p: p.per_word(p.tables[i]))[order], join(lambda p: p.roots[i])[order], all_  # noqa: B023
             )
-            unseen = root_probability(np.zeros(1), np.zeros(1), all_)
-            per_sample.append((tables, np.append(p_root, unseen)))
+            per_sample.append((tables, p_root))
         n_all, v_all = samples[-1].tokens, samples[-1].words
         out = []
         for row in blocks.to_pylist():
@@ -417,27 +500,23 @@ def _score(shared):
                 continue
             some = np.frombuffer(row["words"], "<u8")
             lengths = np.frombuffer(row["runs"], "<u4").astype(np.int64)
-            context = np.frombuffer(row["contexts"], "<u2").astype(np.int64)
+            its = np.frombuffer(row["keys"], "<u8")
+            found = np.searchsorted(known_keys, its)
+            context = found[np.frombuffer(row["contexts"], _place(len(its)))]
             doc = np.frombuffer(row["docs"], "<u2" if row["n"] < 1 << 16 else "<u4")
             at = np.searchsorted(words, some)
-            known = at < len(words)
-            known[known] = words[at[known]] == some[known]
-            at = np.where(known, at, len(words))
-            c_word = np.append(totals_, 0)[at]
-            base = np.log10((c_word + 0.5) / (n_all + 0.5 * (v_all + 1)))
             word = np.repeat(at, lengths)
-            key = word * CONTEXTS + context
-            pair = np.searchsorted(keys, key)
-            seen = pair < len(keys)
-            seen[seen] = keys[pair[seen]] == key[seen]
-            c = np.zeros(len(key))
-            c[seen] = counts[pair[seen]]
-            p = np.zeros(len(key))
-            for (tables, p_root), all_ in zip(per_sample, samples, strict=True):
-                t = np.zeros(len(key))
-                t[seen] = tables[pair[seen]]
-                back = (STRENGTH + all_.discount * all_.tables[context]) * p_root[word]
-                p += (np.maximum(c - all_.discount * t, 0) + back) / (STRENGTH + all_.customers[context])
+            pair = np.searchsorted(keys, word * size + context)
+            if not (_equal(words, at, some) and _equal(known_keys, found, its) and _equal(keys, pair, word * size + context)):
+                raise ValueError("a word and its context are not in the model: fit it with the documents to be scored")
+            c_word = totals_[at]
+            known = c_word > 0
+            base = np.log10((c_word + 0.5) / (n_all + 0.5 * (v_all + 1)))
+            c = counts[pair]
+            p = np.zeros(len(pair))
+            for (tables, p_root), everywhere, all_ in zip(per_sample, seats[1:], samples, strict=True):
+                back = (STRENGTH + all_.discount * everywhere[context]) * p_root[word]
+                p += (np.maximum(c - all_.discount * tables[pair], 0) + back) / (STRENGTH + seats[0][context])
             n = row["n"]
             sums = np.stack(
                 [
@@ -480,8 +559,8 @@ def _collect_block(group: pa.Table) -> pa.Table:
 
 
 def score(docs: DataFrame, model: Model, held: Column, text: str = "text") -> DataFrame:
-    """Per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    spark, parts = docs.sparkSession, 1 << model.bits
+    """Per row of ``docs``, which ``model`` was fitted with: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
+    parts = 1 << model.bits
     n = model.samples[-1].tokens
     least = max(n / parts / 2, 1)
     common = model.state.select("words", "runs", "counts").mapInArrow(_frequent(least), "word long, n long")
@@ -490,8 +569,7 @@ def score(docs: DataFrame, model: Model, held: Column, text: str = "text") -> Da
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held"), F.col(text).alias("text"))
     blocks = slim.mapInArrow(_blocks(model.bits, hot), _BLOCK)
     state = model.state.mapInArrow(_copies(hot, model.bits), _STATE)
-    shared = spark.sparkContext.broadcast(model.samples)
-    sums = dealt(blocks, model.bits).groupBy("part").cogroup(dealt(state, model.bits).groupBy("part")).applyInArrow(_score(shared), _SUMS)
+    sums = dealt(blocks, model.bits).groupBy("part").cogroup(dealt(state, model.bits).groupBy("part")).applyInArrow(_score(model.samples), _SUMS)
     found = sums.groupBy("block").applyInArrow(_collect_block, _RESULT)
     return found.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(int(n)).cast("long").alias("train_tokens"), "base_score", "score"
@@ -500,5 +578,4 @@ def score(docs: DataFrame, model: Model, held: Column, text: str = "text") -> Da
 
 def lm_query(docs: DataFrame) -> DataFrame:
     held = held_out(parts=5, part=1)
-    learn = docs.filter(F.col("doc_id").isNotNull() & ~held)
-    return score(docs, fit(learn), held)
+    return score(docs, fit(docs, F.col("doc_id").isNotNull() & ~held), held)
