@@ -330,30 +330,116 @@ def cls_tree_root_entropy(t: Tables) -> DataFrame:
     return _role_root(t, "entropy")
 
 
+def _with_test(trials: DataFrame, test_metric: float | None, larger: bool) -> DataFrame:
+    """The trials, and beside the best one the score of its model on the test part."""
+    best = U.best_trial(trials, larger_is_better=larger).first()["trial"]
+    return trials.withColumn("test_metric", F.when(F.col("trial") == best, F.lit(test_metric).cast("double")))
+
+
+def _search(tuner, stages: list, estimator, grid: dict, evaluator, parts: tuple) -> DataFrame:
+    """All settings of ``grid`` on the training part."""
+    model, trials = tuner(stages, estimator, grid, evaluator, parts[0])
+    return _with_test(trials, evaluator.evaluate(model.transform(parts[1])), evaluator.isLargerBetter())
+
+
+def _page_search(t: Tables, tuner, estimator, grid: dict) -> DataFrame:
+    return _search(tuner, page_stages(), estimator, grid, E.binary_evaluator(), two_parts(clean_pages(t), "url"))
+
+
+def _hour_search(t: Tables, tuner, estimator, grid: dict) -> DataFrame:
+    stages = V.indexed_stages(HOUR_FEATURES, unseen="keep")
+    return _search(tuner, stages, estimator, grid, E.rmse_evaluator("cnt"), two_parts(hourly(t), "instant"))
+
+
 @query("tun_train_validation")
 def tun_train_validation(t: Tables) -> DataFrame:
-    train, _ = two_parts(clean_pages(t), "url")
-    grid = {"impurity": ["gini", "entropy"], "maxDepth": [5, 10]}
-    return U.train_validation(page_stages(), M.tree_classifier(), grid, E.binary_evaluator(), train)[1]
+    return _page_search(t, U.train_validation, M.tree_classifier(), U.TREE_GRID)
+
+
+@query("tun_cross_validation_pages")
+def tun_cross_validation_pages(t: Tables) -> DataFrame:
+    return _page_search(t, U.cross_validation, M.tree_classifier(), U.TREE_GRID)
+
+
+@query("tun_forest")
+def tun_forest(t: Tables) -> DataFrame:
+    return _page_search(t, U.train_validation, M.forest_classifier(), U.FOREST_GRID)
+
+
+@query("tun_forest_cross_validation")
+def tun_forest_cross_validation(t: Tables) -> DataFrame:
+    return _page_search(t, U.cross_validation, M.forest_classifier(), U.FOREST_GRID)
+
+
+@query("tun_multiclass")
+def tun_multiclass(t: Tables) -> DataFrame:
+    stages, parts = V.numeric_stages(VECTOR_FEATURES), two_parts(classes(t), "vec_id")
+    return _search(U.train_validation, stages, M.tree_classifier(), U.MULTICLASS_GRID, E.accuracy_evaluator(), parts)
+
+
+@query("tun_train_validation_hours")
+def tun_train_validation_hours(t: Tables) -> DataFrame:
+    return _hour_search(t, U.train_validation, M.tree_regressor(), U.REGRESSION_GRID)
 
 
 @query("tun_cross_validation")
 def tun_cross_validation(t: Tables) -> DataFrame:
-    train, _ = two_parts(hourly(t), "instant")
-    grid = {"maxDepth": [5, 10], "maxBins": [25, 35]}
-    stages = V.indexed_stages(HOUR_FEATURES, unseen="keep")
-    return U.cross_validation(stages, M.tree_regressor(), grid, E.rmse_evaluator("cnt"), train)[1]
+    return _hour_search(t, U.cross_validation, M.tree_regressor(), U.REGRESSION_GRID)
+
+
+@query("tun_boosted")
+def tun_boosted(t: Tables) -> DataFrame:
+    return _hour_search(t, U.cross_validation, M.boosted_regressor(), U.BOOSTED_GRID)
+
+
+def _sweep(parts: tuple, grid: dict, train_one, measure=E.auc_of_classes, larger: bool = True) -> DataFrame:
+    """Every combination of ``grid`` on the training part, measured on the validation part."""
+    train, validation, test = parts
+    done = U.sweep(train, validation, U.full_grid(grid), train_one, measure)
+    return _with_test(done.trials, measure(done.best(larger).transform(test)).first()[0], larger)
 
 
 @query("tun_sweep")
 def tun_sweep(t: Tables) -> DataFrame:
-    train, validation, _ = three_parts(clean_pages(t), "url")
-    settings = U.vary({"impurity": "gini", "bins": 10}, "depth", U.TREE_SWEEP["depth"])
+    return _sweep(
+        three_parts(clean_pages(t), "url"), U.TREE_SWEEP, lambda rows, **s: M.fit(page_stages(), M.tree_classifier(**s), rows)
+    )
 
+
+@query("tun_sweep_multiclass")
+def tun_sweep_multiclass(t: Tables) -> DataFrame:
     def train_one(rows: DataFrame, **setting):
-        return M.fit(page_stages(), M.tree_classifier(**setting), rows)
+        return M.fit(V.numeric_stages(VECTOR_FEATURES), M.tree_classifier(**setting), rows)
+
+    return _sweep(three_parts(classes(t), "vec_id"), U.TREE_SWEEP, train_one, E.accuracy)
+
+
+@query("tun_sweep_hours")
+def tun_sweep_hours(t: Tables) -> DataFrame:
+    def train_one(rows: DataFrame, depth: int, bins: int):
+        return M.fit(V.numeric_stages(HOUR_FEATURES), M.tree_regressor(maxDepth=depth, maxBins=bins), rows)
+
+    grid = {k: U.TREE_SWEEP[k] for k in ("depth", "bins")}
+    return _sweep(three_parts(hourly(t), "instant"), grid, train_one, lambda df: E.rmse(df, label="cnt"), larger=False)
+
+
+def _linear_sweep(t: Tables, grid: dict, train) -> DataFrame:
+    """Gradient steps on one-hot categories and numbers, scaled as the training part is."""
+    parts = three_parts(clean_pages(t), "url")
+    fitted = Pipeline(stages=[*page_stages(), V.scaler()]).fit(parts[0])
+    names = [f"x{i}" for i in range(V.category_size(fitted) + len(PAGE_NUMBERS))]
+    scaled = tuple(V.unpack(fitted.transform(p).select("url", "label", "scaled"), "scaled", names) for p in parts)
+    return _sweep(scaled, grid, lambda rows, **setting: train(rows, names, **setting))
+
+
+@query("tun_sweep_logistic")
+def tun_sweep_logistic(t: Tables) -> DataFrame:
+    return _linear_sweep(t, U.LOGISTIC_SWEEP, G.logistic_sgd)
+
 
-    return U.sweep(train, validation, settings, train_one, E.auc_of_classes).trials
+@query("tun_sweep_svm")
+def tun_sweep_svm(t: Tables) -> DataFrame:
+    return _linear_sweep(t, U.SVM_SWEEP, G.svm_sgd)
 
 
 def _bayes_search_sql(parted: str, train: str, held: str, smoothings: list[float], score: str, average: str) -> str:
