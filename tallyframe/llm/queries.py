@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 import tallyframe
-from tallyframe.llm import ann, decontaminate, langid, linededup, lm, mixing, pii, quality, shinglejoin, tokenids
+from tallyframe.llm import ann, audit, decontaminate, langid, linededup, lm, mixing, pii, quality, shinglejoin, tokenids, topk, turns
 from tallyframe.session import fresh_path
 
 
@@ -50,6 +50,18 @@ def _neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return ann.nearest_query(table(spark, folder, "embeddings"))
 
 
+def _audit(spark: SparkSession, folder: str) -> DataFrame:
+    return audit.audit_query(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def _repair(spark: SparkSession, folder: str) -> DataFrame:
+    return turns.repair_query(table(spark, folder, "conversations"))
+
+
+def _products(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.products_query(table(spark, folder, "embeddings"))
+
+
 def _quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_query(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -65,10 +77,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": _documents(langid.language_query),
     "op9_mixing": _documents(mixing.mixing_query),
     "op10_quality": _quality,
+    "op11_turn_repair": _repair,
+    "op12_filter_audit": _audit,
+    "op13_top_products": _products,
 }
 
 SQL: dict[str, str] = {
     "op1_decontamination": decontaminate.CONTAMINATION_SQL,
     "op2_line_dedup": linededup.LINES_SQL,
     "op9_mixing": mixing.MIXING_SQL,
+    "op12_filter_audit": audit.AUDIT_SQL,
+    "op13_top_products": topk.PRODUCTS_SQL,
 }

@@ -14,6 +14,7 @@ def folder(spark, path, documents, benchmark, labels, vectors):
         "benchmark": (benchmark, "item_id long, text string"),
         "labels": (labels, "doc_id long, quality int, toxic int"),
         "embeddings": (vectors, "vec_id long, embedding array<float>, label int"),
+        "conversations": ([(d[0], d[0], d[2], d[1]) for d in documents], "conv_id long, turn long, role string, text string"),
     }
     for name, (rows, schema) in frames.items():
         spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{path}/{name}.parquet")
@@ -42,6 +43,13 @@ def test_odd_rows(spark, odd, name):
     rows = QUERIES[name](spark, odd[0]).collect()
     if name == "op7_nearest":
         assert [(r.query_id, r.rank, r.vec_id) for r in sorted(rows)] == [(0, 1, 5), (0, 2, 5)]
+    elif name == "op11_turn_repair":
+        assert len(rows) == odd[1] - 1  # one is there twice
+    elif name == "op12_filter_audit":
+        assert len(rows) == 2 * 600
+    elif name == "op13_top_products":
+        assert {r.query_id for r in rows} == {0}
+        assert len(rows) == 5
     else:
         assert len(rows) == odd[1]
 
