@@ -49,7 +49,7 @@ def test_odd_rows(spark, odd, name):
         assert len(rows) == 2 * 600
     elif name == "op13_top_products":
         assert {r.query_id for r in rows} == {0}
-        assert len(rows) == 5
+        assert len(rows) == 4
     else:
         assert len(rows) == odd[1]
 
