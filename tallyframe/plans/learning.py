@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline
@@ -21,7 +22,7 @@ from tallyframe.plans.features import SCORED
 from tallyframe.plans.registry import query
 from tallyframe.plans.relational import HOURS, PAGES
 from tallyframe.plans.splits import bucket_sql
-from tallyframe.plans.tables import ALL_PAGES_SQL, HOUR_FEATURES, PAGE_NUMBERS, VECTOR_SIZE, Tables
+from tallyframe.plans.tables import ALL_PAGES_SQL, HOUR_FEATURES, PAGE_NUMBERS, PAGES_SQL, VECTOR_SIZE, Tables
 from tallyframe.session import staged
 from tallyframe.sources.layouts import HOURLY_UNUSED
 
@@ -423,23 +424,115 @@ def tun_sweep_hours(t: Tables) -> DataFrame:
     return _sweep(three_parts(hourly(t), "instant"), grid, train_one, lambda df: E.rmse(df, label="cnt"), larger=False)
 
 
-def _linear_sweep(t: Tables, grid: dict, train) -> DataFrame:
-    """Gradient steps on one-hot categories and numbers, scaled as the training part is."""
+def _steps_sql(slope: str, settings: list[dict], longest: int) -> str:
+    """The gradient steps of all ``settings`` on one-hot categories and numbers, scaled as the training part is.
+
+    ``path`` has the weights of every run after each step, ``last`` those of each setting at its end.
+    """
+    known = ", ".join(
+        f"({i}, '{', '.join(f'{k}={v}' for k, v in s['shown'].items())}', {s['iterations']}, {float(s['step'])!r}::DOUBLE, "
+        f"{s['reg']!r}::DOUBLE, {s['fraction']!r}::DOUBLE)"
+        for i, s in enumerate(settings)
+    )
+    draw = bucket_sql("url || '|' || (t + 1)", G.DRAWS)
+    return f"""WITH RECURSIVE pages_ AS ({PAGES_SQL}), parted AS (SELECT *, {bucket_sql('url')} AS b FROM pages_),
+    named AS (SELECT list(alchemy_category ORDER BY n DESC, alchemy_category) AS names
+              FROM (SELECT alchemy_category, count(*) AS n FROM parted WHERE b < 80 GROUP BY alchemy_category)),
+    coded AS (SELECT url, label, b, list_concat(list_transform(names, lambda c: (c = alchemy_category)::INT::DOUBLE),
+                     [{', '.join(PAGE_NUMBERS)}]) AS f FROM parted, named),
+    long_ AS (SELECT url, label, b, unnest(f) AS v, unnest(range(1, len(f) + 1)) AS j FROM coded),
+    moments AS (SELECT j, avg(v) AS m, stddev_samp(v) AS s FROM long_ WHERE b < 80 GROUP BY j),
+    scaled AS MATERIALIZED (SELECT url, label, b, list(CASE WHEN s > 0 THEN (v - m) / s ELSE 0 END ORDER BY j) AS x
+                            FROM long_ JOIN moments USING (j) GROUP BY url, label, b),
+    settings (trial, params, iterations, step, reg, fraction) AS (VALUES {known}),
+    path AS (
+        SELECT DISTINCT step, reg, fraction, 0 AS t, list_transform(range((SELECT count(*) FROM moments)), lambda i: 0.0::DOUBLE) AS w,
+               false AS stopped FROM settings
+        UNION ALL
+        SELECT step, reg, fraction, t + 1, list(new ORDER BY j),
+               t > 0 AND sqrt(sum((new - old) * (new - old))) < 0.001 * greatest(sqrt(sum(new * new)), 1)
+        FROM (SELECT step, reg, fraction, t, j, any_value(w[j]) AS old,
+                     any_value(w[j]) * (1 - step / sqrt(t + 1) * reg) - step / sqrt(t + 1) * (sum(slope * x[j]) / count(*)) AS new
+              FROM (SELECT step, reg, fraction, t, w, x, {slope.format(m='list_inner_product(x, w)', y='label')} AS slope,
+                           unnest(range(1, len(w) + 1)) AS j
+                    FROM path JOIN scaled ON b < 80 AND (fraction >= 1 OR {draw} < fraction * {G.DRAWS})
+                    WHERE NOT stopped AND t < {longest})
+              GROUP BY step, reg, fraction, t, j)
+        GROUP BY step, reg, fraction, t),
+    last AS (SELECT trial, params, max(t)::INT AS steps, arg_max(w, t) AS w
+             FROM settings s JOIN path p ON s.step = p.step AND s.reg = p.reg AND s.fraction = p.fraction AND t <= iterations
+             GROUP BY trial, params) """
+
+
+LOGISTIC_SLOPE = "(1 / (1 + exp(-{m})) - {y})"
+HINGE_SLOPE = "(CASE WHEN (2 * {y} - 1) * {m} < 1 THEN -(2 * {y} - 1) ELSE 0 END)"
+
+
+def _descents(grid: dict, **fixed) -> list[dict]:
+    return [{"reg": 0.01, "fraction": 1.0, **fixed, **s, "shown": s} for s in U.full_grid(grid)]
+
+
+def _sweep_sql(slope: str, grid: dict) -> str:
+    rates = " + ".join(
+        f"avg((CASE WHEN list_inner_product(x, w) > 0 THEN 1 ELSE 0 END = label)::INT) FILTER (label = {c})" for c in (0, 1)
+    )
+    return (
+        _steps_sql(slope, _descents(grid), max(grid["iterations"]))
+        + f""", measured AS (SELECT trial, params, steps, w, ({rates}) / 2 AS metric FROM last, scaled
+                            WHERE b >= 80 AND b < 90 GROUP BY trial, params, steps, w),
+    best AS (SELECT trial, w FROM measured ORDER BY metric DESC NULLS LAST, trial LIMIT 1),
+    tested AS (SELECT trial, ({rates}) / 2 AS test_metric FROM best, scaled WHERE b >= 90 GROUP BY trial)
+    SELECT trial, params, steps, round(ln(1 + sqrt(list_inner_product(w, w))), 6) AS length, round(metric, 9) AS metric,
+           round(test_metric, 9) AS test_metric FROM measured LEFT JOIN tested USING (trial)"""
+    )
+
+
+def _scaled_parts(t: Tables) -> tuple[tuple[DataFrame, ...], list[str]]:
+    """Training, validation and test pages with one-hot categories and numbers as scaled columns."""
     parts = three_parts(clean_pages(t), "url")
     fitted = Pipeline(stages=[*page_stages(), V.scaler()]).fit(parts[0])
     names = [f"x{i}" for i in range(V.category_size(fitted) + len(PAGE_NUMBERS))]
-    scaled = tuple(V.unpack(fitted.transform(p).select("url", "label", "scaled"), "scaled", names) for p in parts)
-    return _sweep(scaled, grid, lambda rows, **setting: train(rows, names, **setting))
+    return tuple(V.unpack(fitted.transform(p).select("url", "label", "scaled"), "scaled", names) for p in parts), names
+
+
+def _linear_sweep(t: Tables, grid: dict, slope) -> DataFrame:
+    """Every combination of ``grid``, all runs in lockstep."""
+    (train, validation, test), names = _scaled_parts(t)
+    asked = _descents(grid)
+    settings = [G.Descent(s["iterations"], float(s["step"]), s["reg"], s["fraction"]) for s in asked]
+    models = G.descend_all(train, names, slope, settings, key=["url"])
+    measured = {r["trial"]: r["metric"] for r in G.auc_of_models(models, validation).collect()}
+    rows = [
+        (i, ", ".join(f"{k}={v}" for k, v in s["shown"].items()), m.steps, round(math.log1p(math.hypot(*m.weights)), 6), measured.get(i))
+        for i, (s, m) in enumerate(zip(asked, models))
+    ]
+    trials = t.spark.createDataFrame(rows, "trial int, params string, steps int, length double, metric double")
+    best = models[U.best_trial(trials).first()["trial"]]
+    scored = G.auc_of_models([best], test).first()
+    tested = _with_test(trials, scored["metric"] if scored else None, True)
+    return tested.withColumns({c: F.round(c, 9) for c in ("metric", "test_metric")})
 
 
-@query("tun_sweep_logistic")
+@query("tun_sweep_logistic", _sweep_sql(LOGISTIC_SLOPE, U.LOGISTIC_SWEEP))
 def tun_sweep_logistic(t: Tables) -> DataFrame:
-    return _linear_sweep(t, U.LOGISTIC_SWEEP, G.logistic_sgd)
+    return _linear_sweep(t, U.LOGISTIC_SWEEP, G.logistic_slope)
 
 
-@query("tun_sweep_svm")
+@query("tun_sweep_svm", _sweep_sql(HINGE_SLOPE, U.SVM_SWEEP))
 def tun_sweep_svm(t: Tables) -> DataFrame:
-    return _linear_sweep(t, U.SVM_SWEEP, G.svm_sgd)
+    return _linear_sweep(t, U.SVM_SWEEP, G.hinge_slope)
+
+
+@query(
+    "cls_logistic_sgd",
+    _steps_sql(LOGISTIC_SLOPE, _descents({"iterations": [15], "step": [10.0], "fraction": [0.5]}), 15)
+    + "SELECT unnest(range(len(w)))::INT AS place, round(unnest(w), 6) AS weight FROM last",
+)
+def cls_logistic_sgd(t: Tables) -> DataFrame:
+    """The usual settings: half of the rows per step, chosen by key and step, and categories among the features."""
+    (train, _, _), names = _scaled_parts(t)
+    weights = G.logistic_sgd(train, names, key=["url"]).weights
+    return t.spark.createDataFrame(list(enumerate(weights)), "place int, weight double").withColumn("weight", F.round("weight", 6))
 
 
 def _bayes_search_sql(parted: str, train: str, held: str, smoothings: list[float], score: str, average: str) -> str:
