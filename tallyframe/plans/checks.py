@@ -2,84 +2,149 @@
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyframe.functions.columns import PAGE_KINDS, code_to_text
+from tallyframe.operators import features as V
+from tallyframe.operators import models as M
 from tallyframe.operators import recommend as R
+from tallyframe.operators import trees as N
 from tallyframe.plans import clustering, learning, recommending
 from tallyframe.plans.registry import query
 from tallyframe.plans.relational import HOURS, PAGES
 from tallyframe.plans.splits import bucket_sql
-from tallyframe.plans.tables import LINE_NUMBERS, RATINGS_SQL, Tables
+from tallyframe.plans.tables import HOUR_FEATURES, LINE_NUMBERS, RATINGS_SQL, Tables
 from tallyframe.session import fresh_path
 from tallyframe.sources.sinks import save_model_once
 
-PAGE_MODELS = ["cls_tree_binary", "cls_tree_binary_entropy", "cls_forest", "cls_logistic", "cls_svm"]
+NODE_FAULTS = ["wrong_rows", "wrong_gain", "beaten", "wrong_value"]
 
 
 def _counted(name: str, df: DataFrame, sound: Column) -> DataFrame:
     return df.agg(F.lit(name).alias("name"), F.count("*").alias("counts"), F.count_if(sound).alias("sound"))
 
 
-def _counted_sql(names: list[str], source: str) -> str:
-    return " UNION ALL ".join(f"SELECT '{n}' AS name, count(*) AS counts, count(*) AS sound FROM {source}" for n in names)
-
-
 def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-@query("chk_page_models", PAGES + _counted_sql(PAGE_MODELS, f"pages_ WHERE {bucket_sql('url')} >= 70"))
-def chk_page_models(t: Tables) -> DataFrame:
-    """Test rows per model; the score is on the side of the predicted class, whose text is given."""
+def _nodes_sql(names: list[str], train: str, test: str) -> str:
+    none = ", ".join(f"CAST(0 AS BIGINT) AS {f}" for f in [*NODE_FAULTS, "misrouted"])
+    return " UNION ALL ".join(
+        f"SELECT '{n}' AS name, true AS grown, {none}, (SELECT count(*) FROM {train}) AS train_rows, (SELECT count(*) FROM {test}) AS test_rows"
+        for n in names
+    )
 
-    def sound(middle: float) -> Column:
-        side = F.when(F.col("prediction") == 1, F.col("score") >= middle).otherwise(F.col("score") <= middle)
-        return F.col("prediction").isin(0.0, 1.0) & side & (F.col("description") == code_to_text("prediction", PAGE_KINDS))
 
-    return _union([_counted(n, getattr(learning, n)(t), sound(0.0 if n == "cls_svm" else 0.5)) for n in PAGE_MODELS])
+def _nodes_checked(
+    name: str, stages: list, estimator, kind: str, parts: tuple[DataFrame, DataFrame], label: str = "label", boosted: bool = False
+) -> DataFrame:
+    """Train, then count the nodes that the training rows contradict, and the test rows whose way through the nodes ends elsewhere than the model says."""
+    train, test = parts
+    fitted = M.fit(stages, estimator, train)
+    model = fitted.stages[-1]
+    nodes = N.node_table(model, train.sparkSession)
+    weights = model.treeWeights if boosted else [1.0]
+    prepared = PipelineModel(fitted.stages[:-1]).transform(train)
+    found = N.check_nodes(prepared, nodes, weights, kind, label, boosted=boosted)
+    scored = N.score_by_nodes(fitted.transform(test), N.trees_of(nodes), weights)
+    off = F.abs(F.col("by_nodes") - F.col("prediction")) > 1e-9 * (1 + F.abs("prediction"))
+    faults = found.agg(F.max("inner").alias("grown"), *[F.count_if(F.col(f)).alias(f) for f in NODE_FAULTS]).first()
+    routed = scored.agg(F.count_if(off).alias("misrouted"), F.count("*").alias("test_rows")).first()
+    row = (name, *faults, routed["misrouted"], train.count(), routed["test_rows"])
+    schema = "name string, grown boolean, " + ", ".join(f"{f} long" for f in [*NODE_FAULTS, "misrouted", "train_rows", "test_rows"])
+    return train.sparkSession.createDataFrame([row], schema)
 
 
-@query("chk_scored_pages", _counted_sql(["prd_scored"], "documents"))
-def chk_scored_pages(t: Tables) -> DataFrame:
-    """Every document is scored, labelled or not."""
-    known = F.col("prediction").isin(0.0, 1.0) & (F.col("description") == code_to_text("prediction", PAGE_KINDS))
-    return _counted("prd_scored", learning.prd_scored(t), known)
+@query(
+    "chk_page_models",
+    PAGES + _nodes_sql(["cls_tree_binary", "cls_tree_binary_entropy"], f"pages_ WHERE {bucket_sql('url')} < 70", f"pages_ WHERE {bucket_sql('url')} >= 70"),
+)
+def chk_page_models(t: Tables) -> DataFrame:
+    """The trees of ``cls_tree_binary`` and ``cls_tree_binary_entropy``, node by node."""
+    parts = learning.two_parts(learning.clean_pages(t), "url")
+    settings = {"cls_tree_binary": ("gini", 10, 14), "cls_tree_binary_entropy": ("entropy", 5, 5)}
+    return _union(
+        [_nodes_checked(n, learning.page_stages(), M.tree_classifier(*s), s[0], parts) for n, s in settings.items()]
+    )
 
 
 @query(
     "chk_class_models",
-    _counted_sql(["cls_tree_multi", "cls_tree_multi_entropy"], f"embeddings WHERE {bucket_sql('vec_id')} >= 70"),
+    _nodes_sql(["cls_tree_multi", "cls_tree_multi_entropy"], f"embeddings WHERE {bucket_sql('vec_id')} < 70", f"embeddings WHERE {bucket_sql('vec_id')} >= 70"),
 )
 def chk_class_models(t: Tables) -> DataFrame:
-    hit = F.col("hit") == (F.col("label") == F.col("prediction"))
-    known = t("embeddings").select(F.col("label").cast("double").alias("prediction")).distinct().withColumn("known", F.lit(True))
-    parts = []
-    for name in ("cls_tree_multi", "cls_tree_multi_entropy"):
-        parts.append(_counted(name, getattr(learning, name)(t).join(known, "prediction", "left"), F.col("known") & hit))
-    return _union(parts)
+    """The trees of ``cls_tree_multi`` and ``cls_tree_multi_entropy``, node by node."""
+    parts = learning.two_parts(learning.classes(t), "vec_id")
+    stages = V.numeric_stages(learning.VECTOR_FEATURES)
+    settings = {"cls_tree_multi": ("gini", 5, 20), "cls_tree_multi_entropy": ("entropy", 15, 50)}
+    return _union([_nodes_checked(n, stages, M.tree_classifier(*s), s[0], parts) for n, s in settings.items()])
 
 
-@query("chk_hour_models", HOURS + _counted_sql(["reg_tree", "reg_tree_variance", "reg_gbt"], f"hours WHERE {bucket_sql('instant')} >= 70"))
+@query(
+    "chk_hour_models",
+    HOURS + _nodes_sql(["reg_tree", "reg_tree_variance", "reg_gbt"], f"hours WHERE {bucket_sql('instant')} < 70", f"hours WHERE {bucket_sql('instant')} >= 70"),
+)
 def chk_hour_models(t: Tables) -> DataFrame:
-    """The error is that of the prediction cut to a whole number, and a single tree stays between the least and the largest count."""
-    distance = F.abs(F.col("cnt") - F.col("prediction").cast("long"))
-    error = (F.col("error") == distance) & (F.col("hit") == (distance == 0))
-    span = t.hours().agg(F.min("cnt").alias("least"), F.max("cnt").alias("most"))
-    least, most = span.first()
-    inside = F.col("prediction").between(least, most)
+    """The trees of ``reg_tree``, ``reg_tree_variance`` and, each on what the trees before it leave, ``reg_gbt``."""
+    parts = learning.two_parts(learning.hourly(t), "instant")
+    indexed = V.indexed_stages(HOUR_FEATURES, unseen="keep")
+    boosted = M.boosted_regressor(maxDepth=5, maxBins=25, maxIter=10)
     return _union(
         [
-            _counted("reg_tree", learning.reg_tree(t), error & inside),
-            _counted("reg_tree_variance", learning.reg_tree_variance(t), error & inside),
-            _counted("reg_gbt", learning.reg_gbt(t), error),
+            _nodes_checked("reg_tree", indexed, M.tree_regressor(), "variance", parts, "cnt"),
+            _nodes_checked(
+                "reg_tree_variance", V.numeric_stages(HOUR_FEATURES), M.tree_regressor(maxDepth=10, maxBins=100), "variance", parts, "cnt"
+            ),
+            _nodes_checked("reg_gbt", indexed, boosted, "variance", parts, "cnt", boosted=True),
         ]
     )
 
 
+def _page_rules(t: Tables):
+    stages = learning.page_stages()
+    return M.fit(stages, M.tree_classifier("entropy", 5, 5), learning.two_parts(learning.clean_pages(t), "url")[0])
+
+
+@query("prd_rules")
+def prd_rules(t: Tables) -> DataFrame:
+    """The tree of ``cls_tree_binary_entropy`` as rules, one row per condition."""
+    return N.rules_table(N.node_table(_page_rules(t).stages[-1], t.spark))
+
+
+@query(
+    "prd_by_rules",
+    PAGES + "SELECT count(*) AS counts, count(*) AS one_rule, count(*) AS as_model FROM pages_",
+)
+def prd_by_rules(t: Tables) -> DataFrame:
+    """Every labelled page meets exactly one rule, and its value is the model's prediction."""
+    fitted = _page_rules(t)
+    rules = N.rules_table(N.node_table(fitted.stages[-1], t.spark))
+    scored = N.by_rules(fitted.transform(learning.clean_pages(t)), rules)
+    met = rules.groupBy("rule").agg(F.sort_array(F.collect_list(F.struct("place", "feature", "side", "split"))).alias("way"))
+    values = scored.select("url", "by_rules", "prediction", vector_to_array("features").alias("x"))
+
+    def holds(c: Column) -> Column:
+        inside = F.array_contains(c["split"], F.element_at(F.col("x"), c["feature"] + 1))
+        below = F.element_at(F.col("x"), c["feature"] + 1) <= F.element_at(c["split"], 1)
+        return F.when(c["side"] == "<=", below).when(c["side"] == ">", ~below).when(c["side"] == "in", inside).otherwise(~inside)
+
+    # rules travel as one array, there are at most as many as leaves
+    every = met.agg(F.collect_list("way").alias("ways")).first()["ways"]
+    ways = F.from_json(F.lit(json.dumps([[c.asDict() for c in w] for w in every])), "array<array<struct<place:int,feature:int,side:string,split:array<double>>>>")
+    hits = F.size(F.filter(ways, lambda way: F.forall(way, holds)))
+    return values.agg(
+        F.count("*").alias("counts"),
+        F.count_if(hits == 1).alias("one_rule"),
+        F.count_if(F.col("by_rules") == F.col("prediction")).alias("as_model"),
+    )
+
+
 @query(
     "chk_recommended",
     f"""WITH ratings AS ({RATINGS_SQL}), n AS (SELECT least(10, count(DISTINCT item)) AS items, least(10, count(DISTINCT "user")) AS users FROM ratings)

@@ -77,6 +77,30 @@ def test_mini_batches_learn_and_repeat(points):
     assert E.auc_of_classes(one.transform(points)).first()[0] > 0.85
 
 
+def test_mini_batches_do_not_depend_on_partitions(points):
+    one = G.logistic_sgd(points.repartition(7), NAMES, fraction=0.5, key=["id"])
+    other = G.logistic_sgd(points.coalesce(1), NAMES, fraction=0.5, key=["id"])
+    assert one.weights == pytest.approx(other.weights, abs=1e-9)
+    assert one.weights != pytest.approx(G.logistic_sgd(points, NAMES, fraction=0.8, key=["id"]).weights, abs=1e-3)
+
+
+def test_lockstep_gives_what_each_setting_gives_alone(points):
+    settings = [G.Descent(n, step, fraction=f) for n in (1, 4, 40) for step in (0.5, 10.0) for f in (0.5, 1.0)]
+    together = G.descend_all(points, NAMES, G.logistic_slope, settings, key=["id"])
+    for setting, model in zip(settings, together):
+        alone = G.descend_all(points, NAMES, G.logistic_slope, [setting], key=["id"])[0]
+        assert model.steps == alone.steps
+        assert model.weights == pytest.approx(alone.weights, abs=1e-9)
+    rates = {r.trial: r.metric for r in G.auc_of_models(together, points).collect()}
+    for i, model in enumerate(together):
+        assert rates[i] == pytest.approx(E.auc_of_classes(model.transform(points)).first()[0])
+
+
+def test_descent_without_rows(points):
+    model = G.logistic_sgd(points.filter("false"), NAMES)
+    assert model.weights == (0.0, 0.0, 0.0) and model.steps == 0
+
+
 ESTIMATORS = {
     "tree": lambda: M.tree_classifier("gini", 10, 14),
     "entropy": lambda: M.tree_classifier("entropy", 5, 5),

@@ -18,8 +18,6 @@ GRIDS = {
     "tun_boosted": U.BOOSTED_GRID,
     "tun_sweep_multiclass": U.TREE_SWEEP,
     "tun_sweep_hours": HOURS_SWEEP,
-    "tun_sweep_logistic": U.LOGISTIC_SWEEP,
-    "tun_sweep_svm": U.SVM_SWEEP,
 }
 
 
