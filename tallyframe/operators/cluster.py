@@ -1,115 +1,179 @@
-"""k-means over numeric column pairs: best of several starts, elbow table, report."""
+"""k-means over numeric column pairs: best of several starts, elbow table, report.
+
+All starts, numbers of clusters and column pairs advance together, one job per iteration: each task
+assigns its points for every run at once and sums them per run and center, so only these sums reach the
+driver. Points are distinct and weighted by their number of rows. A start takes the points whose keyed hashes come first,
+so it is the same under every partitioning.
+"""
 
 from __future__ import annotations
 
-import math
-from collections.abc import Hashable, Iterator, Mapping, Sequence
-from contextlib import ExitStack, contextmanager
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from itertools import combinations
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyframe.operators.relational import extents
 
-POINTS_PER_TASK = 20_000
+POINTS_PER_TASK = 200_000
+SUMS = "run int, center int, n double, x double, y double, cost double"
 
 
 def column_pairs(columns: Sequence[str]) -> list[tuple[str, str]]:
     return list(combinations(columns, 2))
 
 
+@dataclass(frozen=True)
+class Clusters:
+    """One finished run: centers, rows per center, the sum of squared distances, iterations."""
+
+    centers: tuple[tuple[float, float], ...]
+    sizes: tuple[int, ...]
+    cost: float
+    iterations: int
+
+
 @dataclass(frozen=True)
 class Points:
-    """Weighted points ready for k-means, and the mean variance of their columns."""
+    """Weighted points of column pairs (pair, x, y, key, weight), and per pair the mean variance of its columns."""
 
     frame: DataFrame
-    variance: float
+    pairs: tuple[tuple[str, str], ...]
+    variances: tuple[float, ...]
 
 
 @contextmanager
-def weighted_points(df: DataFrame, columns: Sequence[str]) -> Iterator[Points]:
-    """Distinct points with their row count as ``weight``, held while in use.
+def weighted_points(df: DataFrame, pairs: Sequence[tuple[str, str]], keys: Mapping[str, str] | None = None) -> Iterator[Points]:
+    """The distinct points of every pair with their number of rows, counted in one pass and held while in use.
 
-    k-means on the weighted points has the same centers and cost as on all rows, and every
-    pass of it is shorter where points repeat. The points are read in as many tasks as their
-    number asks for.
+    Rows with a null in a pair are no points of it. ``keys`` may name, per column, one whose text stands for the value
+    in the choice of starting points.
     """
-    counted = df.select(*columns).dropna().groupBy(*columns).agg(F.count("*").cast("double").alias("weight")).persist()
+    named = keys or {}
+    each = [
+        F.struct(
+            F.lit(i).alias("pair"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"),
+            F.concat_ws("|", *[F.col(named.get(c, c)).cast("string") for c in (x, y)]).alias("key"),
+        )
+        for i, (x, y) in enumerate(pairs)
+    ]
+    points = df.select(F.explode(F.array(*each)).alias("p")).select("p.*").dropna()
+    weight = F.col("weight")
+    counted = points.groupBy("pair", "x", "y", "key").agg(F.count("*").cast("double").alias("weight")).persist()
     try:
-        weight = F.col("weight")
-        mean_square = [F.sum(weight * F.col(c) * F.col(c)) / F.sum(weight) for c in columns]
-        mean = [F.sum(weight * F.col(c)) / F.sum(weight) for c in columns]
-        spread = sum((q - m * m for q, m in zip(mean_square, mean)), F.lit(0.0)) / len(columns)
-        distinct, variance = counted.agg(F.count("*"), spread).first()
-        points = VectorAssembler(inputCols=list(columns), outputCol="features").transform(counted)
-        held = points.coalesce(max(1, -(-distinct // POINTS_PER_TASK))).persist()
+        means = {c: F.sum(weight * F.col(c)) / F.sum(weight) for c in ("x", "y")}
+        squares = {c: F.sum(weight * F.col(c) * F.col(c)) / F.sum(weight) for c in ("x", "y")}
+        spread = sum((squares[c] - means[c] * means[c] for c in means), F.lit(0.0)) / 2
+        known = {r["pair"]: r for r in counted.groupBy("pair").agg(spread.alias("variance"), F.count("*").alias("n")).collect()}
+        total = sum(r["n"] for r in known.values())
+        held = counted.repartition(max(1, -(-total // POINTS_PER_TASK))).persist()
         held.count()
     finally:
         counted.unpersist()
     try:
-        yield Points(held, variance or 0.0)
+        yield Points(held, tuple(pairs), tuple(known[i]["variance"] if i in known else 0.0 for i in range(len(pairs))))
     finally:
         held.unpersist()
 
 
-def best_of_each(
-    points: Mapping[Hashable, Points],
-    ks: Sequence[int],
-    starts: int = 10,
-    max_iter: int = 100,
-    tolerance: float = 1e-4,
-    seed: int = 1,
-    parallelism: int = 8,
-) -> dict[tuple[Hashable, int], tuple[KMeansModel, float]]:
-    """Per named point set and number of clusters, the model with the lowest cost of ``starts`` runs, and that cost.
-
-    All runs share one pool, so that none waits for the last run of another set. A run stops after ``max_iter`` passes, or when the squared moves of all centers together
-    are at most ``tolerance`` of the columns' mean variance.
-    """
+def _seeds(points: Points, most: int, starts: int) -> dict[tuple[int, int], list[tuple[float, float]]]:
+    """Per pair and start the ``most`` points whose hashes with the start come first."""
+    hashed = points.frame.select(
+        "pair", "x", "y", "key", F.explode(F.sequence(F.lit(0), F.lit(starts - 1))).alias("start")
+    ).withColumn("hash", F.md5(F.concat_ws("|", "key", F.col("start").cast("string"))))
+    place = F.row_number().over(Window.partitionBy("pair", "start").orderBy("hash", "key"))
+    chosen = hashed.withColumn("place", place).filter(F.col("place") <= most).orderBy("pair", "start", "place")
+    found: dict[tuple[int, int], list[tuple[float, float]]] = {}
+    for r in chosen.collect():  # pairs times starts times clusters
+        found.setdefault((r["pair"], r["start"]), []).append((r["x"], r["y"]))
+    return found
+
+
+def _assigned_sums(runs: Mapping[int, tuple[int, np.ndarray]]):
+    """Points to sums per run and center; ``runs`` has per number its pair and centers."""
+    groups: dict[tuple[int, int], list[int]] = {}
+    for run, (pair, centers) in runs.items():
+        groups.setdefault((pair, len(centers)), []).append(run)
+    stacked = {g: np.stack([runs[r][1] for r in numbers]) for g, numbers in groups.items()}
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = {(pair, k): np.zeros((4, len(numbers) * k)) for (pair, k), numbers in groups.items()}
+        for batch in batches:
+            pairs, *columns = (batch.column(i).to_numpy() for i in range(4))
+            for (pair, k), centers in stacked.items():
+                x, y, w = (c[pairs == pair] for c in columns)
+                dx = x[:, None, None] - centers[None, :, :, 0]
+                dy = y[:, None, None] - centers[None, :, :, 1]
+                distance = dx * dx + dy * dy
+                near = distance.argmin(axis=2)
+                least = np.take_along_axis(distance, near[:, :, None], axis=2)[:, :, 0]
+                at = (near + np.arange(len(centers)) * k).ravel()
+                for row, values in enumerate((w, w * x, w * y)):
+                    sums[pair, k][row] += np.bincount(at, np.repeat(values, len(centers)), len(centers) * k)
+                sums[pair, k][3] += np.bincount(at, (least * w[:, None]).ravel(), len(centers) * k)
+        for (pair, k), numbers in groups.items():
+            n, x, y, cost = sums[pair, k]
+            columns = [np.repeat(numbers, k).astype(np.int32), np.tile(np.arange(k, dtype=np.int32), len(numbers)), n, x, y, cost]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["run", "center", "n", "x", "y", "cost"])
+
+    return add_up
+
+
+def _pass(points: Points, runs: Mapping[int, tuple[int, np.ndarray]]) -> dict[int, np.ndarray]:
+    """Per run and center: rows, sums of x and y, cost, at the given centers."""
+    partial = points.frame.select("pair", "x", "y", "weight").mapInArrow(_assigned_sums(runs), SUMS)
+    found = {run: np.zeros((len(centers), 4)) for run, (_, centers) in runs.items()}
+    for r in partial.groupBy("run", "center").agg(*[F.sum(c).alias(c) for c in ("n", "x", "y", "cost")]).collect():
+        found[r["run"]][r["center"]] = r["n"], r["x"], r["y"], r["cost"]
+    return found
 
-    def run(setting: tuple[Hashable, int, int]) -> tuple[KMeansModel, float]:
-        name, k, start = setting
-        # the stop rule of Spark is on the move of each single center
-        move = math.sqrt(max(tolerance * points[name].variance, 0.0) / k)
-        kmeans = KMeans(
-            k=k, maxIter=max_iter, tol=move, seed=seed + start, featuresCol="features", weightCol="weight",
-            solver="block",
-        )
-        model = kmeans.fit(points[name].frame)
-        return model, model.summary.trainingCost
-
-    settings = [(name, k, start) for name in points for k in ks for start in range(starts)]
-    session = next(iter(points.values())).frame.sparkSession
-    with ThreadPool(max(1, min(parallelism, len(settings)))) as pool:
-        runs = pool.map(inheritable_thread_target(session)(run), settings, chunksize=1)
-    best: dict[tuple[Hashable, int], tuple[KMeansModel, float]] = {}
-    for (name, k, _), done in zip(settings, runs):
-        if (name, k) not in best or done[1] < best[name, k][1]:  # the earliest of equals
-            best[name, k] = done
-    return best
 
+def best_of_each(
+    points: Points, ks: Sequence[int], starts: int = 10, max_iter: int = 100, tolerance: float = 1e-4
+) -> dict[tuple[tuple[str, str], int], Clusters]:
+    """Per pair and number of clusters the cheapest of ``starts`` runs, the earliest of equals.
 
-def best_kmeans(points: Points, ks: Sequence[int], starts: int = 10, **more) -> dict[int, tuple[KMeansModel, float]]:
-    """``best_of_each`` of one point set."""
-    return {k: found for (_, k), found in best_of_each({"points": points}, ks, starts, **more).items()}
+    A run ends after ``max_iter`` iterations, or when the squared moves of all centers together are at most
+    ``tolerance`` of the columns' mean variance. A center that no point is nearest to stays where it is. With fewer distinct
+    points than clusters every point is a center.
+    """
+    seeds = _seeds(points, max(ks, default=0), starts) if ks else {}
+    runs, known = {}, []
+    for (pair, start), chosen in sorted(seeds.items()):
+        for k in ks:
+            runs[len(known)] = pair, np.array(chosen[:k])
+            known.append((pair, k, start))
+    going, iterations = set(runs), dict.fromkeys(runs, 0)
+    for _ in range(max_iter):
+        if not going:
+            break
+        for run, sums in _pass(points, {r: runs[r] for r in sorted(going)}).items():
+            pair, old = runs[run]
+            n = sums[:, :1]
+            new = np.where(n > 0, sums[:, 1:3] / np.maximum(n, 1e-300), old)
+            runs[run], iterations[run] = (pair, new), iterations[run] + 1
+            if ((new - old) ** 2).sum() <= tolerance * points.variances[pair]:
+                going.discard(run)
+    best: dict[tuple[tuple[str, str], int], Clusters] = {}
+    last = _pass(points, runs) if runs else {}
+    for run, (pair, k, _) in enumerate(known):
+        sums, name = last[run], (points.pairs[pair], k)
+        cost = float(sums[:, 3].sum())
+        if name not in best or cost < best[name].cost:
+            order = np.lexsort(runs[run][1].T[::-1])
+            centers = tuple(map(tuple, runs[run][1][order].tolist()))
+            best[name] = Clusters(centers, tuple(int(n) for n in sums[order, 0]), cost, iterations[run])
+    return best
 
 
-@contextmanager
-def points_of_pairs(df: DataFrame, pairs: Sequence[Sequence[str]]) -> Iterator[dict[tuple[str, str], Points]]:
-    """The weighted points of every pair, from one held copy of the columns."""
-    columns = df.select(*sorted({c for pair in pairs for c in pair})).persist()
-    with ExitStack() as held:
-        try:
-            points = {(x, y): held.enter_context(weighted_points(columns, (x, y))) for x, y in pairs}
-        finally:
-            columns.unpersist()
-        yield points
+def best_kmeans(points: Points, ks: Sequence[int], starts: int = 10, **more) -> dict[int, Clusters]:
+    """``best_of_each`` of points of one pair."""
+    return {k: found for (_, k), found in best_of_each(points, ks, starts, **more).items()}
 
 
 def squared_distance(columns: Sequence[str], center: Sequence[float]) -> Column:
@@ -132,34 +196,30 @@ def squared_error(df: DataFrame, columns: Sequence[str], centers: Sequence[Seque
 
 
 def elbow(
-    df: DataFrame, pairs: Sequence[Sequence[str]], ks: Sequence[int] = (2, 3, 4, 5), starts: int = 10, parallelism: int = 8
+    df: DataFrame, pairs: Sequence[tuple[str, str]], ks: Sequence[int] = (2, 3, 4, 5), starts: int = 10, keys: Mapping[str, str] | None = None
 ) -> DataFrame:
     """Cost of the best clustering for every column pair and number of clusters."""
+    schema = "x string, y string, k int, sse double"
     if not pairs:
-        return df.sparkSession.createDataFrame([], "x string, y string, k int, sse double")
-    with points_of_pairs(df, pairs) as points:
-        best = best_of_each(points, ks, starts, parallelism=parallelism)
-    rows = [(x, y, k, cost) for ((x, y), k), (_, cost) in best.items()]
-    return df.sparkSession.createDataFrame(rows, "x string, y string, k int, sse double")
+        return df.sparkSession.createDataFrame([], schema)
+    with weighted_points(df, pairs, keys) as points:
+        best = best_of_each(points, ks, starts)
+    return df.sparkSession.createDataFrame([(x, y, k, c.cost) for ((x, y), k), c in best.items()], schema)
 
 
 def report(
-    df: DataFrame, pairs: Sequence[Sequence[str]], k: int = 3, starts: int = 10, parallelism: int = 8
+    df: DataFrame, pairs: Sequence[tuple[str, str]], k: int = 3, starts: int = 10, keys: Mapping[str, str] | None = None
 ) -> DataFrame:
-    """Per column pair one row per cluster: rows, center, and the limits of a square view on all rows."""
-    box = {r["name"]: r for r in extents(df, *sorted({c for pair in pairs for c in pair})).collect()}
+    """Per column pair one row per cluster, by rising center: rows, center, and the limits of a square view on all rows."""
     rows = []
-    counts, cluster = F.sum("weight").cast("long").alias("counts"), F.col("prediction").alias("cluster")
-    found = {}
     if pairs:
-        with points_of_pairs(df, pairs) as points:
-            for (pair, _), (model, cost) in best_of_each(points, [k], starts, parallelism=parallelism).items():
-                found[pair] = model, cost, model.transform(points[pair].frame).groupBy(cluster).agg(counts).collect()
-    for (x, y), (model, cost, sizes) in found.items():
-        half = max(box[x]["spread"] + 1, box[y]["spread"] + 1) / 2
-        limits = [box[c]["mean"] + s * half for c in (x, y) for s in (-1, 1)]
-        centers = [[float(v) for v in center] for center in model.clusterCenters()]
-        rows += [(x, y, r["cluster"], r["counts"], *centers[r["cluster"]], cost, *limits) for r in sizes]
+        box = {r["name"]: r for r in extents(df, *sorted({c for pair in pairs for c in pair})).collect()}
+        with weighted_points(df, pairs, keys) as points:
+            best = best_of_each(points, [k], starts)
+        for ((x, y), _), found in best.items():
+            half = max(box[x]["spread"] + 1, box[y]["spread"] + 1) / 2
+            limits = [box[c]["mean"] + s * half for c in (x, y) for s in (-1, 1)]
+            rows += [(x, y, i, n, *center, found.cost, *limits) for i, (n, center) in enumerate(zip(found.sizes, found.centers))]
     return df.sparkSession.createDataFrame(
         rows,
         "x string, y string, cluster int, counts long, center_x double, center_y double, sse double, "

@@ -111,16 +111,17 @@ def blobs(spark):
 
 
 def test_weighted_points_cluster_like_all_rows(blobs):
-    with K.weighted_points(blobs, ("x", "y")) as points:
+    with K.weighted_points(blobs, [("x", "y")]) as points:
         assert points.frame.agg(F.sum("weight")).first()[0] == 900
         assert points.frame.count() < 900
-        model, cost = K.best_kmeans(points, [3], starts=3)[3]
-    centers = sorted(tuple(c) for c in model.clusterCenters())
+        found = K.best_kmeans(points, [3], starts=3)[3]
+    centers, cost = list(found.centers), found.cost
+    assert centers == sorted(centers) and sum(found.sizes) == 900
     plain = V.numeric_stages(["x", "y"])[0].transform(blobs)
     whole = min((KMeans(k=3, seed=s).fit(plain) for s in range(3)), key=lambda m: m.summary.trainingCost)
     assert sum(centers, ()) == pytest.approx(sum(sorted(tuple(c) for c in whole.clusterCenters()), ()), abs=1e-3)
     assert cost == pytest.approx(whole.summary.trainingCost, rel=1e-6)
-    assert K.squared_error(blobs, ("x", "y"), model.clusterCenters()).first()[0] == pytest.approx(cost, rel=1e-6)
+    assert K.squared_error(blobs, ("x", "y"), centers).first()[0] == pytest.approx(cost, rel=1e-6)
 
 
 def test_nearest_center_and_ties(spark):
