@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyframe.operators.holding import held
 from tallyframe.operators.splits import key_bucket
 
 #: Mini-batch fractions are counted in so many parts.
@@ -113,14 +114,14 @@ def descend_all(
     names = list(features)
     text = F.concat_ws("|", *[F.col(c).cast("string") for c in (key or [*names, label])])
     columns = [F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate([*names, label])]
-    rows = df.select(*columns, text.alias("key")).dropna().persist()
+    rows = df.select(*columns, text.alias("key")).dropna()
     longest: dict[tuple, int] = {}
     for setting in settings:
         longest[setting.run] = max(setting.iterations, longest.get(setting.run, 0))
     # the weights of every run after 0, 1, ... steps; a run that has stopped gets no more
     paths = {run: [(0, np.zeros(len(names)))] for run in longest}
     going = set(longest)
-    try:
+    with held(rows):
         for t in range(1, max(longest.values(), default=0) + 1):
             runs = [run for run in longest if run in going and t <= longest[run]]
             if not runs:
@@ -146,8 +147,6 @@ def descend_all(
                 paths[run].append((t, new))
                 if moved:
                     going.discard(run)
-    finally:
-        rows.unpersist()
     found = []
     for setting in settings:
         path = paths[setting.run]

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.functions.columns import code_to_text
+from tallyframe.operators.holding import held
 
 SEED = 17
 
@@ -54,15 +55,8 @@ def boosted_regressor(label: str = "cnt", **more) -> GBTRegressor:
 
 def fit(stages: Sequence, estimator, train: DataFrame) -> PipelineModel:
     """Fit the preparation stages and the estimator on ``train``, kept in memory or on disk meanwhile."""
-    level = train.storageLevel
-    held_by_caller = level.useMemory or level.useDisk
-    if not held_by_caller:
-        train.persist()
-    try:
+    with held(train):
         return Pipeline(stages=[*stages, estimator]).fit(train)
-    finally:
-        if not held_by_caller:
-            train.unpersist()
 
 
 def describe(scored: DataFrame, texts: Mapping[int, str], prediction: str = "prediction") -> DataFrame:

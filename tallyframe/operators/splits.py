@@ -33,6 +33,57 @@ def halves(df: DataFrame, keys: Sequence[str], percent: int) -> tuple[DataFrame,
     return df.filter(bucket < percent), df.filter(bucket >= percent)
 
 
+#: Buckets per round of ``exact_split``; a 60-bit hash is told apart in at most six rounds of ten bits.
+ROUND_BITS, HASH_BITS = 10, 60
+
+
+def _hash60(keys: Sequence[str]) -> Column:
+    text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
+    return F.conv(F.substring(F.md5(text), 1, HASH_BITS // 4), 16, 10).cast("long")
+
+
+def _cuts(hashes: DataFrame, ranks: Sequence[int]) -> list[int]:
+    """Per rank, from 1, the hash that has it in the rising order of all hashes.
+
+    Every round counts the hashes by their next bits, only within the buckets that hold a rank, so the driver sees
+    one number per bucket and no task sees all hashes.
+    """
+    prefixes, left = [0] * len(ranks), list(ranks)
+    for shift in range(HASH_BITS - ROUND_BITS, -1, -ROUND_BITS):
+        above = F.shiftright("hash", shift + ROUND_BITS)
+        near = hashes.filter(above.isin(*set(prefixes))).groupBy(F.shiftright("hash", shift).alias("bucket")).count()
+        counts = sorted((r["bucket"], r["count"]) for r in near.collect())
+        for i, prefix in enumerate(prefixes):
+            for bucket, n in counts:
+                if bucket >> ROUND_BITS != prefix:
+                    continue
+                if left[i] <= n:
+                    prefixes[i] = bucket
+                    break
+                left[i] -= n
+    return prefixes
+
+
+def exact_split(df: DataFrame, keys: Sequence[str], parts: Mapping[str, int], name: str = "part") -> DataFrame:
+    """Label every row with one of ``parts`` (name to weight), with sizes that are exact to the row.
+
+    Rows are taken in the order of their key's hash; the last hash of each part is found by refining a histogram. Rows of
+    one key share their hash, so unique keys are what makes the sizes exact; equal hashes stay together.
+    """
+    hashes = staged(df.select(_hash60(keys).alias("hash")), "hashes")
+    rows, total, bound, ends = hashes.count(), sum(parts.values()), 0, []
+    for weight in parts.values():
+        bound += weight
+        ends.append(rows * bound // total)
+    inner = sorted({e for e in ends[:-1] if 0 < e <= rows})
+    cut = dict(zip(inner, _cuts(hashes, inner)))
+    label = F.lit(None).cast("string")
+    for part, end in reversed(list(zip(parts, ends))):
+        below = _hash60(keys) <= F.lit(cut[end]) if end in cut else F.lit(end > 0)
+        label = F.lit(part) if end == rows else F.when(below, part).otherwise(label)
+    return df.withColumn(name, label)
+
+
 def random_split(df: DataFrame, weights: Sequence[float], seed: int | None = None) -> list[DataFrame]:
     """Spark's own split; with a seed it repeats only while the partitioning stays the same."""
     return df.randomSplit([float(w) for w in weights], seed)

@@ -19,6 +19,8 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationS
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyframe.operators.holding import held
+
 # The full grids, by tuner and by model.
 TREE_GRID = {"impurity": ["gini", "entropy"], "maxDepth": [5, 10, 15], "maxBins": [10, 15, 20]}
 FOREST_GRID = {**TREE_GRID, "numTrees": [10, 20, 30]}
@@ -115,21 +117,14 @@ def sweep(
     ``train_one(train, **setting)`` returns something with ``transform``; ``measure`` turns
     scored rows into a one-value DataFrame.
     """
-    train, validation = train.persist(), validation.persist()
-
     def run(setting: Mapping[str, Any]) -> tuple[Any, float | None, float]:
         began = monotonic()
         model = train_one(train, **setting)
         metric = measure(model.transform(validation)).first()[0]
         return model, metric, monotonic() - began
 
-    pool = ThreadPool(max(1, min(parallelism, len(settings))))
-    try:
+    with held(train), held(validation), ThreadPool(max(1, min(parallelism, len(settings)))) as pool:
         done = pool.map(inheritable_thread_target(train.sparkSession)(run), list(settings), chunksize=1)
-    finally:
-        pool.close()
-        train.unpersist()
-        validation.unpersist()
     rows = [
         (i, ", ".join(f"{k}={v}" for k, v in s.items()), None if m is None else float(m), d)
         for i, (s, (_, m, d)) in enumerate(zip(settings, done))

@@ -34,6 +34,15 @@ def spl_hash_80_10_10(t: Tables) -> DataFrame:
     return S.hash_split(t("events").select("event_id", "user_id"), ["event_id"], parts)
 
 
+@query(
+    "spl_exact_80_20",
+    """SELECT event_id, user_id, CASE WHEN row_number() OVER (ORDER BY substr(md5(CAST(event_id AS VARCHAR)), 1, 15)) <= count(*) OVER () * 80 // 100
+       THEN 'train' ELSE 'validation' END AS part FROM events""",
+)
+def spl_exact_80_20(t: Tables) -> DataFrame:
+    return S.exact_split(t("events").select("event_id", "user_id"), ["event_id"], {"train": 80, "validation": 20})
+
+
 FOLDED_SQL = f"""
 WITH ratings AS ({RATINGS_SQL}),
 placed AS (SELECT *, row_number() OVER (ORDER BY first_order, "user", item) AS rn FROM ratings),

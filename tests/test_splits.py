@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import pytest
@@ -63,3 +64,23 @@ def test_only_the_first_ranks_cross_the_shuffle(spark, tables):
     plan = marked._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
     assert "CartesianProduct" not in plan
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 7, 1000])
+@pytest.mark.parametrize("parts", [{"a": 80, "b": 20}, {"a": 1, "b": 0, "c": 2, "d": 1}, {"a": 0, "b": 1}])
+def test_exact_split_has_exact_sizes(spark, n, parts):
+    df = spark.range(n)
+    found = {r["id"]: r["part"] for r in S.exact_split(df, ["id"], parts).collect()}
+    order = sorted(range(n), key=lambda i: hashlib.md5(str(i).encode()).hexdigest()[:15])
+    bound, wanted, total = 0, {}, sum(parts.values())
+    for part, weight in parts.items():
+        for i in order[n * bound // total : n * (bound + weight) // total]:
+            wanted[i] = part
+        bound += weight
+    assert found == wanted
+
+
+def test_exact_split_keeps_equal_keys_together(spark):
+    rows = [(i % 3, i) for i in range(90)]
+    found = S.exact_split(spark.createDataFrame(rows, "k int, i int"), ["k"], {"a": 50, "b": 50})
+    assert found.groupBy("k").agg(F.count_distinct("part").alias("parts")).filter("parts > 1").count() == 0
