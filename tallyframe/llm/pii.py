@@ -12,14 +12,16 @@ not over a base span, are added.
 
 Null texts are empty. Positions are in code points, ends exclusive. Every row is a document of its
 own; repeated rows and ties are no special case. Without candidates nothing is added. Other columns
-are not read.
+are not read. Long texts are searched whole, in a time that grows with their length alone.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +39,13 @@ IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
+# The same matches in a time that grows with the text alone: a run of digits or letters is looked at once, since a match
+# that fails at its first character fails at all others.
+_IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
+_CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
+_LOCAL = re.compile(r"[A-Za-z0-9._%+-]++")
+_DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
+
 _NOT_DIGIT = re.compile(r"[^0-9]")
 
 
@@ -52,13 +61,31 @@ def luhn(number: str) -> bool:
     return total % 10 == 0
 
 
+def _emails(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of ``EMAIL``: a run of name characters up to an ``@``, from the end of the span before if that cuts it."""
+    free = 0
+    for run in _LOCAL.finditer(text):
+        end = run.end()
+        if text[end : end + 1] != "@" or end <= free:
+            continue
+        domain = _DOMAIN.match(text, end + 1)
+        if domain:
+            yield max(run.start(), free), domain.end()
+            free = domain.end()
+
+
+def _is_byte(part: str) -> bool:
+    part = part.lstrip("0")
+    return len(part) <= 3 and int(part or "0") <= 255
+
+
 def base_spans(text: str) -> list[tuple[str, int, int]]:
     """Spans of the base patterns, by kind as listed and then start."""
     out = []
     if "@" in text:
-        out += [("email", *m.span()) for m in EMAIL.finditer(text)]
-    out += [("ip", *m.span()) for m in IP.finditer(text) if all(int(p) <= 255 for p in m[0].split("."))]
-    for m in CARD.finditer(text):
+        out += [("email", *span) for span in _emails(text)]
+    out += [("ip", *m.span()) for m in _IP.finditer(text) if all(map(_is_byte, m[0].split(".")))]
+    for m in _CARD.finditer(text):
         number = digits(m[0])
         if 16 <= len(number) <= 19 and luhn(number):
             out.append(("card", *m.span()))
@@ -68,7 +95,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 _CANDIDATES = {
-    "email": re.compile(r"[A-Za-z0-9._%+-]+\x20?[\[(]at[\])]\x20?[A-Za-z0-9-]+(?:(?:\.|\x20?[\[(]dot[\])]\x20?)[A-Za-z0-9-]+)+"),
+    "email": re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++\x20?[\[(]at[\])]\x20?[A-Za-z0-9-]+(?:(?:\.|\x20?[\[(]dot[\])]\x20?)[A-Za-z0-9-]+)+"),
     "ip": re.compile(r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9.])"),
     "card": re.compile(r"(?<![0-9])(?:[0-9]{16,19}|[0-9]{4}(?:[\x20-][0-9]{4}){3})(?![0-9])"),
     "phone": re.compile(r"(?<![0-9])(?:\+[0-9]{1,3}[\x20-]?)?\([0-9]{3}\)\x20?[0-9]{3}-[0-9]{4}(?![0-9])"),
@@ -116,10 +143,13 @@ def candidates(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, i
     """(kind, start, end, key): candidates that meet no base span; the key is votes and shape."""
     out = []
     taken = sorted((s, e) for _, s, e in base)
+    # the furthest end of the base spans up to each one, so that one look tells whether any reaches into a candidate
+    starts, reach = [s for s, _ in taken], list(accumulate((e for _, e in taken), max))
     for kind, pattern in _CANDIDATES.items():
         for m in pattern.finditer(text):
             start, end = m.span(1) if m.re.groups else m.span()
-            if any(s < end and start < e for s, e in taken):
+            before = bisect_left(starts, end)
+            if before and reach[before - 1] > start:
                 continue
             found = text[start:end]
             votes = _votes(kind, found, text[max(0, start - 40) : start])
