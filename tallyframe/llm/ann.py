@@ -194,8 +194,11 @@ def nearest(
             continue
         unit = _unit(np.array([r["v"] for r in rows], np.float64))
         a, b = books.distances(unit)
-        visits = np.stack([walk(x, y, sizes, share * sizes.sum()) for x, y in zip(a, b, strict=True)])
         own = np.array([r["vec_id"] for r in rows], np.int64)
+        # rows of one id are in one block: besides them, at least k rows are visited
+        copies = dict(zip(*np.unique(own, return_counts=True)))
+        enough = [max(share * sizes.sum(), k + copies[i]) for i in own]
+        visits = np.stack([walk(x, y, sizes, n) for x, y, n in zip(a, b, enough, strict=True)])
         data = spark.sparkContext.broadcast((own, unit, np.packbits(visits, axis=1, bitorder="little")))
         parts.append(stored.select("cell", "vec_id", "v").mapInArrow(_search(data, k), "query_id long, vec_id long, score double"))
     if not parts:
