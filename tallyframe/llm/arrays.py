@@ -7,11 +7,14 @@ as 64-bit columns at once.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 
 U64 = np.uint64
 #: Bytes per piece; a single longer text is a piece of its own.
@@ -28,9 +31,31 @@ _LOWER[65:91] += 32
 _IN_WORD = np.ones(256, dtype=bool)
 _IN_WORD[SPACES] = False
 
-# odd multipliers of the two polynomial hashes
-_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+#: Odd multiplier of the hashes of word runs.
+_RUN = 0xC2B2AE3D27D4EB4F
+# a span hash is a pair of polynomials modulo two primes; modulo a power of two, some pairs of texts collide under every base
+_PRIMES = (2147483647, 2147483629)
+_BASES = ((1640531527, 1013904223), (1181783497, 1597334677))
+_powers: dict[int, tuple[tuple[np.ndarray, np.ndarray], ...]] = {}
+#: Terms of a polynomial that a 64-bit sum surely holds without reducing them first.
+_SHORT = 1 << 23
+
+_stage: list[int] = []
+
+
+def release_memory() -> None:
+    """Give back what tasks of an earlier stage left in this worker: tables, Arrow's pool and the free heap."""
+    context = TaskContext.get()
+    if context is None or _stage == [context.stageId()]:
+        return
+    _stage[:] = [context.stageId()]
+    _powers.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # only glibc has it
+        pass
 
 
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
@@ -79,6 +104,7 @@ def bound_batches(spark) -> None:
 
 def gathered(batches: Iterator[pa.RecordBatch], text: int, size: int = GATHER) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``size`` bytes of the text column, and one text at least."""
+    release_memory()
     held: list[pa.RecordBatch] = []
     n = 0
     for batch in batches:
@@ -113,16 +139,27 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, stops, np.diff(np.searchsorted(starts, offsets))
 
 
-def _power_table(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+def _powers_of(base: int, prime: int, n: int) -> np.ndarray:
+    """``base ** 0 .. base ** (n - 1)`` modulo ``prime``."""
+    table = np.ones(n, U64)
+    done, factor = 1, base % prime
+    while done < n:
+        more = min(done, n - done)
+        table[done : done + more] = table[:more] * U64(factor) % U64(prime)
+        factor = factor * factor % prime
+        done += more
+    return table.astype(np.uint32)
+
+
+def _power_table(which: int, n: int) -> tuple[tuple[np.ndarray, np.ndarray], ...]:
+    """Per prime the powers of the base and of its inverse."""
     have = _powers.get(which)
-    if have is None or len(have[0]) <= n:
-        base = _BASES[which]
-        size = max(n + 1, PIECE + 1)
-        inverse = pow(base, -1, 1 << 64)
-        with np.errstate(over="ignore"):
-            table = tuple(
-                np.concatenate([np.ones(1, U64), np.cumprod(np.full(size, b, U64), dtype=U64)]) for b in (base, inverse)
-            )
+    if have is None or len(have[0][0]) <= n:
+        size = max(n, PIECE) + 1
+        table = tuple(
+            (_powers_of(base, prime, size), _powers_of(pow(base, -1, prime), prime, size))
+            for base, prime in zip(_BASES[which], _PRIMES)
+        )
         if size > 16 * PIECE:  # one very long text does not stay in memory
             return table
         have = _powers[which] = table
@@ -131,11 +168,17 @@ def _power_table(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray, which: int = 0) -> np.ndarray:
     """A 64-bit hash of each byte span; equal spans have equal hashes wherever they stand."""
-    power, inverse = _power_table(which, len(data))
+    values, sums = data.astype(U64) + U64(1), np.zeros(len(data) + 1, U64)
+    whole = np.zeros(len(starts), U64)
+    for (power, inverse), prime in zip(_power_table(which, len(data)), _PRIMES):
+        terms = values * power[: len(data)]
+        if len(data) > _SHORT:
+            terms %= U64(prime)
+        np.cumsum(terms, out=sums[1:])
+        part = (sums[stops] - sums[starts]) % U64(prime) * inverse[starts] % U64(prime)
+        whole = (whole << U64(32)) | part
     with np.errstate(over="ignore"):
-        sums = np.zeros(len(data) + 1, U64)
-        np.cumsum((data.astype(U64) + U64(1)) * power[: len(data)], out=sums[1:])
-        return mix((sums[stops] - sums[starts]) * inverse[starts] + (stops - starts).astype(U64), which)
+        return mix(whole + (stops - starts).astype(U64) * U64(_RUN), which)
 
 
 def shingle_hashes(words: np.ndarray, counts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -150,11 +193,11 @@ def shingle_hashes(words: np.ndarray, counts: np.ndarray, size: int) -> tuple[np
     total = np.zeros(n, U64)
     with np.errstate(over="ignore"):
         factor = U64(1)
-        for j in range(size):
+        for j in range(min(size, n)):
             part = np.zeros(n, U64)
             part[: n - j] = words[j:]
             total += np.where(j < length, part, U64(0)) * factor
-            factor *= U64(_BASES[1])
+            factor *= U64(_RUN)
         hashes = mix(total + length.astype(U64), 7)
     made = np.where(counts >= size, counts - size + 1, np.minimum(counts, 1))
     place = np.arange(n) - np.repeat(first[:-1], counts)

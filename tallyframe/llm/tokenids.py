@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -157,13 +158,25 @@ class Encoder:
         self.byte_level = self.tokenizer.normalizer is None and [x for x, _ in split] == ["\u0120ab", "\u0120c"]
         self.model = self.tokenizer.model
 
-    def _ids(self, piece: bytes) -> bytes:
+    def _ids(self, piece: bytes) -> list[int]:
         text = piece.decode()
         if self.byte_level and _WORD.fullmatch(text):
-            ids = [t.id for t in self.model.tokenize(piece.decode("latin-1").translate(_BYTE_CHARS))]
-        else:
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
+            return [t.id for t in self.model.tokenize(piece.decode("latin-1").translate(_BYTE_CHARS))]
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _all_ids(self, raw: bytes, starts: np.ndarray, stops: np.ndarray) -> list[list[int]]:
+        """The ids of each piece; words of ASCII letters, which are most of them, go to the model straight from the text."""
+        if not self.byte_level:
+            return [self._ids(raw[a:b]) for a, b in zip(starts.tolist(), stops.tolist(), strict=True)]
+        data = np.frombuffer(raw, np.uint8)
+        letters = np.concatenate([[0], np.cumsum(_LETTER[data])])
+        begins = starts + (data[starts] == 32)
+        plain = (letters[stops] - letters[begins] == stops - begins) & (stops > begins)
+        text, tokenize = raw.decode("latin-1").translate(_BYTE_CHARS), self.model.tokenize
+        return [
+            [t.id for t in tokenize(text[a:b])] if word else self._ids(raw[a:b])
+            for a, b, word in zip(starts.tolist(), stops.tolist(), plain.tolist(), strict=True)
+        ]
 
     def forget(self) -> None:
         """Known pieces as arrays: hashes, ascending, with begin and number of their ids in ``ids``."""
@@ -180,10 +193,10 @@ class Encoder:
         new[inside] = self.hashes[at[inside]] != hashes[inside]
         fresh = np.flatnonzero(new)
         fresh = fresh[np.argsort(hashes[fresh])]
-        found = [self._ids(raw[a:b]) for a, b in zip(starts[fresh].tolist(), stops[fresh].tolist(), strict=True)]
-        lengths = np.array([len(x) >> 2 for x in found], np.int64)
+        found = self._all_ids(raw, starts[fresh], stops[fresh]) if len(fresh) else []
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
         begins = len(self.ids) + np.cumsum(lengths) - lengths
-        self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(found), "<u4")])
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum()))])
         self.hashes, self.begins, self.lengths = (
             np.insert(old, at[fresh], some) for old, some in ((self.hashes, hashes[fresh]), (self.begins, begins), (self.lengths, lengths))
         )
