@@ -155,12 +155,12 @@ def _power_table(which: int, n: int) -> tuple[tuple[np.ndarray, np.ndarray], ...
     """Per prime the powers of the base and of its inverse."""
     have = _powers.get(which)
     if have is None or len(have[0][0]) <= n:
-        size = max(n, PIECE) + 1
+        size = -(-max(n, 1) // PIECE) * PIECE + 1
         table = tuple(
             (_powers_of(base, prime, size), _powers_of(pow(base, -1, prime), prime, size))
             for base, prime in zip(_BASES[which], _PRIMES)
         )
-        if size > 16 * PIECE:  # one very long text does not stay in memory
+        if size > 17 * PIECE:  # one very long text does not stay in memory
             return table
         have = _powers[which] = table
     return have

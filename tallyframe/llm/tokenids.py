@@ -36,7 +36,7 @@ PER_WORD = 60 // WIDTHS
 ESCAPE = (1 << 20) - 1
 BLOCK = 240
 #: Text bytes of a chunk, about; it has at least one document.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 _FILE = "part int, chunk int, before long, n_ids long, docs binary, no_id binary, lengths binary, words binary, block_words binary, escapes binary"
 U64 = np.uint64
@@ -140,6 +140,7 @@ _WORD = re.compile("\x20?[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u02AF]+")
 # byte-level vocabularies write a byte as the character of that number if it is printable, else as one from 256 on
 _PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _BYTE_CHARS = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(_PRINTABLE)))}
+_CHARS = [chr(_BYTE_CHARS.get(b, b)) for b in range(256)]
 #: Pieces that a worker remembers between batches.
 REMEMBERED = 800_000
 
@@ -161,7 +162,7 @@ class Encoder:
     def _ids(self, piece: bytes) -> list[int]:
         text = piece.decode()
         if self.byte_level and _WORD.fullmatch(text):
-            return [t.id for t in self.model.tokenize(piece.decode("latin-1").translate(_BYTE_CHARS))]
+            return [t.id for t in self.model.tokenize("".join(map(_CHARS.__getitem__, piece)))]
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def _all_ids(self, raw: bytes, starts: np.ndarray, stops: np.ndarray) -> list[list[int]]:
@@ -172,10 +173,10 @@ class Encoder:
         letters = np.concatenate([[0], np.cumsum(_LETTER[data])])
         begins = starts + (data[starts] == 32)
         plain = (letters[stops] - letters[begins] == stops - begins) & (stops > begins)
-        text, tokenize = raw.decode("latin-1").translate(_BYTE_CHARS), self.model.tokenize
+        text, tokenize, heads = raw.decode("latin-1"), self.model.tokenize, ("", _CHARS[32])
         return [
-            [t.id for t in tokenize(text[a:b])] if word else self._ids(raw[a:b])
-            for a, b, word in zip(starts.tolist(), stops.tolist(), plain.tolist(), strict=True)
+            [t.id for t in tokenize(heads[c - a] + text[c:b])] if word else self._ids(raw[a:b])
+            for a, c, b, word in zip(starts.tolist(), begins.tolist(), stops.tolist(), plain.tolist(), strict=True)
         ]
 
     def forget(self) -> None:
