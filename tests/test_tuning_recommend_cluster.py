@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.ml.clustering import KMeans
 from pyspark.sql import functions as F
@@ -98,6 +99,31 @@ def test_recommendations(spark, ratings, tmp_path):
     assert error < ratings.agg(F.stddev("rating")).first()[0] / 2
 
 
+def test_factors_by_sums_with_one_hot_item(spark):
+    """A third of all ratings is on one item; the same alternating steps in numpy give the same products."""
+    rng = random.Random(6)
+    pairs = {(u, 0) for u in range(120)} | {(rng.randrange(120), rng.randrange(1, 30)) for _ in range(300)}
+    data = [(u, i, float(1 + (u * 7 + i * 3) % 5)) for u, i in sorted(pairs)]
+    ratings = spark.createDataFrame([*data, (None, 1, 2.0), (3, None, 2.0)], "user int, item int, rating float")
+    users, items = R.train_by_sums(ratings, 3, 4, 0.05)
+    seeds = ratings.dropna().select("item", *[((F.pmod(F.xxhash64("item", F.lit(k)), F.lit(1000)) + 1) / 1000.0).alias(f"s{k}") for k in range(3)])
+    other = {r[0]: np.array(r[1:]) for r in seeds.distinct().collect()}
+    mine = {}
+    for _ in range(4):
+        for at in (0, 1):
+            solved = {}
+            for key in {d[at] for d in data}:
+                met = [(other[d[1 - at]], d[2]) for d in data if d[at] == key]
+                x, y = np.array([m[0] for m in met]), np.array([m[1] for m in met])
+                solved[key] = np.linalg.solve(x.T @ x + 0.05 * len(y) * np.eye(3), x.T @ y)
+            other, mine = solved, other
+    found = {r.id: r.features for r in items.collect()}
+    assert set(found) == set(other)
+    assert all(found[i] == pytest.approx(other[i].tolist(), abs=1e-6) for i in other)
+    assert R.off_optimum(ratings, items, users, "item", "user", 3, 0.05).agg(F.max("residual")).first()[0] < 1e-9
+    assert R.off_optimum(ratings, users, items, "user", "item", 3, 0.05).agg(F.max("residual")).first()[0] > 1e-9
+
+
 def test_missing_model_raises(spark, tmp_path):
     with pytest.raises(Exception, match="does not exist"):
         R.load_model(str(tmp_path / "none"))
