@@ -169,10 +169,10 @@ def contamination_query(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents with no hit. They are numbered and written once: each scan would number them its own way."""
-    marked = staged(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    named = marked.select(F.col("_row").alias("row"), "doc_id", "text")
+    marked = staged(docs.select(F.struct(*docs.columns).alias("whole"), F.monotonically_increasing_id().alias("row")), "numbered")
+    named = marked.select("row", "whole.doc_id", "whole.text")
     hit = _contamination(named, benchmark, "text", "item_id", "text", BLOCK, stored=True).filter("n_hit > 0")
-    return marked.join(hit.select(F.col("row").alias("_row")), "_row", "left_anti").drop("_row")
+    return marked.join(hit.select("row"), "row", "left_anti").select("whole.*")
 
 
 CONTAMINATION_SQL = r"""

@@ -177,9 +177,10 @@ def identified(docs: DataFrame, name: str = "_language") -> DataFrame:
 
 
 def language_query(docs: DataFrame) -> DataFrame:
-    return identified(docs).select("doc_id", held_out().alias("held_out"), "_language.lang_pred", "_language.score")
+    return identified(docs.select("doc_id", "text", "lang")).select("doc_id", held_out().alias("held_out"), "_language.lang_pred", "_language.score")
 
 
 def keep_identified(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """The documents with a language that the model is sure of by at least ``least``."""
-    return identified(docs).filter(F.col("_language.score") >= least).drop("_language")
+    packed = docs.select("doc_id", "text", "lang", F.struct(*docs.columns).alias("whole"))
+    return identified(packed).filter(F.col("_language.score") >= least).select("whole.*")

@@ -117,13 +117,14 @@ def mixed(docs: DataFrame, text: str = "text", source: str = "source") -> DataFr
 
 
 def mixing_query(docs: DataFrame) -> DataFrame:
-    return mixed(docs).select("doc_id", "size", "source_size", "target", "taken")
+    return mixed(docs.select("doc_id", "text", "source")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def take_mix(docs: DataFrame) -> DataFrame:
-    """The documents of the mix, each as often as it is taken."""
-    chosen = mixed(docs).filter("_times > 0")
-    return chosen.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+    """The documents of the mix, each as often as it is taken, with the columns they had whatever their names."""
+    packed = docs.select("doc_id", "text", "source", F.struct(*docs.columns).alias("whole"))
+    chosen = mixed(packed).filter("_times > 0")
+    return chosen.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select("whole.*")
 
 
 MIXING_SQL = r"""

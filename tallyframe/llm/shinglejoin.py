@@ -365,9 +365,16 @@ def components_query(docs: DataFrame) -> DataFrame:
 
 
 def one_per_component(docs: DataFrame) -> DataFrame:
-    """The document with the smallest id of each component; documents without id are kept.
+    """One row of each component: the one with the smallest id, ids that are missing coming last, of equal ids any one.
 
-    Of repeated rows of one id all stay, as they are one document.
+    Rows are numbered and written once, and linked by these numbers, so rows that share an id are judged each by its own text.
+    A row without words is linked with nothing and stays.
     """
-    others = linked_components(docs).filter("doc_id <> component_id").select(F.col("doc_id").alias("_other")).distinct()
-    return docs.join(others, F.col("doc_id").cast("long") == F.col("_other"), "left_anti")
+    marked = staged(docs.select(F.struct(*docs.columns).alias("whole"), F.monotonically_increasing_id().alias("row")), "rows")
+    linked = linked_components(marked.select(F.col("row").alias("doc_id"), "whole.text")).select(F.col("doc_id").alias("row"), "component_id")
+    linked = staged(linked, "linked")
+    named = linked.join(marked.select("row", F.col("whole.doc_id").cast("long").alias("id")), "row")
+    first = F.min(F.struct(F.col("id").isNull().alias("missing"), "id", "row"))
+    kept = named.groupBy("component_id").agg(first.alias("first")).select("first.row")
+    dropped = linked.select("row").join(kept, "row", "left_anti")
+    return marked.join(dropped, "row", "left_anti").select("whole.*")
