@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,6 +59,28 @@ def _file_system(spark: SparkSession, path: str):
     return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
 
+_scratch = threading.local()
+
+
+@contextmanager
+def scratch() -> Iterator[list[DataFrame]]:
+    """Delete at the end what ``staged`` writes inside, in this thread, but for tables taken off the list."""
+    outer, _scratch.tables = getattr(_scratch, "tables", None), []
+    tables = _scratch.tables
+    try:
+        yield tables
+    finally:
+        _scratch.tables = outer
+        for table in tables:
+            discard(table)
+
+
+def keep(tables: list[DataFrame], table: DataFrame) -> DataFrame:
+    """Take a staged table off the list of ``scratch``."""
+    tables[:] = [t for t in tables if t is not table]
+    return table
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder once and read it back.
 
@@ -70,6 +95,8 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     files.deleteOnExit(where)
     out = spark.read.schema(df.schema).parquet(path)
     out.staged_path = path
+    if getattr(_scratch, "tables", None) is not None:
+        _scratch.tables.append(out)
     return out
 
 
