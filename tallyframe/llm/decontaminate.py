@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyframe.session import staged
+from tallyframe.session import keep, scratch, staged
 
 WINDOW = 10
 SHINGLE = 4
@@ -171,8 +171,10 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents with no hit. They are numbered and written once: each scan would number them its own way."""
     marked = staged(docs.select(F.struct(*docs.columns).alias("whole"), F.monotonically_increasing_id().alias("row")), "numbered")
     named = marked.select("row", "whole.doc_id", "whole.text")
-    hit = _contamination(named, benchmark, "text", "item_id", "text", BLOCK, stored=True).filter("n_hit > 0")
-    return marked.join(hit.select("row"), "row", "left_anti").select("whole.*")
+    with scratch() as tables:  # what finds the hits goes when they are written
+        hit = _contamination(named, benchmark, "text", "item_id", "text", BLOCK, stored=True).filter("n_hit > 0")
+        hit = keep(tables, staged(hit.select("row"), "hit"))
+    return marked.join(hit, "row", "left_anti").select("whole.*")
 
 
 CONTAMINATION_SQL = r"""

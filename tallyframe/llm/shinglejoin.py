@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 
 from tallyframe.llm import arrays
 from tallyframe.llm.lm import dealt, part_bits
-from tallyframe.session import staged
+from tallyframe.session import keep, scratch, staged
 
 WORDS = 5
 PERCENT = 75
@@ -371,8 +371,9 @@ def one_per_component(docs: DataFrame) -> DataFrame:
     A row without words is linked with nothing and stays.
     """
     marked = staged(docs.select(F.struct(*docs.columns).alias("whole"), F.monotonically_increasing_id().alias("row")), "rows")
-    linked = linked_components(marked.select(F.col("row").alias("doc_id"), "whole.text")).select(F.col("doc_id").alias("row"), "component_id")
-    linked = staged(linked, "linked")
+    with scratch() as tables:  # what finds the components goes when they are written
+        linked = linked_components(marked.select(F.col("row").alias("doc_id"), "whole.text"))
+        linked = keep(tables, staged(linked.select(F.col("doc_id").alias("row"), "component_id"), "linked"))
     named = linked.join(marked.select("row", F.col("whole.doc_id").cast("long").alias("id")), "row")
     first = F.min(F.struct(F.col("id").isNull().alias("missing"), "id", "row"))
     kept = named.groupBy("component_id").agg(first.alias("first")).select("first.row")
