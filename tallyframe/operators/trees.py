@@ -48,6 +48,11 @@ def node_table(model, spark) -> DataFrame:
     )
 
 
+def _unseen_left(node) -> bool:
+    """Where a category goes that was not there in training: with the larger half of the known ones, left if more than half are."""
+    return len(node["split"]) > node["categories"] // 2
+
+
 @dataclass(frozen=True)
 class Tree:
     """The nodes of one tree as arrays by node number; a leaf has feature -1."""
@@ -67,10 +72,9 @@ class Tree:
             inner = self.feature[nodes] >= 0
             rows, nodes = rows[inner], nodes[inner]
             value = x[rows, self.feature[nodes]]
-            known = self.goes_left.shape[1] > 0
-            by_category = known & np.isnan(self.threshold[nodes])
-            at = np.clip(value, 0, max(self.goes_left.shape[1] - 1, 0)).astype(np.int64)
-            chosen = self.goes_left[nodes, at] if known else np.zeros(len(rows), bool)
+            # the last place stands for every category that was not there in training
+            chosen = self.goes_left[nodes, np.clip(value, 0, self.goes_left.shape[1] - 1).astype(np.int64)]
+            by_category = np.isnan(self.threshold[nodes])
             nodes = np.where(np.where(by_category, chosen, value <= self.threshold[nodes]), self.left[nodes], self.right[nodes])
 
     def leaves(self, x: np.ndarray) -> np.ndarray:
@@ -87,7 +91,7 @@ def trees_of(nodes: DataFrame) -> list[Tree]:
     for number in sorted({r["tree"] for r in rows}):
         mine = [r for r in rows if r["tree"] == number]
         size = max([r["node"] for r in mine]) + 1
-        width = max([r["categories"] for r in mine] + [0])
+        width = max([r["categories"] for r in mine] + [0]) + 1
         feature, left, right = (np.full(size, -1, np.int64) for _ in range(3))
         threshold, prediction, goes_left = np.full(size, np.nan), np.zeros(size), np.zeros((size, width), bool)
         for r in mine:
@@ -95,6 +99,7 @@ def trees_of(nodes: DataFrame) -> list[Tree]:
             feature[n], left[n], right[n], prediction[n] = r["feature"], r["left"], r["right"], r["prediction"]
             if r["feature"] >= 0 and r["categories"] >= 0:
                 goes_left[n, np.array(r["split"], np.int64)] = True
+                goes_left[n, r["categories"] :] = _unseen_left(r)
             elif r["feature"] >= 0:
                 threshold[n] = r["split"][0]
         found.append(Tree(feature, threshold, goes_left, left, right, prediction))
@@ -118,8 +123,12 @@ def rules_table(nodes: DataFrame) -> DataFrame:
             if r["feature"] < 0:
                 rows += [(tree, node, i, *c, r["prediction"]) for i, c in enumerate(way or [(-1, "", [])])]
                 continue
-            sides = ("in", "not in") if r["categories"] >= 0 else ("<=", ">")
-            ways += [(to, [*way, (r["feature"], side, list(r["split"]))]) for to, side in zip((r["left"], r["right"]), sides)]
+            split, sides = list(r["split"]), ("<=", ">")
+            if r["categories"] >= 0 and _unseen_left(r):
+                split, sides = [float(c) for c in range(r["categories"]) if c not in split], ("not in", "in")
+            elif r["categories"] >= 0:
+                sides = ("in", "not in")
+            ways += [(to, [*way, (r["feature"], side, split)]) for to, side in zip((r["left"], r["right"]), sides)]
     return nodes.sparkSession.createDataFrame(rows, RULES)
 
 

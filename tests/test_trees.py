@@ -112,3 +112,16 @@ def test_tree_without_split(spark):
     prepared = PipelineModel(model.stages[:-1]).transform(rows)
     assert faults(prepared, nodes, "y", "variance") == set()
     assert [r.by_rules for r in N.by_rules(prepared, N.rules_table(nodes)).collect()] == [2.0] * 3
+
+
+def test_unseen_categories_go_where_the_model_sends_them(spark, rows):
+    """Categories that were not there in training, as one index more than the known ones."""
+    rng = random.Random(5)
+    data = [(float(c), float((c * 7) % 11 + rng.random())) for c in range(9) for _ in range(6)]
+    train = spark.createDataFrame(data, "c double, y double")
+    model = M.fit(V.indexed_stages(["c"], unseen="keep"), M.tree_regressor("y", maxDepth=5), train)
+    test = spark.createDataFrame([(float(c), 0.0) for c in range(-2, 13)], "c double, y double")
+    nodes = N.node_table(model.stages[-1], spark)
+    scored = N.by_rules(N.score_by_nodes(model.transform(test), N.trees_of(nodes), [1.0]), N.rules_table(nodes))
+    for r in scored.collect():
+        assert r.by_nodes == pytest.approx(r.prediction) and r.by_rules == pytest.approx(r.prediction)
