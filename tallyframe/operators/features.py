@@ -36,6 +36,11 @@ def category_stages(category: str, numeric: Sequence[str], output: str = "featur
     ]
 
 
+def placed(df: DataFrame, vector: str, *keys: str) -> DataFrame:
+    """One row per place of a vector column, from 0, with its value."""
+    return df.select(*keys, F.posexplode(vector_to_array(vector)).alias("place", "value"))
+
+
 def numeric_stages(numeric: Sequence[str], output: str = "features") -> list:
     return [VectorAssembler(inputCols=list(numeric), outputCol=output)]
 

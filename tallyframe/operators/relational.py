@@ -30,17 +30,33 @@ def group_share(df: DataFrame, *keys: str) -> DataFrame:
 def crosstab(df: DataFrame, row: str, column: str, values: Sequence | None = None) -> DataFrame:
     """Counts of every pair of values; the first column is named ``row_column``.
 
-    Without ``values`` every distinct value of ``column`` becomes a column, ``null`` for NULL. Name
-    the values of a column with very many.
+    Without ``values`` every distinct value of ``column`` becomes a column, ``null`` for NULL. There may be as many as
+    ``spark.sql.pivotMaxValues``; more raise an error. For these, name the values or take ``pair_counts``.
     """
     label = F.coalesce(F.col(column).cast("string"), F.lit("null"))
     if values is None:
-        values = [r[0] for r in df.select(label.alias("value")).distinct().orderBy("value").collect()]
+        most = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues"))
+        found = df.select(label.alias("value")).distinct().limit(most + 1).collect()
+        if len(found) > most:
+            raise ValueError(f"{column} has more than {most} values (spark.sql.pivotMaxValues): name them, or use pair_counts")
+        values = sorted(r[0] for r in found)
     names = [str(v) for v in values]
     table = df.select(F.col(row).alias(f"{row}_{column}"), label.alias("_label")).groupBy(f"{row}_{column}")
     return table.pivot("_label", names).agg(F.count(F.lit(1))).fillna(0, subset=names)
 
 
+def pair_counts(df: DataFrame, row: str, column: str) -> DataFrame:
+    """The cells of a contingency table that have rows, one row each, for columns of any number of values; NULL is a value of its own.
+
+    Beside the count of the pair stand those of its row and of its column.
+    """
+    cells = group_count(df, row, column)
+    for side in (row, column):
+        sums = cells.groupBy(F.col(side).alias("_side")).agg(F.sum("counts").alias(f"{side}_counts"))
+        cells = cells.join(sums, F.col(side).eqNullSafe(F.col("_side"))).drop("_side")
+    return cells
+
+
 def extents(df: DataFrame, *columns: str) -> DataFrame:
     """One row per column: minimum, maximum, mean and spread, from one pass."""
     one = df.agg(

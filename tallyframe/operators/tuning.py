@@ -38,6 +38,10 @@ LOGISTIC_SWEEP = {
     "fraction": [0.5, 0.8, 1.0],
 }
 SVM_SWEEP = {"iterations": [1, 3, 5, 10, 15, 20, 25], "step": [10, 50, 100, 200], "reg": [0.01, 0.1, 1.0]}
+# The settings around which one parameter at a time varies.
+TREE_AROUND = {"impurity": "gini", "depth": 10, "bins": 10}
+LOGISTIC_AROUND = {"iterations": 15, "step": 10, "fraction": 1.0}
+SVM_AROUND = {"iterations": 25, "step": 100, "reg": 1.0}
 BAYES_SWEEP = {"smoothing": [1.0, 3.0, 5.0, 10.0, 15.0, 20.0, 25.0, 30.0, 35.0, 40.0, 45.0, 50.0, 60.0]}
 
 
@@ -93,6 +97,14 @@ def vary(fixed: Mapping[str, Any], name: str, values: Sequence) -> list[dict[str
     return [{**fixed, name: v} for v in values]
 
 
+def vary_each(around: Mapping[str, Any], grid: Mapping[str, Sequence]) -> list[dict[str, Any]]:
+    """Every parameter of ``grid`` over its values in turn, the others as in ``around``; each setting once, where it comes first."""
+    settings: list[dict[str, Any]] = []
+    for name, values in grid.items():
+        settings += [s for s in vary(around, name, values) if s not in settings]
+    return settings
+
+
 @dataclass(frozen=True)
 class Sweep:
     trials: DataFrame

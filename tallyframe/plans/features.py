@@ -26,9 +26,9 @@ def clean_pages(t: Tables) -> DataFrame:
     return clean_numeric(raw, raw.columns[2:])
 
 
-def all_pages(t: Tables) -> DataFrame:
-    """Pages to score, labelled or not, without the label."""
-    return clean_numeric(t.raw_pages(labelled=False).drop("label"), PAGE_NUMBERS)
+def labelled_or_not(t: Tables) -> DataFrame:
+    """All pages; the label is null where there is none."""
+    return clean_numeric(t.raw_pages(labelled=False), PAGE_NUMBERS).withColumn("label", F.col("label").cast("double"))
 
 
 @query("ftr_string_index", INDEXED + "SELECT * FROM categories")
@@ -68,6 +68,26 @@ def ftr_assemble(t: Tables) -> DataFrame:
     return V.unpack(built, "features", [f"x{i}" for i in range(V.category_size(fitted) + len(PAGE_NUMBERS))])
 
 
+PLACED = """SELECT {keys}, unnest(range(len(f)))::INT AS place, unnest(f) AS value
+    FROM (SELECT {keys}, list_concat(list_transform(range((SELECT count(*) FROM categories)), lambda i: (i = category_index)::INT::DOUBLE), {numbers}) AS f
+          FROM pages_ JOIN categories USING (alchemy_category))"""
+
+
+@query("ftr_one_hot_placed", INDEXED + PLACED.format(keys="url", numbers="[]::DOUBLE[]"))
+def ftr_one_hot_placed(t: Tables) -> DataFrame:
+    """The one-hot vectors as rows, so that the number of categories is free."""
+    pages = clean_pages(t).select("url", "alchemy_category")
+    stages = [V.category_indexer("alchemy_category"), V.category_encoder("alchemy_category")]
+    return V.placed(Pipeline(stages=stages).fit(pages).transform(pages), "alchemy_category_vec", "url")
+
+
+@query("ftr_assemble_placed", INDEXED + PLACED.format(keys="url, label", numbers=f"[{', '.join(PAGE_NUMBERS)}]"))
+def ftr_assemble_placed(t: Tables) -> DataFrame:
+    pages = clean_pages(t)
+    fitted = Pipeline(stages=V.category_stages("alchemy_category", PAGE_NUMBERS)).fit(pages)
+    return V.placed(fitted.transform(pages), "features", "url", "label")
+
+
 @query(
     "ftr_hourly_features",
     HOURS + "SELECT instant, " + ", ".join(f"CAST({c} AS DOUBLE) AS x{i}" for i, c in enumerate(HOUR_FEATURES)) + ", cnt FROM hours",

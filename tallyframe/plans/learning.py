@@ -135,12 +135,19 @@ def reg_gbt(t: Tables) -> DataFrame:
     return _hour_scores(t, V.indexed_stages(HOUR_FEATURES, unseen="keep"), M.boosted_regressor(maxDepth=5, maxBins=25, maxIter=10))
 
 
+def pages_once(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """The labelled pages and all of them, from one pass over the texts."""
+    pages = staged(P.labelled_or_not(t), "pages")
+    return pages.filter(F.col("label").isNotNull()), pages.drop("label")
+
+
 @query("prd_scored")
 def prd_scored(t: Tables) -> DataFrame:
     """A model of the labelled pages applied to every page; a category without labelled pages is one of its own."""
     stages = V.category_stages("alchemy_category", PAGE_NUMBERS, unseen="keep")
-    model = M.fit(stages, M.tree_classifier("entropy", 5, 5), two_parts(clean_pages(t), "url")[0])
-    return M.describe(model.transform(P.all_pages(t)), PAGE_KINDS).select("url", "prediction", "description")
+    labelled, pages = pages_once(t)
+    model = M.fit(stages, M.tree_classifier("entropy", 5, 5), two_parts(labelled, "url")[0])
+    return M.describe(model.transform(pages), PAGE_KINDS).select("url", "prediction", "description")
 
 
 # Gradient steps in SQL: one CTE pair per step, weights start at 0.
@@ -205,9 +212,8 @@ BAYES_FITTED = (
 )
 
 
-def _bayes(t: Tables):
-    pages = clean_pages(t).withColumns({c: clamp_nonnegative(c) for c in PAGE_NUMBERS})
-    train, test = two_parts(pages, "url")
+def _bayes(pages: DataFrame):
+    train, test = two_parts(pages.withColumns({c: clamp_nonnegative(c) for c in PAGE_NUMBERS}), "url")
     stages = [*V.numeric_stages(PAGE_NUMBERS), V.scaler(with_mean=False)]
     return M.fit(stages, M.bayes_classifier(60.0), train), train, test
 
@@ -220,7 +226,7 @@ def _bayes(t: Tables):
     ),
 )
 def cls_naive_bayes_params(t: Tables) -> DataFrame:
-    model, _, test = _bayes(t)
+    model, _, test = _bayes(clean_pages(t))
     rows = M.bayes_parameters(model.stages[-1], PAGE_NUMBERS, test)
     return rows.withColumns({"pi": F.round("pi", 8), "theta": F.round("theta", 8)})
 
@@ -232,7 +238,7 @@ def cls_naive_bayes_params(t: Tables) -> DataFrame:
           FROM scaled s, params p WHERE NOT train GROUP BY url, s.label""",
 )
 def cls_naive_bayes(t: Tables) -> DataFrame:
-    model, _, test = _bayes(t)
+    model, _, test = _bayes(clean_pages(t))
     return model.transform(test).select("url", "label", "prediction")
 
 
@@ -245,8 +251,9 @@ def cls_naive_bayes(t: Tables) -> DataFrame:
                      params p GROUP BY url)""",
 )
 def prd_scored_bayes(t: Tables) -> DataFrame:
-    model, _, _ = _bayes(t)
-    pages = P.all_pages(t).withColumns({c: clamp_nonnegative(c) for c in PAGE_NUMBERS})
+    labelled, pages = pages_once(t)
+    model, _, _ = _bayes(labelled)
+    pages = pages.withColumns({c: clamp_nonnegative(c) for c in PAGE_NUMBERS})
     return M.describe(model.transform(pages), PAGE_KINDS).select("url", "prediction", "description")
 
 
@@ -393,35 +400,64 @@ def tun_boosted(t: Tables) -> DataFrame:
     return _hour_search(t, U.cross_validation, M.boosted_regressor(), U.BOOSTED_GRID)
 
 
-def _sweep(parts: tuple, grid: dict, train_one, measure=E.auc_of_classes, larger: bool = True) -> DataFrame:
-    """Every combination of ``grid`` on the training part, measured on the validation part."""
+def _sweep(parts: tuple, settings: list[dict], train_one, measure=E.auc_of_classes, larger: bool = True) -> DataFrame:
+    """All settings on the training part, measured on the validation part."""
     train, validation, test = parts
-    done = U.sweep(train, validation, U.full_grid(grid), train_one, measure)
+    done = U.sweep(train, validation, settings, train_one, measure)
     return _with_test(done.trials, measure(done.best(larger).transform(test)).first()[0], larger)
 
 
+def _page_sweep(t: Tables, settings: list[dict]) -> DataFrame:
+    return _sweep(three_parts(clean_pages(t), "url"), settings, lambda rows, **s: M.fit(page_stages(), M.tree_classifier(**s), rows))
+
+
+def _class_sweep(t: Tables, settings: list[dict]) -> DataFrame:
+    def train_one(rows: DataFrame, **setting):
+        return M.fit(V.numeric_stages(VECTOR_FEATURES), M.tree_classifier(**setting), rows)
+
+    return _sweep(three_parts(classes(t), "vec_id"), settings, train_one, E.accuracy)
+
+
+def _hour_sweep(t: Tables, settings: list[dict]) -> DataFrame:
+    def train_one(rows: DataFrame, depth: int, bins: int):
+        return M.fit(V.numeric_stages(HOUR_FEATURES), M.tree_regressor(maxDepth=depth, maxBins=bins), rows)
+
+    return _sweep(three_parts(hourly(t), "instant"), settings, train_one, lambda df: E.rmse(df, label="cnt"), larger=False)
+
+
+def _without_impurity(d: dict) -> dict:
+    return {k: v for k, v in d.items() if k != "impurity"}
+
+
 @query("tun_sweep")
 def tun_sweep(t: Tables) -> DataFrame:
-    return _sweep(
-        three_parts(clean_pages(t), "url"), U.TREE_SWEEP, lambda rows, **s: M.fit(page_stages(), M.tree_classifier(**s), rows)
-    )
+    return _page_sweep(t, U.full_grid(U.TREE_SWEEP))
 
 
 @query("tun_sweep_multiclass")
 def tun_sweep_multiclass(t: Tables) -> DataFrame:
-    def train_one(rows: DataFrame, **setting):
-        return M.fit(V.numeric_stages(VECTOR_FEATURES), M.tree_classifier(**setting), rows)
-
-    return _sweep(three_parts(classes(t), "vec_id"), U.TREE_SWEEP, train_one, E.accuracy)
+    return _class_sweep(t, U.full_grid(U.TREE_SWEEP))
 
 
 @query("tun_sweep_hours")
 def tun_sweep_hours(t: Tables) -> DataFrame:
-    def train_one(rows: DataFrame, depth: int, bins: int):
-        return M.fit(V.numeric_stages(HOUR_FEATURES), M.tree_regressor(maxDepth=depth, maxBins=bins), rows)
+    return _hour_sweep(t, U.full_grid(_without_impurity(U.TREE_SWEEP)))
+
+
+@query("tun_vary_tree")
+def tun_vary_tree(t: Tables) -> DataFrame:
+    """One parameter at a time, the others fixed."""
+    return _page_sweep(t, U.vary_each(U.TREE_AROUND, U.TREE_SWEEP))
+
 
-    grid = {k: U.TREE_SWEEP[k] for k in ("depth", "bins")}
-    return _sweep(three_parts(hourly(t), "instant"), grid, train_one, lambda df: E.rmse(df, label="cnt"), larger=False)
+@query("tun_vary_multiclass")
+def tun_vary_multiclass(t: Tables) -> DataFrame:
+    return _class_sweep(t, U.vary_each(U.TREE_AROUND, U.TREE_SWEEP))
+
+
+@query("tun_vary_hours")
+def tun_vary_hours(t: Tables) -> DataFrame:
+    return _hour_sweep(t, U.vary_each(_without_impurity(U.TREE_AROUND), _without_impurity(U.TREE_SWEEP)))
 
 
 def _steps_sql(slope: str, settings: list[dict], longest: int) -> str:
@@ -468,16 +504,16 @@ LOGISTIC_SLOPE = "(1 / (1 + exp(-{m})) - {y})"
 HINGE_SLOPE = "(CASE WHEN (2 * {y} - 1) * {m} < 1 THEN -(2 * {y} - 1) ELSE 0 END)"
 
 
-def _descents(grid: dict, **fixed) -> list[dict]:
-    return [{"reg": 0.01, "fraction": 1.0, **fixed, **s, "shown": s} for s in U.full_grid(grid)]
+def _descents(settings: list[dict]) -> list[dict]:
+    return [{"reg": 0.01, "fraction": 1.0, **s, "shown": s} for s in settings]
 
 
-def _sweep_sql(slope: str, grid: dict) -> str:
+def _sweep_sql(slope: str, settings: list[dict]) -> str:
     rates = " + ".join(
         f"avg((CASE WHEN list_inner_product(x, w) > 0 THEN 1 ELSE 0 END = label)::INT) FILTER (label = {c})" for c in (0, 1)
     )
     return (
-        _steps_sql(slope, _descents(grid), max(grid["iterations"]))
+        _steps_sql(slope, _descents(settings), max(s["iterations"] for s in settings))
         + f""", measured AS (SELECT trial, params, steps, w, ({rates}) / 2 AS metric FROM last, scaled
                             WHERE b >= 80 AND b < 90 GROUP BY trial, params, steps, w),
     best AS (SELECT trial, w FROM measured ORDER BY metric DESC NULLS LAST, trial LIMIT 1),
@@ -495,12 +531,12 @@ def _scaled_parts(t: Tables) -> tuple[tuple[DataFrame, ...], list[str]]:
     return tuple(V.unpack(fitted.transform(p).select("url", "label", "scaled"), "scaled", names) for p in parts), names
 
 
-def _linear_sweep(t: Tables, grid: dict, slope) -> DataFrame:
-    """Every combination of ``grid``, all runs in lockstep."""
+def _linear_sweep(t: Tables, settings: list[dict], slope) -> DataFrame:
+    """All settings, their runs in lockstep."""
     (train, validation, test), names = _scaled_parts(t)
-    asked = _descents(grid)
-    settings = [G.Descent(s["iterations"], float(s["step"]), s["reg"], s["fraction"]) for s in asked]
-    models = G.descend_all(train, names, slope, settings, key=["url"])
+    asked = _descents(settings)
+    runs = [G.Descent(s["iterations"], float(s["step"]), s["reg"], s["fraction"]) for s in asked]
+    models = G.descend_all(train, names, slope, runs, key=["url"])
     measured = {r["trial"]: r["metric"] for r in G.auc_of_models(models, validation).collect()}
     rows = [
         (i, ", ".join(f"{k}={v}" for k, v in s["shown"].items()), m.steps, round(math.log1p(math.hypot(*m.weights)), 6), measured.get(i))
@@ -513,19 +549,33 @@ def _linear_sweep(t: Tables, grid: dict, slope) -> DataFrame:
     return tested.withColumns({c: F.round(c, 9) for c in ("metric", "test_metric")})
 
 
-@query("tun_sweep_logistic", _sweep_sql(LOGISTIC_SLOPE, U.LOGISTIC_SWEEP))
+LOGISTIC_ALL, SVM_ALL = U.full_grid(U.LOGISTIC_SWEEP), U.full_grid(U.SVM_SWEEP)
+LOGISTIC_VARIED, SVM_VARIED = U.vary_each(U.LOGISTIC_AROUND, U.LOGISTIC_SWEEP), U.vary_each(U.SVM_AROUND, U.SVM_SWEEP)
+
+
+@query("tun_sweep_logistic", _sweep_sql(LOGISTIC_SLOPE, LOGISTIC_ALL))
 def tun_sweep_logistic(t: Tables) -> DataFrame:
-    return _linear_sweep(t, U.LOGISTIC_SWEEP, G.logistic_slope)
+    return _linear_sweep(t, LOGISTIC_ALL, G.logistic_slope)
 
 
-@query("tun_sweep_svm", _sweep_sql(HINGE_SLOPE, U.SVM_SWEEP))
+@query("tun_sweep_svm", _sweep_sql(HINGE_SLOPE, SVM_ALL))
 def tun_sweep_svm(t: Tables) -> DataFrame:
-    return _linear_sweep(t, U.SVM_SWEEP, G.hinge_slope)
+    return _linear_sweep(t, SVM_ALL, G.hinge_slope)
+
+
+@query("tun_vary_logistic", _sweep_sql(LOGISTIC_SLOPE, LOGISTIC_VARIED))
+def tun_vary_logistic(t: Tables) -> DataFrame:
+    return _linear_sweep(t, LOGISTIC_VARIED, G.logistic_slope)
+
+
+@query("tun_vary_svm", _sweep_sql(HINGE_SLOPE, SVM_VARIED))
+def tun_vary_svm(t: Tables) -> DataFrame:
+    return _linear_sweep(t, SVM_VARIED, G.hinge_slope)
 
 
 @query(
     "cls_logistic_sgd",
-    _steps_sql(LOGISTIC_SLOPE, _descents({"iterations": [15], "step": [10.0], "fraction": [0.5]}), 15)
+    _steps_sql(LOGISTIC_SLOPE, _descents([{"iterations": 15, "step": 10.0, "fraction": 0.5}]), 15)
     + "SELECT unnest(range(len(w)))::INT AS place, round(unnest(w), 6) AS weight FROM last",
 )
 def cls_logistic_sgd(t: Tables) -> DataFrame:

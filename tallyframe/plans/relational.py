@@ -206,6 +206,17 @@ def agg_crosstab(t: Tables) -> DataFrame:
     return R.crosstab(t.users(), "occupation", "gender")
 
 
+@query(
+    "agg_pair_counts",
+    USERS
+    + """SELECT occupation, age, count(*) AS counts, CAST(sum(count(*)) OVER (PARTITION BY occupation) AS BIGINT) AS occupation_counts,
+         CAST(sum(count(*)) OVER (PARTITION BY age) AS BIGINT) AS age_counts FROM users GROUP BY occupation, age""",
+)
+def agg_pair_counts(t: Tables) -> DataFrame:
+    """A contingency table as rows, for columns with many values."""
+    return R.pair_counts(t.users(), "occupation", "age")
+
+
 @query(
     "agg_share",
     USERS

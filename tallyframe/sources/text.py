@@ -54,9 +54,11 @@ def positional_fields(lines: DataFrame, sep: str, width: int | None = None) -> D
 
 
 def read_positional(spark: SparkSession, path: str, sep: str = ",", width: int | None = None) -> DataFrame:
-    """``positional_fields`` through the CSV source, so that unused columns are not parsed."""
+    """``positional_fields`` through the CSV source, so that unused columns are not parsed.
+
+    The CSV parser reads the first record for the width, so a separator within quotes does not count.
+    """
     if width is None:
-        first = spark.read.text(path).first()
-        width = 0 if first is None else len(first["value"].split(sep))
+        width = len(spark.read.option("sep", sep).csv(path).columns)
     schema = T.StructType([T.StructField(f"f{i}", T.StringType()) for i in range(width)])
     return read_delimited(spark, path, sep, schema)

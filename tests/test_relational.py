@@ -101,3 +101,23 @@ def test_filters_and_columns_reach_the_scan(spark, tables):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(c_mktsegment), EqualTo(c_mktsegment,BUILDING)]" in plan
     assert "ReadSchema: struct<c_custkey:bigint,c_mktsegment:string>" in plan
+
+
+def test_pair_counts(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 1), ("a", None), (None, 1), (None, None)], "x string, y int")
+    rows = {(r["x"], r["y"]): (r["counts"], r["x_counts"], r["y_counts"]) for r in R.pair_counts(df, "x", "y").collect()}
+    assert rows == {("a", 1): (2, 3, 3), ("a", None): (1, 3, 2), (None, 1): (1, 2, 3), (None, None): (1, 2, 2)}
+    assert R.pair_counts(df.limit(0), "x", "y").count() == 0
+
+
+def test_crosstab_of_too_many_values(spark):
+    df = spark.range(20).select(F.lit("a").alias("x"), F.col("id").alias("y"))
+    before = spark.conf.get("spark.sql.pivotMaxValues")
+    spark.conf.set("spark.sql.pivotMaxValues", "19")
+    try:
+        with pytest.raises(ValueError, match="pair_counts"):
+            R.crosstab(df, "x", "y")
+        assert len(R.crosstab(df, "x", "y", values=range(20)).columns) == 21
+        assert len(R.crosstab(df.filter("id > 0"), "x", "y").columns) == 20
+    finally:
+        spark.conf.set("spark.sql.pivotMaxValues", before)

@@ -86,3 +86,10 @@ def test_existing_output_is_kept(spark, tmp_path):
 def test_other_write_errors_are_raised(spark, tmp_path):
     with pytest.raises(AnalysisException):
         sinks.write_lines_once(spark.range(1), str(tmp_path / "x"), ["absent"])
+
+
+def test_width_of_the_first_record(spark, tmp_path):
+    found = text.read_positional(spark, put(tmp_path, "w", '"a, b",c\nd,"e, f"\n'))
+    assert list(map(tuple, found.collect())) == [("a, b", "c"), ("d", "e, f")]
+    empty = text.read_positional(spark, put(tmp_path, "none", ""))
+    assert empty.columns == [] and empty.count() == 0

@@ -28,6 +28,10 @@ def test_grid_sizes():
     assert sizes == [18, 54, 18, 16, 8]
     assert [len(U.full_grid(g)) for g in (U.TREE_SWEEP, U.LOGISTIC_SWEEP, U.SVM_SWEEP, U.BAYES_SWEEP)] == [72, 84, 84, 13]
     assert U.vary({"x": 1, "y": 2}, "y", [3, 4]) == [{"x": 1, "y": 3}, {"x": 1, "y": 4}]
+    each = U.vary_each({"x": 1, "y": 2}, {"x": [1, 5], "y": [2, 3]})
+    assert each == [{"x": 1, "y": 2}, {"x": 5, "y": 2}, {"x": 1, "y": 3}]
+    varied = [U.vary_each(U.TREE_AROUND, U.TREE_SWEEP), U.vary_each(U.LOGISTIC_AROUND, U.LOGISTIC_SWEEP), U.vary_each(U.SVM_AROUND, U.SVM_SWEEP)]
+    assert [len(v) for v in varied] == [12, 12, 12]
 
 
 def test_tuners_return_the_best_of_their_trials(points):
