@@ -2,12 +2,13 @@
 
 A line's key is the line without white space at both ends and with A-Z lower-cased, held as
 two independent 64-bit hashes. Tasks count the documents of each key in their own rows
-before anything is shuffled. The keys of enough documents are cut into shards by their
+before anything is shuffled. The keys of more than one document are cut into shards by their
 first hash; a shard's minimal perfect hash (levels of bit arrays with ranks) numbers its keys
 without gaps, and at those numbers stand a fingerprint (the second hash), the number of
-documents and the document that keeps the line. Shards go to the executors in groups of at
-most ``GROUP_BYTES``; each group is one pass in which every line of every document probes the
-arrays. Lines are never joined.
+documents, by which the probing line knows whether they are enough, and the document that keeps
+the line. Shards go to the executors in groups of at most ``GROUP_BYTES``; each group is one pass
+in which every line of every document probes the arrays. Lines are never joined. Where there are several
+groups, the documents are numbered and written once, and a pass writes the numbers of the lines it drops.
 
 Null and empty texts are one empty line. A row is a document, so repeated ids count as
 often as they occur and all keep the line if their id is the largest. A null id is below
@@ -19,6 +20,7 @@ from __future__ import annotations
 import pickle
 import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -80,19 +82,19 @@ class PerfectHash:
 
 
 class Shard:
-    """A perfect hash with the fingerprint, the count and the keeper of each key."""
+    """A perfect hash with the fingerprint, the count (32 bits, any more stand as the most) and the keeper of each key."""
 
     def __init__(self, h1: np.ndarray, h2: np.ndarray, docs: np.ndarray, keeper: np.ndarray):
         self.hash = PerfectHash.build(h1, h2)
         at = self.hash.find(h1, h2)
-        self.fingerprint, self.docs, self.keeper = (np.empty_like(x) for x in (h2, docs, keeper))
-        self.fingerprint[at], self.docs[at], self.keeper[at] = h2, docs, keeper
+        self.fingerprint, self.docs, self.keeper = np.empty_like(h2), np.empty(len(docs), np.uint32), np.empty_like(keeper)
+        self.fingerprint[at], self.docs[at], self.keeper[at] = h2, np.minimum(docs, 0xFFFFFFFF), keeper
 
-    def keepers(self, h1: np.ndarray, h2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Which of the lines are keys, and the keeper of each."""
+    def keepers(self, h1: np.ndarray, h2: np.ndarray, least_docs: int) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the lines stand in at least ``least_docs`` documents, and the keeper of each."""
         at = self.hash.find(h1, h2)
         known = at >= 0
-        known[known] = self.fingerprint[at[known]] == h2[known]
+        known[known] = (self.fingerprint[at[known]] == h2[known]) & (self.docs[at[known]] >= least_docs)
         return known, np.where(known, self.keeper[at], NO_ID)
 
 
@@ -178,21 +180,21 @@ def _build(bits: int):
     return build
 
 
-def index(docs: DataFrame, text: str, least_chars: int, least_docs: int) -> tuple[DataFrame, int]:
-    """One row per shard (shard, blob), and how many leading bits of the first hash name the shard."""
+def index(docs: DataFrame, text: str, least_chars: int) -> tuple[DataFrame, int]:
+    """One row per shard (shard, blob) of the keys of more than one document, and how many leading bits of the first hash name it."""
     counted = docs.select("doc_id", text).mapInArrow(_count_keys(least_chars), _KEYS)
     repeated = counted.groupBy("h1", "h2").agg(F.sum("docs").alias("docs"), F.max("keeper").alias("keeper"))
-    repeated = staged(repeated.filter(F.col("docs") >= least_docs), "repeated-lines")
+    repeated = staged(repeated.filter(F.col("docs") > 1), "repeated-lines")
     bits = max(0, (repeated.count() // SHARD_KEYS)).bit_length()
     shard = F.shiftrightunsigned("h1", 64 - bits).cast("int") if bits else F.lit(0)
     built = repeated.withColumn("shard", shard).groupBy("shard").applyInArrow(_build(bits), "shard int, blob binary")
     return staged(built, "line-shards"), bits
 
 
-def _probe(shards: dict[int, Shard], bits: int, least_chars: int, text: pa.Array, ids: pa.Array, dropped: pa.Array) -> pa.Array:
-    """Per text the numbers of its lines to drop, with those that ``dropped`` already names."""
+def _probe(shards: dict[int, Shard], bits: int, least_chars: int, least_docs: int, text: pa.Array, ids: pa.Array) -> pa.Array:
+    """Per text the numbers of its lines to drop; null where these shards drop none."""
     ids = ids.fill_null(NO_ID).to_numpy(zero_copy_only=False)
-    out: list[bytes | None] = dropped.to_pylist()
+    out: list[bytes | None] = [None] * len(text)
     for first, last, (h1, h2, points, counts) in _line_batches(text):
         drop = np.zeros(len(h1), bool)
         row = np.repeat(np.arange(first, last), counts)
@@ -203,22 +205,22 @@ def _probe(shards: dict[int, Shard], bits: int, least_chars: int, text: pa.Array
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             some = long[order[a:b]]
             if (shard := shards.get(int(name[order[a]]))) is not None:
-                known, keeper = shard.keepers(h1[some], h2[some])
+                known, keeper = shard.keepers(h1[some], h2[some], least_docs)
                 drop[some] = known & (keeper != ids[row[some]])
         ends = np.cumsum(counts)
         for i in np.unique(row[drop]) - first:
             mine = np.flatnonzero(drop[ends[i] - counts[i] : ends[i]]).astype(np.int32)
-            out[first + i] = (out[first + i] or b"") + mine.tobytes()
+            out[first + i] = mine.tobytes()
     return pa.array(out, pa.binary())
 
 
 def deduplicated(
     docs: DataFrame, text: str = "text", least_chars: int = LEAST_CHARS, least_docs: int = LEAST_DOCS, group_bytes: int = GROUP_BYTES
 ) -> DataFrame:
-    """Add the struct ``_lines``: n_lines, n_dropped and the ``kept`` text."""
+    """Add the struct ``_lines``: n_lines, n_dropped and the ``kept`` text. A line stays in every case if ``least_docs`` is 1 and one document has it."""
     spark = docs.sparkSession
     arrays.bound_batches(spark)
-    shards, bits = index(docs, text, least_chars, least_docs)
+    shards, bits = index(docs, text, least_chars)
     sizes = sorted((r["shard"], r["n"]) for r in shards.select("shard", F.length("blob").alias("n")).collect())
     groups: list[list[int]] = [[]]
     held = 0
@@ -229,14 +231,12 @@ def deduplicated(
         groups[-1].append(shard)
         held += n
 
-    marked = docs.withColumn("_dropped", F.lit(None).cast("binary"))
-    for i, group in enumerate(groups):
-        if i:  # one group's arrays in memory at a time
-            marked = staged(marked, "probed")
+    def sent(group: list[int]):
         blobs = {r["shard"]: r["blob"] for r in shards.filter(F.col("shard").isin(group)).collect()} if group else {}
-        marked = marked.withColumn("_dropped", _prober(spark.sparkContext.broadcast(blobs), bits, least_chars)(
-            F.col(text), F.col("doc_id").cast("long"), F.col("_dropped")
-        ))
+        return spark.sparkContext.broadcast(blobs)
+
+    def dropped_lines(shared) -> Column:
+        return _prober(shared, bits, least_chars, least_docs)(F.col(text), F.col("doc_id").cast("long"))
 
     @F.arrow_udf("n_lines long, n_dropped long, kept string")
     def keep(texts: pa.Array, dropped: pa.Array) -> pa.Array:
@@ -251,21 +251,32 @@ def deduplicated(
             [pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64()), pa.array(kept, pa.string())], ["n_lines", "n_dropped", "kept"]
         )
 
-    return marked.withColumn("_lines", keep(F.col(text), F.col("_dropped"))).drop("_dropped")
+    if len(groups) == 1:
+        return docs.select("*", keep(F.col(text), dropped_lines(sent(groups[0]))).alias("_lines"))
+    stored = staged(docs.select(F.struct(*docs.columns).alias("whole"), F.monotonically_increasing_id().alias("row")), "numbered")
+    marks = []
+    for group in groups:  # one group's arrays in memory at a time
+        shared = sent(group)
+        found = stored.select("row", "whole.doc_id", f"whole.{text}").select("row", dropped_lines(shared).alias("dropped"))
+        marks.append(staged(found.filter(F.col("dropped").isNotNull()), "dropped-lines"))
+        shared.unpersist()
+    together = F.aggregate(F.collect_list("dropped"), F.lit(bytearray()), lambda a, x: F.concat(a, x))
+    marked = stored.join(reduce(DataFrame.unionByName, marks).groupBy("row").agg(together.alias("dropped")), "row", "left")
+    return marked.select("whole.*", keep(F.col(f"whole.{text}"), F.col("dropped")).alias("_lines"))
 
 
 _opened: dict[str, dict[int, Shard]] = {}
 
 
-def _prober(shared, bits: int, least_chars: int):
+def _prober(shared, bits: int, least_chars: int, least_docs: int):
     name = uuid.uuid4().hex
 
     @F.arrow_udf("binary")
-    def probe(text: pa.Array, ids: pa.Array, dropped: pa.Array) -> pa.Array:
+    def probe(text: pa.Array, ids: pa.Array) -> pa.Array:
         if name not in _opened:  # unpacked once per worker and group
             _opened.clear()
             _opened[name] = {k: pickle.loads(b) for k, b in shared.value.items()}
-        return _probe(_opened[name], bits, least_chars, text, ids, dropped)
+        return _probe(_opened[name], bits, least_chars, least_docs, text, ids)
 
     return probe
 
