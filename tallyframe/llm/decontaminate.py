@@ -144,8 +144,10 @@ def _contamination(
     covered = spans.groupBy("row").agg(
         F.sum(F.greatest(F.col("end") - F.greatest("start", "reached"), F.lit(0))).alias("n_hit")
     )
-    items = hits.select("row", "window").distinct().join(found, "window").groupBy("row").agg(
-        F.array_sort(F.collect_set("item_id")).alias("items")  # at most all items of the benchmark
+    # one array per window, so that a window of many items costs a document one row; windows of one passage share their array
+    sharing = found.groupBy("window").agg(F.array_sort(F.collect_set("item_id")).alias("sharing"))
+    items = hits.select("row", "window").distinct().join(sharing, "window").select("row", "sharing").distinct().groupBy("row").agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("sharing")))).alias("items")
     )
     documents = seen.filter("at < 0").select("row", "doc_id", F.col("n_words").cast("long"))
     out = documents.join(covered, "row", "left").join(items, "row", "left")
