@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import threading
 import uuid
 from collections.abc import Iterator
@@ -81,19 +82,27 @@ def keep(tables: list[DataFrame], table: DataFrame) -> DataFrame:
     return table
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, by: str | None = None, buckets: int = 0) -> DataFrame:
     """Write ``df`` to the shared folder once and read it back.
 
     For results that several later passes scan: the passes prune columns, and a lost
     executor costs a re-read and not a recomputation. The files go when the session's
-    JVM ends, or earlier through ``discard``.
+    JVM ends, or earlier through ``discard``. With ``by``, the table is in that many buckets by this
+    column, so that grouping or joining by it later moves no row of the table.
     """
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    df.write.parquet(path)
+    if by:
+        # only a table of the catalog can be bucketed; what was read of an external one outlives its name
+        table = re.sub(r"\W", "_", path.rsplit("/", 1)[1])
+        df.write.format("parquet").bucketBy(buckets, by).option("path", path).saveAsTable(table)
+        out = spark.table(table)
+        spark.sql(f"DROP TABLE {table}")
+    else:
+        df.write.parquet(path)
+        out = spark.read.schema(df.schema).parquet(path)
     files, where = _file_system(spark, path)
     files.deleteOnExit(where)
-    out = spark.read.schema(df.schema).parquet(path)
     out.staged_path = path
     if getattr(_scratch, "tables", None) is not None:
         _scratch.tables.append(out)
