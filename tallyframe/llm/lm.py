@@ -9,8 +9,9 @@ proportion to (strength + discount * tables) * parent's probability. Customers a
 ``EXACT`` of a dish are seated in runs of an eighth of those before, with the probability
 held within a run. All dishes of a part are sampled together in numpy; the numbers of
 tables per context are brought together after every round: each part sends the sums of the
-contexts that it has to the context's own part, which answers with the sums of all. Probabilities are averaged over
-the samples of the last ``SAMPLES`` rounds.
+contexts that it has to the context's home, which answers with the sums of all. Words, contexts and counts are
+written once, in buckets, and so is the order in which a home answers; a round moves numbers of tables alone, of
+one or two bytes mostly. Probabilities are averaged over the samples of the last ``SAMPLES`` rounds.
 
 Everything of a word (count, seating, scores of its tokens) is in the part that its hash
 names, also the contexts of texts that teach nothing, with a count of 0. Tasks count the (word, context) pairs of a batch before sending them. Tokens to be
@@ -45,17 +46,40 @@ BURN_IN, SAMPLES = 1, 2
 U64 = np.uint64
 START, END = U64(0x5EED0001), U64(0x5EED0002)
 
-# per part: words, pairs of each, and per pair the context's place in keys, customers and tables per sample
-# (latest last); the parent's tables per word and sample; the contexts of the part, in order, and of each
-# the customers and the tables per sample over all parts (empty until known)
+# what a part never changes: words, pairs of each, per pair the context's place in the part's keys and the count;
+# how many of its keys each home has, and for each of these the keys with their customers in this part
+_FIXED = (
+    "part int, words binary, runs binary, contexts binary, counts binary, homes binary,"
+    " asked array<struct<home: int, keys: binary, customers: binary>>"
+)
+_SCALARS = ["n", "v", "t", "r", "once", "twice", "root_once", "root_twice"]
+# what a round changes: tables per pair and sample, the parent's tables per word and sample (latest last), the
+# sums of tables per context by its home, in the order of the keys, and sums over the part
+_ROUND = (
+    "tables array<binary>, roots array<binary>, sent array<struct<home: int, seats: array<binary>>>, "
+    + ", ".join(f"{c} long" for c in _SCALARS)
+)
+# per home: the parts that asked, how many contexts each has, the place of each among the home's, and customers of these
+_ROUTES = "home int, parts binary, sizes binary, places binary, customers binary"
+_ANSWER = "part int, home int, seats array<binary>"
+# a part of the finished model; seats are customers and tables per sample of its contexts, over all parts
 _STATE = (
     "part int, words binary, runs binary, contexts binary, counts binary, tables array<binary>, roots array<binary>,"
     " keys binary, seats array<binary>"
 )
 _COUNTED = "part int, words binary, runs binary, contexts binary, counts binary"
-_SENT = "home int, part int, keys binary, seats array<binary>"
-_ANSWER = "part int, home int, seats array<binary>"
-_SCALARS = ["n", "v", "t", "r", "once", "twice", "root_once", "root_twice"]
+_ASKED = pa.list_(pa.struct([("home", pa.int32()), ("keys", pa.binary()), ("customers", pa.binary())]))
+_SENT = pa.list_(pa.struct([("home", pa.int32()), ("seats", pa.list_(pa.binary()))]))
+
+
+def pack(values: np.ndarray) -> bytes:
+    """Whole numbers in the fewest bytes that hold the largest, after one byte that tells how many."""
+    width = next(k for k in (1, 2, 4, 8) if k == 8 or not len(values) or int(values.max()) < 1 << 8 * k)
+    return bytes([width]) + values.astype(f"<u{width}").tobytes()
+
+
+def unpack(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
 
 
 def part_bits(spark) -> int:
@@ -131,7 +155,7 @@ def _count(bits: int):
 
 @dataclass
 class Seating:
-    """One part of the model."""
+    """One part of the model; words, keys and seats are only there where they are needed."""
 
     words: np.ndarray
     runs: np.ndarray
@@ -144,29 +168,40 @@ class Seating:
 
     @classmethod
     def read(cls, row: dict) -> Seating:
+        hashes = lambda name: np.frombuffer(row.get(name) or b"", "<u8")
+        many = lambda name: [unpack(b) for b in row.get(name) or []]
         return cls(
-            np.frombuffer(row["words"], "<u8"),
-            np.frombuffer(row["runs"], "<u4").astype(np.int64),
-            np.frombuffer(row["contexts"], "<u4").astype(np.int64),
-            np.frombuffer(row["counts"], "<u4").astype(np.int64),
-            [np.frombuffer(b, "<u4").astype(np.int64) for b in row["tables"]],
-            [np.frombuffer(b, "<u4").astype(np.int64) for b in row["roots"]],
-            np.frombuffer(row["keys"], "<u8"),
-            [np.frombuffer(b, "<i8") for b in row["seats"]],
-        )
+            hashes("words"), unpack(row["runs"]), unpack(row["contexts"]), unpack(row["counts"]),
+            many("tables"), many("roots"), hashes("keys"), many("seats"),
+        )
+
+    def fixed(self) -> dict[str, pa.Array]:
+        blob = lambda b: pa.array([b], pa.binary())
+        return {
+            "words": blob(self.words.tobytes()), "runs": blob(pack(self.runs)),
+            "contexts": blob(pack(self.contexts)), "counts": blob(pack(self.counts)),
+        }
 
     def row(self, part: int) -> pa.Table:
-        blob = lambda b: pa.array([b.tobytes()], pa.binary())
-        many = lambda x: pa.array([[v.astype("<u4").tobytes() for v in x]], pa.list_(pa.binary()))
+        many = lambda x: pa.array([[pack(v) for v in x]], pa.list_(pa.binary()))
         return pa.table(
             {
-                "part": pa.array([part], pa.int32()), "words": blob(self.words), "runs": blob(self.runs.astype("<u4")),
-                "contexts": blob(self.contexts.astype("<u4")), "counts": blob(self.counts.astype("<u4")),
-                "tables": many(self.tables), "roots": many(self.roots), "keys": blob(self.keys),
-                "seats": pa.array([[v.tobytes() for v in self.seats]], pa.list_(pa.binary())),
+                "part": pa.array([part], pa.int32()), **self.fixed(), "tables": many(self.tables), "roots": many(self.roots),
+                "keys": pa.array([self.keys.tobytes()], pa.binary()), "seats": many(self.seats),
             }
         )
 
+    def round(self, homes: np.ndarray, whole: bool) -> dict[str, pa.Array]:
+        """What a round changes, with the sums per context of the latest tables, or of all that are kept."""
+        many = lambda x: pa.array([[pack(v) for v in x]], pa.list_(pa.binary()))
+        sums = [self.per_context(x) for x in (self.tables if whole else self.tables[-1:])]
+        sent = [{"home": h, "seats": [pack(x[a:b]) for x in sums]} for h, a, b in _spans(homes)]
+        scalars = dict(zip(_SCALARS, self.scalars(), strict=True))
+        return {
+            "tables": many(self.tables), "roots": many(self.roots), "sent": pa.array([sent], _SENT),
+            **{c: pa.array([int(x)], pa.int64()) for c, x in scalars.items()},
+        }
+
     def scalars(self) -> list[int]:
         """What ``_SCALARS`` names, of the part."""
         per_word = self.per_word(self.tables[-1])
@@ -176,23 +211,41 @@ class Seating:
         ]
 
     def per_context(self, values: np.ndarray) -> np.ndarray:
-        return np.bincount(self.contexts, values, len(self.keys)).astype("<i8")
+        return np.bincount(self.contexts, values).astype("<i8")
 
     def per_word(self, values: np.ndarray) -> np.ndarray:
         return arrays.text_sums(values, self.runs)
 
 
-def _merge(group: pa.Table) -> pa.Table:
-    words, contexts, counts = [], [], []
-    for row in group.to_pylist():
-        words.append(np.repeat(np.frombuffer(row["words"], "<u8"), np.frombuffer(row["runs"], "<u4")))
-        contexts.append(np.frombuffer(row["contexts"], "<u8"))
-        counts.append(np.frombuffer(row["counts"], "<u4").astype(np.int64))
-    w, runs, c, n = _grouped(*map(np.concatenate, (words, contexts, counts)))
-    keys, places = np.unique(c, return_inverse=True)
-    tables = np.minimum(n, 1)
-    roots = np.minimum(arrays.text_sums(tables, runs), 1)
-    return Seating(w, runs, places, n, [tables], [roots], keys, []).row(group["part"][0].as_py())
+def _spans(homes: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """Homes with keys of a part, and where these begin and end."""
+    ends = np.cumsum(homes)
+    for h in np.flatnonzero(homes).tolist():
+        yield h, int(ends[h] - homes[h]), int(ends[h])
+
+
+def _merge(home_bits: int):
+    def merge(group: pa.Table) -> pa.Table:
+        words, contexts, counts = [], [], []
+        for row in group.to_pylist():
+            words.append(np.repeat(np.frombuffer(row["words"], "<u8"), np.frombuffer(row["runs"], "<u4")))
+            contexts.append(np.frombuffer(row["contexts"], "<u8"))
+            counts.append(np.frombuffer(row["counts"], "<u4").astype(np.int64))
+        w, runs, c, n = _grouped(*map(np.concatenate, (words, contexts, counts)))
+        keys, places = np.unique(c, return_inverse=True)
+        tables = np.minimum(n, 1)
+        mine = Seating(w, runs, places, n, [tables], [np.minimum(arrays.text_sums(tables, runs), 1)], keys, [])
+        homes = np.bincount(_parts_of(keys, home_bits), minlength=1 << home_bits)
+        customers = mine.per_context(n)
+        asked = [{"home": h, "keys": keys[a:b].tobytes(), "customers": pack(customers[a:b])} for h, a, b in _spans(homes)]
+        return pa.table(
+            {
+                "part": group["part"].slice(0, 1), **mine.fixed(), "homes": pa.array([pack(homes)], pa.binary()),
+                "asked": pa.array([asked], _ASKED), **mine.round(homes, False),
+            }
+        )
+
+    return merge
 
 
 @dataclass(frozen=True)
@@ -210,65 +263,54 @@ class Totals:
         return 1 / (self.words + 1)
 
 
-def _scalars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for row in batch.to_pylist():
-            yield pa.RecordBatch.from_arrays([pa.array([int(x)], pa.int64()) for x in Seating.read(row).scalars()], _SCALARS)
-
-
-def totals(state: DataFrame) -> Totals:
-    found = state.mapInArrow(_scalars, ", ".join(f"{c} long" for c in _SCALARS)).groupBy().sum().first()
+def totals(moved: DataFrame) -> Totals:
+    found = moved.groupBy().sum(*_SCALARS).first()
     n, v, t, r, once, twice, root_once, root_twice = (float(x or 0) for x in found)
     discount = lambda a, b: float(np.clip(a / max(a + 2 * b, 1), 0.05, 0.95))
     return Totals(n, v, t, r, discount(once, twice), discount(root_once, root_twice))
 
 
-def _send(bits: int, whole: bool):
-    """Sums per context of a part, by the part that is the context's home: of the latest tables, or of all there is."""
-
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                mine = Seating.read(row)
-                seats = [mine.per_context(x) for x in ([mine.counts, *mine.tables] if whole else mine.tables[-1:])]
-                homes = _parts_of(mine.keys, bits)
-                cuts = np.flatnonzero(np.diff(homes, prepend=-1, append=-2))
-                rows = [
-                    (int(homes[a]), row["part"], mine.keys[a:b].tobytes(), [x[a:b].tobytes() for x in seats])
-                    for a, b in zip(cuts[:-1], cuts[1:], strict=True)
-                ]
-                columns = list(zip(*rows, strict=True)) or [()] * 4
-                kinds = [pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.binary())]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["home", "part", "keys", "seats"]
-                )
-
-    return send
-
-
-def _answer(group: pa.Table) -> pa.Table:
-    """To each part that asked, the sums over all parts of its contexts."""
-    keys = [np.frombuffer(b, "<u8") for b in group["keys"].to_pylist()]
-    ends = np.cumsum([len(k) for k in keys])[:-1]
+def _route(group: pa.Table) -> pa.Table:
+    """How a home answers: kept for all rounds, as parts and their contexts stay the same."""
+    rows = sorted(group.to_pylist(), key=lambda r: r["part"])
+    keys = [np.frombuffer(r["keys"], "<u8") for r in rows]
     distinct, places = np.unique(np.concatenate(keys), return_inverse=True)
-    answers = []
-    for column in zip(*group["seats"].to_pylist(), strict=True):
-        values = np.concatenate([np.frombuffer(b, "<i8") for b in column])
-        answers.append(np.split(np.bincount(places, values, len(distinct)).astype("<i8")[places], ends))
-    seats = [[x.tobytes() for x in some] for some in zip(*answers, strict=True)]
-    return pa.table({"part": group["part"], "home": group["home"], "seats": pa.array(seats, pa.list_(pa.binary()))})
-
+    customers = np.bincount(places, np.concatenate([unpack(r["customers"]) for r in rows]), len(distinct)).astype(np.int64)
+    blobs = [pack(np.array(x, np.int64)) for x in ([r["part"] for r in rows], [len(k) for k in keys])]
+    columns = [*blobs, pack(places), pack(customers)]
+    names = ["parts", "sizes", "places", "customers"]
+    return pa.table({"home": group["home"].slice(0, 1), **{c: pa.array([b], pa.binary()) for c, b in zip(names, columns, strict=True)}})
+
+
+def _answer(whole: bool):
+    """To each part, the sums over all parts for its contexts, in their order; with ``whole`` the customers come first."""
+
+    def answer(routes: pa.Table, sent: pa.Table) -> pa.Table:
+        route = {c: x[0] for c, x in routes.to_pydict().items()}
+        parts, sizes, places, customers = (unpack(route[c]) for c in ("parts", "sizes", "places", "customers"))
+        rows = sorted(sent.to_pylist(), key=lambda r: r["part"])
+        if [r["part"] for r in rows] != parts.tolist():
+            raise ValueError("the parts of a home have changed")
+        sums = [customers] if whole else []
+        for column in zip(*[r["seats"] for r in rows], strict=True):
+            sums.append(np.bincount(places, np.concatenate([unpack(b) for b in column]), len(customers)).astype(np.int64))
+        spans = [places[end - n : end] for n, end in zip(sizes, np.cumsum(sizes), strict=True)]
+        return pa.table(
+            {
+                "part": pa.array(parts, pa.int32()), "home": pa.array(np.full(len(parts), route["home"]), pa.int32()),
+                "seats": pa.array([[pack(x[at]) for x in sums] for at in spans], pa.list_(pa.binary())),
+            }
+        )
 
-def context_sums(state: DataFrame, bits: int, whole: bool) -> DataFrame:
-    """Per part, the sums of its contexts over all parts, in pieces by the contexts' homes."""
-    sent = state.mapInArrow(_send(max(bits - 2, 0), whole), _SENT)
-    return sent.groupBy("home").applyInArrow(_answer, _ANSWER)
+    return answer
 
 
-def _seats(answers: pa.Table) -> list[np.ndarray]:
-    """In the order of the part's contexts."""
-    pieces = [row["seats"] for row in sorted(answers.to_pylist(), key=lambda r: r["home"])]
-    return [np.concatenate([np.frombuffer(b, "<i8") for b in column]) for column in zip(*pieces, strict=True)]
+def _moved(moved: pa.Table) -> tuple[dict, list[np.ndarray]]:
+    """What the last round changed, and the answers in the order of the part's contexts."""
+    rows = moved.to_pylist()
+    answers = sorted((r for r in rows if r["home"] is not None), key=lambda r: r["home"])
+    last = next(r for r in rows if r["home"] is None)
+    return last, [np.concatenate([unpack(b) for b in column]) for column in zip(*[r["seats"] for r in answers], strict=True)]
 
 
 def seat(counts: np.ndarray, weight: np.ndarray, growth: np.ndarray, discount: float, random: np.random.Generator) -> np.ndarray:
@@ -301,11 +343,12 @@ def root_probability(per_word: np.ndarray, roots: np.ndarray, all_: Totals) -> n
     return (np.maximum(per_word - all_.root_discount * roots, 0) + new) / (STRENGTH + all_.root_customers)
 
 
-def _sample(all_: Totals, keep: int, round_: int):
-    def sample(state: pa.Table, answers: pa.Table) -> pa.Table:
-        row = state.to_pylist()[0]
+def _sample(all_: Totals, keep: int, round_: int, whole: bool):
+    def sample(fixed: pa.Table, moved: pa.Table) -> pa.Table:
+        row = fixed.to_pylist()[0]
+        last, seats = _moved(moved)
         random = np.random.default_rng([round_, row["part"]])
-        mine, everywhere = Seating.read(row), _seats(answers)[-1]
+        mine, everywhere = Seating.read(row | last), seats[-1]
         tables, roots = mine.tables[-1].copy(), mine.roots[-1]
         parent = np.repeat(root_probability(mine.per_word(tables), roots, all_), mine.runs)
         many = np.flatnonzero(mine.counts > 1)  # a single customer has a single table
@@ -320,15 +363,16 @@ def _sample(all_: Totals, keep: int, round_: int):
         )
         mine.tables = [*mine.tables[len(mine.tables) - keep + 1 :], tables] if keep > 1 else [tables]
         mine.roots = [*mine.roots[len(mine.roots) - keep + 1 :], roots] if keep > 1 else [roots]
-        return mine.row(row["part"])
+        return pa.table({"part": fixed["part"], **mine.round(unpack(row["homes"]), whole)})
 
     return sample
 
 
-def _settle(state: pa.Table, answers: pa.Table) -> pa.Table:
-    row = state.to_pylist()[0]
-    mine = Seating.read(row)
-    mine.seats = _seats(answers)
+def _settle(fixed: pa.Table, moved: pa.Table) -> pa.Table:
+    row = fixed.to_pylist()[0]
+    last, seats = _moved(moved)
+    mine = Seating.read(row | last)
+    mine.keys, mine.seats = np.concatenate([np.frombuffer(a["keys"], "<u8") for a in row["asked"]]), seats
     return mine.row(row["part"])
 
 
@@ -341,12 +385,25 @@ class Model:
     bits: int
 
 
-def _exchanged(state: DataFrame, bits: int, whole: bool, step) -> DataFrame:
-    """``step`` on each part and the sums of its contexts, stored in place of ``state``."""
-    answers = dealt(context_sums(state, bits, whole), bits).groupBy("part")
-    new = staged(dealt(state, bits).groupBy("part").cogroup(answers).applyInArrow(step, _STATE), "seating")
-    discard(state)
-    return new
+@dataclass(frozen=True)
+class Parts:
+    """The tables of a model that is being fitted: parts and routes are bucketed, so only what a round changes moves."""
+
+    fixed: DataFrame
+    routes: DataFrame
+    bits: int
+    home_bits: int
+
+    def answers(self, moved: DataFrame, whole: bool) -> DataFrame:
+        """Per part, the sums of its contexts over all parts, in pieces by the contexts' homes."""
+        sent = moved.select("part", F.explode("sent").alias("s")).select("s.home", "part", "s.seats")
+        sent = sent.repartition(1 << self.home_bits, "home").groupBy("home")
+        return self.routes.groupBy("home").cogroup(sent).applyInArrow(_answer(whole), _ANSWER)
+
+    def stepped(self, moved: DataFrame, whole: bool, step, columns: list[str], schema: str) -> DataFrame:
+        """``step`` on each part, what the last round changed in it, and the answers to that."""
+        its = moved.select("part", "tables", "roots").unionByName(self.answers(moved, whole), allowMissingColumns=True)
+        return self.fixed.select("part", *columns).groupBy("part").cogroup(dealt(its, self.bits).groupBy("part")).applyInArrow(step, schema)
 
 
 def _free(spark) -> None:
@@ -360,24 +417,35 @@ def fit(docs: DataFrame, learn: Column, text: str = "text", burn_in: int = BURN_
     spark = docs.sparkSession
     arrays.bound_batches(spark)
     bits = part_bits(spark)
+    home_bits = max(bits - 2, 0)
     slim = docs.select(F.col(text).alias("text"), F.coalesce(learn, F.lit(False)).alias("learn"))
-    state = staged(dealt(slim.mapInArrow(_count(bits), _COUNTED), bits).groupBy("part").applyInArrow(_merge, _STATE), "seating")
-    seen = [totals(state)]
-    for i in range(burn_in + samples):
+    counted = dealt(slim.mapInArrow(_count(bits), _COUNTED), bits).groupBy("part").applyInArrow(_merge(home_bits), f"{_FIXED}, {_ROUND}")
+    fixed = staged(counted, "seating", "part", 1 << bits)
+    asked = fixed.select("part", F.explode("asked").alias("a")).select("a.home", "part", "a.keys", "a.customers")
+    routes = asked.repartition(1 << home_bits, "home").groupBy("home").applyInArrow(_route, _ROUTES)
+    model = Parts(fixed, staged(routes, "routes", "home", 1 << home_bits), bits, home_bits)
+    moved, seen, rounds = fixed, [totals(fixed)], burn_in + samples
+    for i in range(rounds):
         _free(spark)
-        state = _exchanged(state, bits, False, _sample(seen[-1], max(1, i - burn_in + 1), i))
-        seen.append(totals(state))
+        step = _sample(seen[-1], max(1, i - burn_in + 1), i, i == rounds - 1)
+        new = staged(model.stepped(moved, False, step, ["runs", "contexts", "counts", "homes"], f"part int, {_ROUND}"), "round")
+        if moved is not fixed:
+            discard(moved)
+        moved = new
+        seen.append(totals(moved))
     _free(spark)
-    state = _exchanged(state, bits, True, _settle)
+    state = staged(model.stepped(moved, True, _settle, ["words", "runs", "contexts", "counts", "asked"], _STATE), "model", "part", 1 << bits)
+    for table in {id(t): t for t in (moved, fixed, model.routes)}.values():
+        discard(table)
     _free(spark)
-    return Model(state, seen[-samples:] if burn_in + samples else seen, bits)
+    return Model(state, seen[-samples:] if rounds else seen, bits)
 
 
 def _frequent(least: float):
     def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for words, runs, counts in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                n = arrays.text_sums(np.frombuffer(counts, "<u4").astype(np.int64), np.frombuffer(runs, "<u4").astype(np.int64))
+                n = arrays.text_sums(unpack(counts), unpack(runs))
                 hot = np.flatnonzero(n > least)
                 yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(words, "<i8")[hot]), pa.array(n[hot])], ["word", "n"])
 
@@ -442,13 +510,11 @@ _SUMS = "block long, n int, sums binary, ids binary, flags binary, sizes binary"
 
 
 def _copies(hot: dict[int, int], bits: int):
-    """Each part of the state, and the seating of its frequent words for the other parts that score them."""
+    """The seating of frequent words for the other parts that score them."""
 
     def copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                yield batch.slice(i, 1)
-                row = batch.slice(i, 1).to_pylist()[0]
+            for row in batch.to_pylist():
                 mine = Seating.read(row)
                 ends = np.cumsum(mine.runs)
                 for w in np.flatnonzero(np.isin(mine.words, np.array(sorted(hot), U64))):
@@ -470,7 +536,8 @@ def _equal(values: np.ndarray, at: np.ndarray, wanted: np.ndarray) -> bool:
 
 def _score(samples: list[Totals]):
     def score(blocks: pa.Table, state: pa.Table) -> pa.Table:
-        parts = [Seating.read(r) for r in state.to_pylist()]
+        rows = blocks.to_pylist()
+        parts = [Seating.read(r) for r in [*state.to_pylist(), *[r["copy"] for r in rows if r["copy"]]]]
         words = np.concatenate([p.words for p in parts]) if parts else np.zeros(0, U64)
         order = np.argsort(words)
         rank = np.empty(len(words), np.int64)
@@ -494,7 +561,9 @@ def _score(samples: list[Totals]):
             per_sample.append((tables, p_root))
         n_all, v_all = samples[-1].tokens, samples[-1].words
         out = []
-        for row in blocks.to_pylist():
+        for row in rows:
+            if row["copy"]:
+                continue
             if row["words"] is None:
                 out.append((row["block"], row["n"], None, row["ids"], row["flags"], row["sizes"]))
                 continue
@@ -568,8 +637,10 @@ def score(docs: DataFrame, model: Model, held: Column, text: str = "text") -> Da
     hot = {r["word"] % (1 << 64): min(parts, int(r["n"] / least) + 1) for r in common.collect()}
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held"), F.col(text).alias("text"))
     blocks = slim.mapInArrow(_blocks(model.bits, hot), _BLOCK)
-    state = model.state.mapInArrow(_copies(hot, model.bits), _STATE)
-    sums = dealt(blocks, model.bits).groupBy("part").cogroup(dealt(state, model.bits).groupBy("part")).applyInArrow(_score(model.samples), _SUMS)
+    homes = [int(h) for h in np.unique(_parts_of(np.array(sorted(hot), U64), model.bits))]
+    copies = model.state.filter(F.col("part").isin(homes)).mapInArrow(_copies(hot, model.bits), _STATE)
+    sent = blocks.unionByName(copies.select("part", F.struct(*copies.columns).alias("copy")), allowMissingColumns=True)
+    sums = dealt(sent, model.bits).groupBy("part").cogroup(model.state.groupBy("part")).applyInArrow(_score(model.samples), _SUMS)
     found = sums.groupBy("block").applyInArrow(_collect_block, _RESULT)
     return found.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(int(n)).cast("long").alias("train_tokens"), "base_score", "score"
