@@ -28,6 +28,7 @@ from __future__ import annotations
 import gc
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +43,8 @@ from tallyframe.session import discard, staged
 STRENGTH = 1.0
 EXACT = 256
 BURN_IN, SAMPLES = 1, 2
+#: Shares of the documents that are scored one after the other: tokens of one share at a time are on disk.
+SHARES = 3
 
 U64 = np.uint64
 START, END = U64(0x5EED0001), U64(0x5EED0002)
@@ -628,7 +631,10 @@ def _collect_block(group: pa.Table) -> pa.Table:
 
 
 def score(docs: DataFrame, model: Model, held: Column, text: str = "text") -> DataFrame:
-    """Per row of ``docs``, which ``model`` was fitted with: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
+    """Per row of ``docs``, which ``model`` was fitted with: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
+
+    Written share by share, by a hash of the id, so the tokens of one share only are on disk at a time.
+    """
     parts = 1 << model.bits
     n = model.samples[-1].tokens
     least = max(n / parts / 2, 1)
@@ -636,17 +642,24 @@ def score(docs: DataFrame, model: Model, held: Column, text: str = "text") -> Da
     # each has more than 1 / (2 parts) of all tokens, so there are fewer than 2 * parts
     hot = {r["word"] % (1 << 64): min(parts, int(r["n"] / least) + 1) for r in common.collect()}
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held"), F.col(text).alias("text"))
-    blocks = slim.mapInArrow(_blocks(model.bits, hot), _BLOCK)
     homes = [int(h) for h in np.unique(_parts_of(np.array(sorted(hot), U64), model.bits))]
     copies = model.state.filter(F.col("part").isin(homes)).mapInArrow(_copies(hot, model.bits), _STATE)
-    sent = blocks.unionByName(copies.select("part", F.struct(*copies.columns).alias("copy")), allowMissingColumns=True)
-    sums = dealt(sent, model.bits).groupBy("part").cogroup(model.state.groupBy("part")).applyInArrow(_score(model.samples), _SUMS)
-    found = sums.groupBy("block").applyInArrow(_collect_block, _RESULT)
-    return found.select(
+    copies = copies.select("part", F.struct(*copies.columns).alias("copy"))
+    found = []
+    for share in range(SHARES):
+        some = slim.filter(F.pmod(F.xxhash64("doc_id"), F.lit(SHARES)) == share)
+        sent = some.mapInArrow(_blocks(model.bits, hot), _BLOCK).unionByName(copies, allowMissingColumns=True)
+        sums = dealt(sent, model.bits).groupBy("part").cogroup(model.state.groupBy("part")).applyInArrow(_score(model.samples), _SUMS)
+        found.append(staged(sums.groupBy("block").applyInArrow(_collect_block, _RESULT), "scores"))
+        _free(docs.sparkSession)
+    return reduce(DataFrame.unionAll, found).select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(int(n)).cast("long").alias("train_tokens"), "base_score", "score"
     )
 
 
 def lm_query(docs: DataFrame) -> DataFrame:
     held = held_out(parts=5, part=1)
-    return score(docs, fit(docs, F.col("doc_id").isNotNull() & ~held), held)
+    model = fit(docs, F.col("doc_id").isNotNull() & ~held)
+    scores = score(docs, model, held)
+    discard(model.state)
+    return scores
