@@ -82,6 +82,21 @@ def keep(tables: list[DataFrame], table: DataFrame) -> DataFrame:
     return table
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Delete the shuffle files of each query made inside as soon as it has ended, not when the driver collects garbage.
+
+    For work in many steps, each written by ``staged``: what is executed twice inside must be a stored table.
+    """
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def staged(df: DataFrame, name: str, by: str | None = None, buckets: int = 0) -> DataFrame:
     """Write ``df`` to the shared folder once and read it back.
 
