@@ -25,7 +25,6 @@ teach nothing. Repeated rows count each for itself. Only ``doc_id`` and the text
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -38,7 +37,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.llm import arrays
 from tallyframe.llm.langid import held_out
-from tallyframe.session import discard, staged
+from tallyframe.session import discard, shuffles_removed, staged
 
 STRENGTH = 1.0
 EXACT = 256
@@ -409,14 +408,11 @@ class Parts:
         return self.fixed.select("part", *columns).groupBy("part").cogroup(dealt(its, self.bits).groupBy("part")).applyInArrow(step, schema)
 
 
-def _free(spark) -> None:
-    """Shuffle files of finished steps go when the driver collects its garbage, which it seldom does by itself."""
-    gc.collect()
-    spark._jvm.System.gc()
-
-
 def fit(docs: DataFrame, learn: Column, text: str = "text", burn_in: int = BURN_IN, samples: int = SAMPLES) -> Model:
-    """Learn from the texts of ``docs`` where ``learn`` holds; the contexts of the others are known too."""
+    """Learn from the texts of ``docs`` where ``learn`` holds; the contexts of the others are known too.
+
+    Call it and ``score`` within ``shuffles_removed``, else shuffle files of finished steps stay for long.
+    """
     spark = docs.sparkSession
     arrays.bound_batches(spark)
     bits = part_bits(spark)
@@ -429,18 +425,15 @@ def fit(docs: DataFrame, learn: Column, text: str = "text", burn_in: int = BURN_
     model = Parts(fixed, staged(routes, "routes", "home", 1 << home_bits), bits, home_bits)
     moved, seen, rounds = fixed, [totals(fixed)], burn_in + samples
     for i in range(rounds):
-        _free(spark)
         step = _sample(seen[-1], max(1, i - burn_in + 1), i, i == rounds - 1)
         new = staged(model.stepped(moved, False, step, ["runs", "contexts", "counts", "homes"], f"part int, {_ROUND}"), "round")
         if moved is not fixed:
             discard(moved)
         moved = new
         seen.append(totals(moved))
-    _free(spark)
     state = staged(model.stepped(moved, True, _settle, ["words", "runs", "contexts", "counts", "asked"], _STATE), "model", "part", 1 << bits)
     for table in {id(t): t for t in (moved, fixed, model.routes)}.values():
         discard(table)
-    _free(spark)
     return Model(state, seen[-samples:] if rounds else seen, bits)
 
 
@@ -651,7 +644,6 @@ def score(docs: DataFrame, model: Model, held: Column, text: str = "text") -> Da
         sent = some.mapInArrow(_blocks(model.bits, hot), _BLOCK).unionByName(copies, allowMissingColumns=True)
         sums = dealt(sent, model.bits).groupBy("part").cogroup(model.state.groupBy("part")).applyInArrow(_score(model.samples), _SUMS)
         found.append(staged(sums.groupBy("block").applyInArrow(_collect_block, _RESULT), "scores"))
-        _free(docs.sparkSession)
     return reduce(DataFrame.unionAll, found).select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(int(n)).cast("long").alias("train_tokens"), "base_score", "score"
     )
@@ -659,7 +651,8 @@ def score(docs: DataFrame, model: Model, held: Column, text: str = "text") -> Da
 
 def lm_query(docs: DataFrame) -> DataFrame:
     held = held_out(parts=5, part=1)
-    model = fit(docs, F.col("doc_id").isNotNull() & ~held)
-    scores = score(docs, model, held)
+    with shuffles_removed(docs.sparkSession):
+        model = fit(docs, F.col("doc_id").isNotNull() & ~held)
+        scores = score(docs, model, held)
     discard(model.state)
     return scores
