@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 
 from tallyframe.llm import arrays
 from tallyframe.llm.lm import dealt, part_bits
-from tallyframe.session import keep, scratch, staged
+from tallyframe.session import keep, scratch, shuffles_removed, staged
 
 WORDS = 5
 PERCENT = 75
@@ -302,8 +302,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             return known
 
 
-def linked_components(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id and the number of documents of its class."""
+def _classes(docs: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
+    """Size and class of each document, and the component of each class."""
     spark = docs.sparkSession
     arrays.bound_batches(spark)
     bits = part_bits(spark)
@@ -350,7 +350,13 @@ def linked_components(docs: DataFrame, text: str = "text") -> DataFrame:
 
     named = classes.join(known.withColumnRenamed("node", "class"), "class", "left").select("class", "f2", "n", "doc_id", "copies", label)
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named = named.join(least, "component").select(F.col("class").alias("f1"), "f2", "n", "component_id", "copies")
+    return profiles, named.join(least, "component").select(F.col("class").alias("f1"), "f2", "n", "component_id", "copies")
+
+
+def linked_components(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Per document: doc_id, n_shingles, component_id and the number of documents of its class."""
+    with shuffles_removed(docs.sparkSession):  # every table that is read twice there is a stored one
+        profiles, named = _classes(docs, text)
     out = profiles.select("doc_id", "f1", "f2", "n").join(named, ["f1", "f2", "n"], "left")
     return out.select(
         "doc_id",
