@@ -94,7 +94,7 @@ def top_products(asked: DataFrame, factors: DataFrame, k: int = 10, block_rows:
         best = asked.sparkSession.createDataFrame([], schema + ", rank int")
         many, low, size = blocks.count(), 0, 1
         while low < many:
-            top = blocks.filter(F.col("block") == low).first()["top"]
+            top = blocks.filter(F.col("block") == low).select("top").first()["top"]
             full = best.filter(F.col("rank") == k).select("id", F.col("score").alias("kth"))
             open_ = F.col("kth").isNull() | (F.col("kth") <= F.col("length") * top * (1 + SLACK))
             active = questions.join(full, "id", "left").filter(open_)
@@ -104,7 +104,9 @@ def top_products(asked: DataFrame, factors: DataFrame, k: int = 10, block_rows:
                 break
             high = min(low + size, many)
             sent = packed.select("pack_rows", F.pmod("pack", F.lit(SALTS)).alias("salt"), F.explode(F.sequence(F.lit(low), F.lit(high - 1))).alias("block"))
-            met = sent.join(blocks.filter(F.col("block").between(low, high - 1)).select("block", "rows", salts), ["block", "salt"])
+            copies = blocks.filter(F.col("block").between(low, high - 1)).select("block", "rows", salts)
+            # merged, as the copies of a round, small in their file, would be built in the driver for a broadcast
+            met = sent.join(copies.hint("merge"), ["block", "salt"])
             found = met.select("pack_rows", "rows").mapInArrow(_meet(k), schema)
             both = best.drop("rank").unionByName(found).withColumn("rank", ranked).filter(F.col("rank") <= k)
             before, best = best, staged(both.select("id", "found", "score", "rank"), "best")
