@@ -1,24 +1,28 @@
 """Fitted trees as tables: nodes, rules, and whether every split is the best one for the rows that reach it.
 
 A model has a bounded number of nodes, so its nodes may be held by the driver and by every task, as
-Spark itself does when it predicts. Rows are routed through them in the tasks; what leaves a task is
-one histogram row per node, feature and bin. Sums over these give for every node the gain of every candidate.
+Spark itself does when it predicts. Rows are routed through them in the tasks. The nodes with most rows, as many as
+``HELD_SUMS`` allows, have their histograms added up in the tasks; what leaves a task is one row per such node, feature and bin.
+A row that goes on below them is sent once, as its bins, to the part of the tree it enters, where node after node is summed up.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 from operator import and_
 
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.session import fresh_path
+from tallyframe.session import discard, fresh_path, staged
+
+#: Sums that a task holds for the nodes with most rows.
+HELD_SUMS = 4_000_000
 
 RULES = "tree int, rule int, place int, feature int, side string, split array<double>, value double"
 
@@ -63,10 +67,11 @@ class Tree:
     left: np.ndarray
     right: np.ndarray
     prediction: np.ndarray
+    reached: np.ndarray
 
-    def paths(self, x: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(row numbers, nodes) of each level that rows reach, from the root down."""
-        rows, nodes = np.arange(len(x)), np.zeros(len(x), np.int64)
+    def paths(self, x: np.ndarray, start: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(row numbers, nodes) of each level that rows reach, from node ``start`` down."""
+        rows, nodes = np.arange(len(x)), np.full(len(x), start, np.int64)
         while len(rows):
             yield rows, nodes
             inner = self.feature[nodes] >= 0
@@ -94,15 +99,17 @@ def trees_of(nodes: DataFrame) -> list[Tree]:
         width = max([r["categories"] for r in mine] + [0]) + 1
         feature, left, right = (np.full(size, -1, np.int64) for _ in range(3))
         threshold, prediction, goes_left = np.full(size, np.nan), np.zeros(size), np.zeros((size, width), bool)
+        reached = np.zeros(size)
         for r in mine:
             n = r["node"]
             feature[n], left[n], right[n], prediction[n] = r["feature"], r["left"], r["right"], r["prediction"]
+            reached[n] = r["rows"]
             if r["feature"] >= 0 and r["categories"] >= 0:
                 goes_left[n, np.array(r["split"], np.int64)] = True
                 goes_left[n, r["categories"] :] = _unseen_left(r)
             elif r["feature"] >= 0:
                 threshold[n] = r["split"][0]
-        found.append(Tree(feature, threshold, goes_left, left, right, prediction))
+        found.append(Tree(feature, threshold, goes_left, left, right, prediction, reached))
     return found
 
 
@@ -183,14 +190,18 @@ class _Bins:
         widths = [categories.get(j, len(c) + 1) for j, c in enumerate(cuts)]
         return cls(tuple(cuts), categories, np.concatenate([[0], np.cumsum(widths)]))
 
-    def place(self, x: np.ndarray) -> np.ndarray:
-        """Per row and feature the number of its bin among those of all features."""
+    def bins(self, x: np.ndarray) -> np.ndarray:
+        """Per row and feature the number of its bin."""
         found = np.empty(x.shape, np.int64)
         for j, cuts in enumerate(self.cuts):
-            at = x[:, j].astype(np.int64) if j in self.categories else np.searchsorted(cuts, x[:, j], "left")
-            found[:, j] = self.starts[j] + at
+            found[:, j] = x[:, j] if j in self.categories else np.searchsorted(cuts, x[:, j], "left")
         return found
 
+    def on_bins(self, tree: Tree) -> Tree:
+        """The tree that sends bins where ``tree`` sends values."""
+        at = [np.searchsorted(self.cuts[j], v) if j >= 0 and not np.isnan(v) else np.nan for j, v in zip(tree.feature, tree.threshold)]
+        return replace(tree, threshold=np.array(at, np.float64))
+
 
 def _statistics(label: np.ndarray, classes: int) -> np.ndarray:
     """What a node sums up: rows per class, or number, sum and squares of labels."""
@@ -199,39 +210,136 @@ def _statistics(label: np.ndarray, classes: int) -> np.ndarray:
     return np.stack([np.ones(len(label)), label, label * label], axis=1)
 
 
-def _histogram(trees: Sequence[Tree], weights: Sequence[float], bins: _Bins, classes: int, boosted: bool):
-    """Rows (feature array, label) to sums per tree, node, feature and bin.
+def _held_nodes(trees: Sequence[Tree], most: int) -> list[np.ndarray]:
+    """Per tree the places of its nodes among the ``most`` that most rows reach, -1 for the others. Above a held node all are held."""
+    reached = np.concatenate([t.reached for t in trees])
+    first = np.argsort(-reached, kind="stable")[:most]
+    place = np.full(len(reached), -1, np.int64)
+    place[first] = np.arange(len(first))
+    return np.split(place, np.cumsum([len(t.reached) for t in trees])[:-1])
+
+
+_PART = "tree int, node int, feature int, bin int, sums array<double>, bins binary, label double"
+
+
+def _part(tree, node, feature, at, sums, bins, label) -> pa.RecordBatch:
+    ints = [pa.array(c, pa.int32()) for c in (tree, node, feature, at)]
+    arrays = [*ints, pa.array(sums, pa.list_(pa.float64())), pa.array(bins, pa.binary()), pa.array(label, pa.float64())]
+    return pa.RecordBatch.from_arrays(arrays, ["tree", "node", "feature", "bin", "sums", "bins", "label"])
+
+
+def _histogram(trees: Sequence[Tree], weights: Sequence[float], bins: _Bins, held: Sequence[np.ndarray], classes: int, boosted: bool):
+    """Rows (feature array, label) to sums per held node, feature and bin, and to rows (no feature) at the first node that isn't held.
 
     The label of a boosted tree is twice what the weighted trees before it leave of the label.
     """
     size, total = classes or 3, int(bins.starts[-1])
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = [np.zeros((len(t.feature) * total, size)) for t in trees]
+        sums = np.zeros((sum((h >= 0).sum() for h in held) * total, size))
         for batch in batches:
-            x = np.stack(batch.column(0).to_pylist()) if batch.num_rows else np.zeros((0, len(bins.cuts)))
+            x = batch.column(0).flatten().to_numpy().reshape(batch.num_rows, len(bins.cuts))
             label = batch.column(1).to_numpy(zero_copy_only=False).astype(np.float64)
-            place, sofar = bins.place(x), np.zeros(len(label))
+            binned, sofar = bins.bins(x), np.zeros(len(label))
+            place, packed = binned + bins.starts[:-1], binned.astype("<u2")
             for i, (tree, weight) in enumerate(zip(trees, weights)):
                 own = 2.0 * (label - sofar) if boosted and i else label
                 statistics, leaf = _statistics(own, classes), np.zeros(len(x), np.int64)
+                entered = np.full(len(x), -1, np.int64)
                 for rows, nodes in tree.paths(x):
                     leaf[rows] = nodes
+                    at = held[i][nodes]
+                    here, new = rows[at >= 0], (at < 0) & (entered[rows] < 0)
+                    entered[rows[new]] = nodes[new]
                     for j in range(x.shape[1]):
-                        np.add.at(sums[i], nodes * total + place[rows, j], statistics[rows])
+                        np.add.at(sums, at[at >= 0] * total + place[here, j], statistics[here])
                 sofar += weight * tree.prediction[leaf]
+                sent = np.flatnonzero(entered >= 0)
+                none = [None] * len(sent)
+                yield _part(np.full(len(sent), i), entered[sent], np.full(len(sent), -1), none, none, [r.tobytes() for r in packed[sent]], own[sent])
         feature_of = np.repeat(np.arange(len(bins.cuts)), np.diff(bins.starts))
-        for i, table in enumerate(sums):
-            at = np.flatnonzero(table.any(axis=1))
-            node, slot = at // total, at % total
-            feature = feature_of[slot]
-            columns = [np.full(len(at), i), node, feature, slot - bins.starts[feature]]
-            arrays = [pa.array(c.astype(np.int32)) for c in columns] + [pa.array(table[at, k]) for k in range(size)]
-            yield pa.RecordBatch.from_arrays(arrays, ["tree", "node", "feature", "bin", *[f"s{k}" for k in range(size)]])
+        for i, places in enumerate(held):
+            for node in np.flatnonzero(places >= 0):
+                table = sums[places[node] * total : (places[node] + 1) * total]
+                slot = np.flatnonzero(table.any(axis=1))
+                feature, none = feature_of[slot], [None] * len(slot)
+                yield _part(np.full(len(slot), i), np.full(len(slot), node), feature, slot - bins.starts[feature], table[slot].tolist(), none, none)
 
     return add_up
 
 
+def _impurities(s: np.ndarray, kind: str) -> np.ndarray:
+    with np.errstate(divide="ignore", invalid="ignore"):
+        if kind == "variance":
+            return s[:, 2] / s[:, 0] - (s[:, 1] / s[:, 0]) ** 2
+        shares = s / s.sum(axis=1)[:, None]
+        if kind == "gini":
+            return 1.0 - (shares * shares).sum(axis=1)
+        return -np.where(shares > 0, shares * np.log2(shares), 0.0).sum(axis=1)
+
+
+def _best_gain(table: np.ndarray, whole: np.ndarray, bins: _Bins, kind: str) -> float | None:
+    """The highest gain of all cuts of all features, from the sums per bin of one node."""
+    count = (lambda s: s[:, 0]) if kind == "variance" else (lambda s: s.sum(axis=1))
+    lefts = []
+    for j, (a, b) in enumerate(zip(bins.starts[:-1], bins.starts[1:])):
+        of_feature = table[a:b]
+        if j in bins.categories:
+            of_feature = of_feature[count(of_feature) > 0]
+            of_feature = of_feature[np.argsort(of_feature[:, 1] / count(of_feature), kind="stable")]
+        lefts.append(np.cumsum(of_feature, axis=0))
+    left = np.concatenate(lefts)
+    n, nl = count(whole[None])[0], count(left)
+    left = left[(nl > 0) & (nl < n)]
+    if not len(left):
+        return None
+    right, nl = whole - left, count(left)
+    gains = _impurities(whole[None], kind)[0] - nl / n * _impurities(left, kind) - (n - nl) / n * _impurities(right, kind)
+    return float(gains.max())
+
+
+def _nodes_found(rows: list[tuple], size: int) -> pa.Table:
+    columns = list(zip(*rows)) or [()] * (3 + size)
+    kinds = [pa.int32(), pa.int32(), *[pa.float64()] * (1 + size)]
+    return pa.table({n: pa.array(c, k) for n, c, k in zip(["tree", "node", "best", *[f"s{k}" for k in range(size)]], columns, kinds)})
+
+
+def _held_node(bins: _Bins, size: int, kind: str):
+    def best(group: pa.Table) -> pa.Table:
+        sums = group["sums"].combine_chunks().flatten().to_numpy().reshape(-1, size)
+        feature, table = group["feature"].to_numpy(), np.zeros((int(bins.starts[-1]), size))
+        table[bins.starts[feature] + group["bin"].to_numpy()] = sums
+        whole = sums[feature == feature[0]].sum(axis=0)
+        return _nodes_found([(group["tree"][0].as_py(), group["node"][0].as_py(), _best_gain(table, whole, bins, kind), *whole)], size)
+
+    return best
+
+
+def _below(trees: Sequence[Tree], bins: _Bins, classes: int, kind: str):
+    size, total, on_bins = classes or 3, int(bins.starts[-1]), [bins.on_bins(t) for t in trees]
+
+    def sum_up(group: pa.Table) -> pa.Table:
+        number, start = group["tree"][0].as_py(), group["node"][0].as_py()
+        tree = on_bins[number]
+        x = np.frombuffer(b"".join(group["bins"].to_pylist()), "<u2").reshape(group.num_rows, len(bins.cuts))
+        statistics, found = _statistics(group["label"].to_numpy(), classes), []
+        place = x + bins.starts[:-1]
+        for rows, nodes in tree.paths(x, start):
+            order = np.argsort(nodes, kind="stable")
+            for mine in np.split(rows[order], np.flatnonzero(np.diff(nodes[order])) + 1):
+                node = int(nodes[np.searchsorted(rows, mine[0])])
+                own, best = statistics[mine], None
+                whole = own.sum(axis=0)
+                if tree.feature[node] >= 0:
+                    at = place[mine].ravel()
+                    table = np.stack([np.bincount(at, np.repeat(own[:, k], place.shape[1]), total) for k in range(size)], axis=1)
+                    best = _best_gain(table, whole, bins, kind)
+                found.append((number, node, best, *whole))
+        return _nodes_found(found, size)
+
+    return sum_up
+
+
 def _rows_in(s: Sequence[Column], classes: int) -> Column:
     return reduce(lambda a, b: a + b, s) if classes else s[0]
 
@@ -271,24 +379,18 @@ def check_nodes(
     classes = max(classes, 2) if kind != "variance" else 0
     names = [f"s{k}" for k in range(classes or 3)]
     bins = _Bins.of(trees, size, categories)
+    held = _held_nodes(trees, max(1, HELD_SUMS // (int(bins.starts[-1]) * len(names) or 1)))
     rows = prepared.select(vector_to_array(features).alias("x"), F.col(label).cast("double").alias("label"))
-    schema = "tree int, node int, feature int, bin int, " + ", ".join(f"{s} double" for s in names)
-    partial = rows.mapInArrow(_histogram(trees, weights, bins, classes, boosted), schema)
-    histogram = partial.groupBy("tree", "node", "feature", "bin").agg(*[F.sum(s).alias(s) for s in names])
-
-    s = [F.col(n) for n in names]
-    mean = s[1] / _rows_in(s, classes)
-    place = F.when(F.col("feature").isin(*categories), mean).otherwise(F.col("bin")) if categories else F.col("bin")
-    of_feature = Window.partitionBy("tree", "node", "feature")
-    upto = of_feature.orderBy(place, "bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    left, whole = [F.sum(x).over(upto) for x in s], [F.sum(x).over(of_feature) for x in s]
-    sides = histogram.select(
-        "tree", "node", *[x.alias(f"l{k}") for k, x in enumerate(left)], *[x.alias(f"w{k}") for k, x in enumerate(whole)]
-    )
-    lefts, wholes = [F.col(f"l{k}") for k in range(len(s))], [F.col(f"w{k}") for k in range(len(s))]
-    best = sides.groupBy("tree", "node").agg(
-        F.max(_gain(wholes, lefts, kind)).alias("best"), *[F.max(f"w{k}").alias(f"s{k}") for k in range(len(s))]
+    parts = staged(rows.mapInArrow(_histogram(trees, weights, bins, held, classes, boosted), _PART), "histogram")
+    schema = "tree int, node int, best double, " + ", ".join(f"{s} double" for s in names)
+    summed = parts.filter("feature >= 0").groupBy("tree", "node", "feature", "bin").agg(
+        F.array(*[F.sum(F.get("sums", F.lit(k))) for k in range(len(names))]).alias("sums")
     )
+    above = summed.groupBy("tree", "node").applyInArrow(_held_node(bins, len(names), kind), schema)
+    below = parts.filter("feature < 0").groupBy("tree", "node").applyInArrow(_below(trees, bins, classes, kind), schema)
+    best = staged(above.unionByName(below), "nodes")
+    discard(parts)
+    s = [F.col(n) for n in names]
     reached = nodes.join(best, ["tree", "node"], "left")
     child = best.select("tree", F.col("node").alias("left"), *[F.col(f"s{k}").alias(f"c{k}") for k in range(len(s))])
     whole_node = reached.join(child, ["tree", "left"], "left")
