@@ -22,6 +22,8 @@ PIECE = 1 << 18
 #: Bytes of text that a task packs together, about, and rows of the batches that come to it.
 GATHER = 6 << 20
 RECORDS = 500
+#: Bytes of such a batch, about; one row may be larger.
+BATCH_BYTES = 4 << 20
 
 #: The white space of the contracts, ``[\x20\x09-\x0D]``.
 SPACES = [0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]
@@ -93,13 +95,17 @@ def pieces(offsets: np.ndarray, size: int = PIECE) -> Iterator[tuple[int, int]]:
 
 
 def bound_batches(spark) -> None:
-    """Let Arrow batches have at most ``RECORDS`` rows, unless the session has a number of its own.
+    """Let Arrow batches have at most ``RECORDS`` rows and about ``BATCH_BYTES``, unless the session has numbers of its own.
 
-    The default of 10,000 texts of a few kB is tens of MB per buffer, several of which a task holds.
+    The default of 10,000 texts of a few kB is tens of MB per buffer, several of which a task holds. Rows of two sets of
+    shingles have up to some hundred kB each, so that 500 of them are as much.
     """
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if spark.conf.get(name) == "10000":
         spark.conf.set(name, RECORDS)
+    size = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(size) == "67108864b":
+        spark.conf.set(size, BATCH_BYTES)
 
 
 def gathered(batches: Iterator[pa.RecordBatch], text: int, size: int = GATHER) -> Iterator[pa.RecordBatch]:

@@ -71,6 +71,7 @@ def class_sums(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.n
 @F.arrow_udf(_PROFILE)
 def profile(text: pa.Array) -> pa.Array:
     """Size, class and shingles per hash range (16 bits each; 65535 stands for any more)."""
+    arrays.release_memory()
     n, f1, f2, ranges = [], [], [], []
     for first, last, hashes, counts in shingle_sets(text):
         a, b = class_sums(hashes, counts)
@@ -232,11 +233,17 @@ def suffix_filter(a: pa.Array, b: pa.Array, n: pa.Array, m: pa.Array) -> pa.Arra
     return pa.array((100 + PERCENT) * room >= PERCENT * total)
 
 
+def _packed(column: pa.Array) -> Iterator[np.ndarray]:
+    """The packed hashes of each row, without a copy."""
+    for x in column:
+        yield np.frombuffer(x.as_buffer(), "<u8")
+
+
 @F.arrow_udf(T.BooleanType())
 def sets_link(a: pa.Array, b: pa.Array) -> pa.Array:
+    arrays.release_memory()
     out = []
-    for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True):
-        x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
+    for x, y in zip(_packed(a), _packed(b), strict=True):
         if len(x) > len(y):
             x, y = y, x
         at = np.minimum(np.searchsorted(y, x), len(y) - 1)
@@ -247,6 +254,7 @@ def sets_link(a: pa.Array, b: pa.Array) -> pa.Array:
 
 @F.arrow_udf(_SET)
 def shingles_of(text: pa.Array) -> pa.Array:
+    arrays.release_memory()
     f1, sets = [], []
     for _, _, hashes, counts in shingle_sets(text):
         f1.append(class_sums(hashes, counts)[0])
