@@ -25,11 +25,11 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return shinglejoin.one_per_component(docs)
+    return shinglejoin.one_per_component(docs, stored=True)
 
 
 def drop_benchmark_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"), stored=True)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

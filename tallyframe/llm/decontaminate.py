@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyframe.session import keep, scratch, staged
+from tallyframe.session import keep, numbered, scratch, staged
 
 WINDOW = 10
 SHINGLE = 4
@@ -169,9 +169,9 @@ def contamination_query(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents with no hit. They are numbered and written once: each scan would number them its own way."""
-    marked = staged(docs.select(F.struct(*docs.columns).alias("whole"), F.monotonically_increasing_id().alias("row")), "numbered")
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, stored: bool = False) -> DataFrame:
+    """The documents with no hit, found by row numbers (``session.numbered``, which tells what ``stored`` says)."""
+    marked = numbered(docs, "numbered", stored)
     named = marked.select("row", "whole.doc_id", "whole.text")
     with scratch() as tables:  # what finds the hits goes when they are written
         hit = _contamination(named, benchmark, "text", "item_id", "text", BLOCK, stored=True).filter("n_hit > 0")

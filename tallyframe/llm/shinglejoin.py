@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 
 from tallyframe.llm import arrays
 from tallyframe.llm.lm import dealt, part_bits
-from tallyframe.session import keep, scratch, shuffles_removed, staged
+from tallyframe.session import keep, numbered, scratch, shuffles_removed, staged
 
 WORDS = 5
 PERCENT = 75
@@ -378,13 +378,13 @@ def components_query(docs: DataFrame) -> DataFrame:
     return linked_components(docs).select("doc_id", "n_shingles", "component_id")
 
 
-def one_per_component(docs: DataFrame) -> DataFrame:
+def one_per_component(docs: DataFrame, stored: bool = False) -> DataFrame:
     """One row of each component: the one with the smallest id, ids that are missing coming last, of equal ids any one.
 
-    Rows are numbered and written once, and linked by these numbers, so rows that share an id are judged each by its own text.
-    A row without words is linked with nothing and stays.
+    Rows are numbered (``session.numbered``, which tells what ``stored`` says), and linked by these numbers, so rows that share an id
+    are judged each by its own text. A row without words is linked with nothing and stays.
     """
-    marked = staged(docs.select(F.struct(*docs.columns).alias("whole"), F.monotonically_increasing_id().alias("row")), "rows")
+    marked = numbered(docs, "rows", stored)
     with scratch() as tables:  # what finds the components goes when they are written
         linked = linked_components(marked.select(F.col("row").alias("doc_id"), "whole.text"))
         linked = keep(tables, staged(linked.select(F.col("doc_id").alias("row"), "component_id"), "linked"))

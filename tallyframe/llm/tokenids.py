@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyframe.llm import arrays
+from tallyframe.session import shuffles_removed
 
 END_ID = 2
 #: Fixed values of the code: bits per id by selector; 60 // bits ids are in a word.
@@ -284,7 +285,8 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, text: str = "text", en
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
     ordered = slim.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
-    ordered.mapInArrow(_encode_part(tokenizer, end_id), _FILE).write.option("compression", "none").parquet(path)
+    with shuffles_removed(docs.sparkSession):  # what is read later is the folder
+        ordered.mapInArrow(_encode_part(tokenizer, end_id), _FILE).write.option("compression", "none").parquet(path)
 
 
 def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -8,7 +8,9 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 #: Where a local session without ``spark.checkpoint.dir`` keeps its intermediate tables.
 LOCAL_SHARED_DIR = "/tmp/checkpoints"
@@ -124,6 +126,29 @@ def staged(df: DataFrame, name: str, by: str | None = None, buckets: int = 0) ->
     return out
 
 
+#: Rows of a file that can have numbers of their own in ``numbered``.
+FILE_ROWS = 1 << 40
+
+
+def numbered(df: DataFrame, name: str, stored: bool = False) -> DataFrame:
+    """row, whole: every row with a number that is the same in each later scan.
+
+    With ``stored``, which says that ``df`` has each row of some Parquet files at most once, a row is numbered by its file and its place
+    there, and none is written. Other rows are numbered and written, as each scan would number them its own way.
+    """
+    whole = F.struct(*df.columns).alias("whole")
+    if stored:
+        try:
+            placed = df.select(whole, F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+        except AnalysisException:  # no rows of files
+            stored = False
+    if not stored:
+        return staged(df.select(whole, F.monotonically_increasing_id().alias("row")), name)
+    # one row per file
+    files = placed.select("file").distinct().select("file", (F.row_number().over(Window.orderBy("file")) * F.lit(FILE_ROWS)).alias("from"))
+    return placed.join(F.broadcast(staged(files, f"{name}-files")), "file").select("whole", (F.col("from") + F.col("at")).alias("row"))
+
+
 def discard(df: DataFrame) -> None:
     """Delete the files of a ``staged`` table that nothing will read again."""
     files, where = _file_system(df.sparkSession, df.staged_path)

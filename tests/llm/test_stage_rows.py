@@ -77,3 +77,26 @@ def test_ids_of_every_row(spark, folder):
 @pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
 def test_empty_table(spark, folder, name):
     assert run(spark, folder, name, []) == []
+
+
+def test_stored_rows_are_not_written_again(spark, folder, tmp_path, monkeypatch):
+    """Stages on Parquet files keep row numbers only, and the same rows stay as of a frame that is numbered and written."""
+    from tallyframe import session
+    from tallyframe.llm import decontaminate, shinglejoin
+
+    rows = [(i % 9, f"{NEAR} {i % 3}" if i % 2 else f"text number {i} of its own, {BENCHMARK if i % 4 else ''}", "a") for i in range(40)]
+    frame(spark, rows).repartition(3).write.parquet(f"{tmp_path}/docs")
+    docs, texts, staged = spark.read.parquet(f"{tmp_path}/docs"), [], session.staged
+
+    def seen(df, name, *args):
+        texts.extend(f.name for f in df.schema.fields if f.name in ("whole", "text"))
+        return staged(df, name, *args)
+
+    for module in (session, decontaminate, shinglejoin):
+        monkeypatch.setattr(module, "staged", seen)
+    for name in ("jaccard_join", "decontamination"):
+        found = sorted((r.doc_id, r.text) for r in dict(corpus_pipeline.STAGES)[name](spark, docs, folder).collect())
+        assert not texts
+        wanted = sorted((r.doc_id, r.text) for r in dict(corpus_pipeline.STAGES)[name](spark, frame(spark, rows), folder).collect())
+        assert found == wanted and 0 < len(found) < 40
+        texts.clear()
