@@ -53,6 +53,11 @@ def release_memory() -> None:
     _stage[:] = [context.stageId()]
     _powers.clear()
     gc.collect()
+    trim_memory()
+
+
+def trim_memory() -> None:
+    """Give back the free memory of this worker, which is idle while the JVM works."""
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
@@ -123,6 +128,8 @@ def gathered(batches: Iterator[pa.RecordBatch], text: int, size: int = GATHER) -
                 held, n = [], 0
     if held:
         yield pa.concat_batches(held)
+        held = []
+    trim_memory()
 
 
 def lower(data: np.ndarray) -> np.ndarray:
