@@ -49,6 +49,7 @@ def node_table(model, spark) -> DataFrame:
         split["featureIndex"].alias("feature"),
         split["leftCategoriesOrThreshold"].alias("split"),
         split["numCategories"].alias("categories"),
+        F.col("impurityStats").alias("stats"),
     )
 
 
@@ -59,7 +60,7 @@ def _unseen_left(node) -> bool:
 
 @dataclass(frozen=True)
 class Tree:
-    """The nodes of one tree as arrays by node number; a leaf has feature -1."""
+    """The nodes of one tree as arrays by node number; a leaf has feature -1. ``share``: of class 1, if classes are told apart."""
 
     feature: np.ndarray
     threshold: np.ndarray
@@ -68,6 +69,7 @@ class Tree:
     right: np.ndarray
     prediction: np.ndarray
     reached: np.ndarray
+    share: np.ndarray
 
     def paths(self, x: np.ndarray, start: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(row numbers, nodes) of each level that rows reach, from node ``start`` down."""
@@ -91,6 +93,18 @@ class Tree:
         feature[level] = -1
         return replace(self, feature=feature)
 
+    def merged(self) -> Tree:
+        """Without splits below which all leaves predict the same, as Spark returns its trees."""
+        feature, levels = self.feature.copy(), [np.zeros(1, np.int64)]
+        while len(levels[-1]):
+            inner = levels[-1][feature[levels[-1]] >= 0]
+            levels.append(np.concatenate([self.left[inner], self.right[inner]]))
+        for level in reversed(levels):
+            inner = level[feature[level] >= 0]
+            left, right = self.left[inner], self.right[inner]
+            feature[inner[(feature[left] < 0) & (feature[right] < 0) & (self.prediction[left] == self.prediction[right])]] = -1
+        return replace(self, feature=feature)
+
     def leaves(self, x: np.ndarray) -> np.ndarray:
         found = np.zeros(len(x), np.int64)
         for rows, nodes in self.paths(x):
@@ -100,25 +114,29 @@ class Tree:
 
 def trees_of(nodes: DataFrame) -> list[Tree]:
     """The trees of a node table; as many rows as the model has nodes."""
-    rows = nodes.orderBy("tree", "node").collect()
+    by_tree: dict[int, list] = {}
+    shared = "stats" in nodes.columns
+    for r in nodes.orderBy("tree", "node").collect():
+        by_tree.setdefault(r["tree"], []).append(r)
     found = []
-    for number in sorted({r["tree"] for r in rows}):
-        mine = [r for r in rows if r["tree"] == number]
+    for mine in by_tree.values():
         size = max([r["node"] for r in mine]) + 1
         width = max([r["categories"] for r in mine] + [0]) + 1
         feature, left, right = (np.full(size, -1, np.int64) for _ in range(3))
         threshold, prediction, goes_left = np.full(size, np.nan), np.zeros(size), np.zeros((size, width), bool)
-        reached = np.zeros(size)
+        reached, share = np.zeros(size), np.zeros(size)
         for r in mine:
             n = r["node"]
             feature[n], left[n], right[n], prediction[n] = r["feature"], r["left"], r["right"], r["prediction"]
             reached[n] = r["rows"]
+            stats = (r["stats"] if shared else None) or []
+            share[n] = stats[1] / sum(stats) if len(stats) > 1 and sum(stats) else 0.0
             if r["feature"] >= 0 and r["categories"] >= 0:
                 goes_left[n, np.array(r["split"], np.int64)] = True
                 goes_left[n, r["categories"] :] = _unseen_left(r)
             elif r["feature"] >= 0:
                 threshold[n] = r["split"][0]
-        found.append(Tree(feature, threshold, goes_left, left, right, prediction, reached))
+        found.append(Tree(feature, threshold, goes_left, left, right, prediction, reached, share))
     return found
 
 
@@ -449,3 +467,31 @@ class CutTree:
 
     def transform(self, df: DataFrame) -> DataFrame:
         return score_by_nodes(reduce(lambda rows, stage: stage.transform(rows), self.stages, df), [self.tree], [1.0], name="prediction")
+
+
+def same_when_cut(estimator, numTrees: int, maxBins: int, depth: int, features: int, classes: int = 2) -> bool:
+    """Whether a forest cut at ``depth`` is the one that Spark trains with this depth.
+
+    Spark draws the features of a node when the node's turn comes. As long as all nodes of a level fit into one step, these turns come level
+    by level, whatever is below, so the draws above ``depth`` are the same.
+    """
+    node = 8 * classes * features * max(maxBins, 2)
+    return node * numTrees * 2 ** max(depth - 1, 0) <= estimator.getMaxMemoryInMB() << 20
+
+
+def forest_scores(model, df: DataFrame, depths: Sequence[int], features: str = "features") -> DataFrame:
+    """``df`` with ``raw0``, ``raw1``, ...: what the forest cut at each of ``depths`` has as raw prediction of class 1; one pass."""
+    whole = trees_of(node_table(model, df.sparkSession))
+    cut = [[t.cut(d).merged() for t in whole] for d in depths]
+
+    @F.arrow_udf("array<double>")
+    def score(column: pa.Array) -> pa.Array:
+        x = column.flatten().to_numpy().reshape(len(column), -1) if len(column) else np.zeros((0, 1))
+        sums = np.zeros((len(column), len(cut)))
+        for i, trees in enumerate(cut):
+            for t in trees:  # one after the other, as Spark adds them up
+                sums[:, i] += t.share[t.leaves(x)]
+        return pa.FixedSizeListArray.from_arrays(pa.array(sums.ravel()), len(cut)).cast(pa.list_(pa.float64()))
+
+    scored = df.withColumn("_raw", score(vector_to_array(features)))
+    return scored.withColumns({f"raw{i}": F.col("_raw")[i] for i in range(len(depths))}).drop("_raw")

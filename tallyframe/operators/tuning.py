@@ -17,15 +17,15 @@ from typing import Any
 import numpy as np
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import DecisionTreeClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.ml.tuning import CrossValidatorModel, ParamGridBuilder, TrainValidationSplitModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyframe.operators.holding import held
-from tallyframe.operators.trees import CutTree
+from tallyframe.operators.trees import CutTree, forest_scores, same_when_cut
 
 # The full grids, by tuner and by model.
 TREE_GRID = {"impurity": ["gini", "entropy"], "maxDepth": [5, 10, 15], "maxBins": [10, 15, 20]}
@@ -84,11 +84,38 @@ def _one_tree(estimator, evaluator) -> bool:
     )
 
 
+def _forest_groups(estimator, maps: Sequence[Mapping], evaluator, rows: DataFrame) -> list[list[int]] | None:
+    """Settings of a forest that one training serves, if raw predictions are measured: those that differ in depth alone."""
+    if not (isinstance(estimator, RandomForestClassifier) and isinstance(evaluator, BinaryClassificationEvaluator)):
+        return None
+    depth, first = estimator.maxDepth, rows.select(estimator.getFeaturesCol()).first()
+    if first is None or not all(depth in m for m in maps):
+        return None
+    groups = []
+    for group in _by_depth(maps, depth):
+        setting = estimator.copy(maps[group[0]])
+        shallow = [maps[i][depth] for i in group[1:]]
+        same = not shallow or same_when_cut(setting, setting.getNumTrees(), setting.getMaxBins(), max(shallow), len(first[0]))
+        groups += [group] if same else [[i] for i in group]
+    return groups
+
+
 def _measured(estimator, maps: Sequence[Mapping], evaluator, train: DataFrame, validation: DataFrame, parallelism: int) -> list[float]:
     """The metric of every setting trained on one part and measured on the other.
 
-    Single trees that differ in depth alone are one training, of the deepest.
+    Single trees that differ in depth alone are one training, of the deepest; so are forests.
     """
+    def forest(group: list[int], depth) -> Callable[[], list[float]]:
+        def run() -> list[float]:
+            model = estimator.fit(train, maps[group[0]])
+            depths = [maps[i][depth] for i in group]
+            raws = [f"raw{i}" for i in range(len(depths))]
+            scored = forest_scores(model, validation, depths, model.getFeaturesCol()).select(evaluator.getLabelCol(), *raws)
+            with held(scored):
+                return [evaluator.evaluate(scored, {evaluator.rawPredictionCol: raw}) for raw in raws]
+
+        return run
+
     def job(setting: Mapping) -> Callable[[], list[float]]:
         return lambda: [evaluator.evaluate(estimator.fit(train, setting).transform(validation, setting))]
 
@@ -104,6 +131,10 @@ def _measured(estimator, maps: Sequence[Mapping], evaluator, train: DataFrame, v
         groups = _by_depth(maps, estimator.maxDepth)
         jobs = [deepest(group, estimator.maxDepth) for group in groups]
     with held(train), held(validation):
+        forests = _forest_groups(estimator, maps, evaluator, train)
+        if forests:
+            groups = forests
+            jobs = [forest(g, estimator.maxDepth) if len(g) > 1 else job(maps[g[0]]) for g in groups]
         done = in_threads(train.sparkSession, jobs, parallelism)
     found = dict(zip((i for group in groups for i in group), (x for metrics in done for x in metrics)))
     return [found[i] for i in range(len(maps))]
