@@ -114,7 +114,8 @@ def descend_all(
     names = list(features)
     text = F.concat_ws("|", *[F.col(c).cast("string") for c in (key or [*names, label])])
     columns = [F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate([*names, label])]
-    rows = df.select(*columns, text.alias("key")).dropna()
+    # every step goes over all rows, so they are dealt to all cores once: a table of numbers often lies in a few files
+    rows = df.select(*columns, text.alias("key")).dropna().repartition(df.sparkSession.sparkContext.defaultParallelism)
     longest: dict[tuple, int] = {}
     for setting in settings:
         longest[setting.run] = max(setting.iterations, longest.get(setting.run, 0))
