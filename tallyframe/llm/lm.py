@@ -42,6 +42,9 @@ from tallyframe.session import discard, shuffles_removed, staged
 STRENGTH = 1.0
 EXACT = 256
 BURN_IN, SAMPLES = 1, 2
+#: Bytes of text for each part of the model, and for each home of contexts; a task holds one part or one home.
+PART_BYTES, HOME_BYTES = 8 << 20, 32 << 20
+LEAST_PARTS = 12
 #: Shares of the documents that are scored one after the other: tokens of one share at a time are on disk.
 SHARES = 3
 
@@ -84,18 +87,23 @@ def unpack(data: bytes) -> np.ndarray:
     return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
 
 
-def part_bits(spark) -> int:
-    """Bits that name a part: four to eight parts per shuffle partition, which a task takes one by one."""
-    return (4 * int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()
+def part_count(texts: DataFrame) -> int:
+    """Parts that the bytes of the texts ask for, however the session deals its shuffles.
+
+    What parts and homes send each other is a row per part and home that share a context, so their numbers follow the texts.
+    """
+    size = texts.select(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(LEAST_PARTS, -(-size // PART_BYTES))
 
 
-def dealt(blocks: DataFrame, bits: int) -> DataFrame:
+def dealt(blocks: DataFrame, parts: int) -> DataFrame:
     """Rows by part, in as many tasks as there are parts: each then fetches and sorts little."""
-    return blocks.repartition(1 << bits, "part")
+    return blocks.repartition(parts, "part")
 
 
-def _parts_of(words: np.ndarray, bits: int) -> np.ndarray:
-    return (words >> U64(64 - bits)).astype(np.int64) if bits else np.zeros(len(words), np.int64)
+def _parts_of(words: np.ndarray, parts: int) -> np.ndarray:
+    """Equal ranges of the hashes."""
+    return ((words >> U64(32)) * U64(parts) >> U64(32)).astype(np.int64)
 
 
 def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -132,13 +140,13 @@ def _grouped(words: np.ndarray, contexts: np.ndarray, counts: np.ndarray | None
     return words[pairs][heads], np.diff(heads, append=len(pairs)), contexts[pairs], counts
 
 
-def _count(bits: int):
+def _count(n_parts: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrays.gathered(batches, 0):
             word, context, n = tokens(*arrays.text_buffer(batch.column(0)))
             learned = np.repeat(batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64), n)
             words, runs, contexts, counts = _grouped(word, context, learned)
-            parts = _parts_of(words, bits)
+            parts = _parts_of(words, n_parts)
             cuts = np.flatnonzero(np.diff(parts, prepend=-1, append=-2))
             at = np.concatenate([[0], np.cumsum(runs)])
             rows = [
@@ -226,7 +234,7 @@ def _spans(homes: np.ndarray) -> Iterator[tuple[int, int, int]]:
         yield h, int(ends[h] - homes[h]), int(ends[h])
 
 
-def _merge(home_bits: int):
+def _merge(n_homes: int):
     def merge(group: pa.Table) -> pa.Table:
         words, contexts, counts = [], [], []
         for row in group.to_pylist():
@@ -237,7 +245,7 @@ def _merge(home_bits: int):
         keys, places = np.unique(c, return_inverse=True)
         tables = np.minimum(n, 1)
         mine = Seating(w, runs, places, n, [tables], [np.minimum(arrays.text_sums(tables, runs), 1)], keys, [])
-        homes = np.bincount(_parts_of(keys, home_bits), minlength=1 << home_bits)
+        homes = np.bincount(_parts_of(keys, n_homes), minlength=n_homes)
         customers = mine.per_context(n)
         asked = [{"home": h, "keys": keys[a:b].tobytes(), "customers": pack(customers[a:b])} for h, a, b in _spans(homes)]
         return pa.table(
@@ -384,7 +392,7 @@ class Model:
 
     state: DataFrame
     samples: list[Totals]
-    bits: int
+    parts: int
 
 
 @dataclass(frozen=True)
@@ -393,19 +401,19 @@ class Parts:
 
     fixed: DataFrame
     routes: DataFrame
-    bits: int
-    home_bits: int
+    parts: int
+    homes: int
 
     def answers(self, moved: DataFrame, whole: bool) -> DataFrame:
         """Per part, the sums of its contexts over all parts, in pieces by the contexts' homes."""
         sent = moved.select("part", F.explode("sent").alias("s")).select("s.home", "part", "s.seats")
-        sent = sent.repartition(1 << self.home_bits, "home").groupBy("home")
+        sent = sent.repartition(self.homes, "home").groupBy("home")
         return self.routes.groupBy("home").cogroup(sent).applyInArrow(_answer(whole), _ANSWER)
 
     def stepped(self, moved: DataFrame, whole: bool, step, columns: list[str], schema: str) -> DataFrame:
         """``step`` on each part, what the last round changed in it, and the answers to that."""
         its = moved.select("part", "tables", "roots").unionByName(self.answers(moved, whole), allowMissingColumns=True)
-        return self.fixed.select("part", *columns).groupBy("part").cogroup(dealt(its, self.bits).groupBy("part")).applyInArrow(step, schema)
+        return self.fixed.select("part", *columns).groupBy("part").cogroup(dealt(its, self.parts).groupBy("part")).applyInArrow(step, schema)
 
 
 def fit(docs: DataFrame, learn: Column, text: str = "text", burn_in: int = BURN_IN, samples: int = SAMPLES) -> Model:
@@ -415,14 +423,14 @@ def fit(docs: DataFrame, learn: Column, text: str = "text", burn_in: int = BURN_
     """
     spark = docs.sparkSession
     arrays.bound_batches(spark)
-    bits = part_bits(spark)
-    home_bits = max(bits - 2, 0)
     slim = docs.select(F.col(text).alias("text"), F.coalesce(learn, F.lit(False)).alias("learn"))
-    counted = dealt(slim.mapInArrow(_count(bits), _COUNTED), bits).groupBy("part").applyInArrow(_merge(home_bits), f"{_FIXED}, {_ROUND}")
-    fixed = staged(counted, "seating", "part", 1 << bits)
+    parts = part_count(slim)
+    homes = -(-parts * PART_BYTES // HOME_BYTES)
+    counted = dealt(slim.mapInArrow(_count(parts), _COUNTED), parts).groupBy("part").applyInArrow(_merge(homes), f"{_FIXED}, {_ROUND}")
+    fixed = staged(counted, "seating", "part", parts)
     asked = fixed.select("part", F.explode("asked").alias("a")).select("a.home", "part", "a.keys", "a.customers")
-    routes = asked.repartition(1 << home_bits, "home").groupBy("home").applyInArrow(_route, _ROUTES)
-    model = Parts(fixed, staged(routes, "routes", "home", 1 << home_bits), bits, home_bits)
+    routes = asked.repartition(homes, "home").groupBy("home").applyInArrow(_route, _ROUTES)
+    model = Parts(fixed, staged(routes, "routes", "home", homes), parts, homes)
     moved, seen, rounds = fixed, [totals(fixed)], burn_in + samples
     for i in range(rounds):
         step = _sample(seen[-1], max(1, i - burn_in + 1), i, i == rounds - 1)
@@ -431,10 +439,10 @@ def fit(docs: DataFrame, learn: Column, text: str = "text", burn_in: int = BURN_
             discard(moved)
         moved = new
         seen.append(totals(moved))
-    state = staged(model.stepped(moved, True, _settle, ["words", "runs", "contexts", "counts", "asked"], _STATE), "model", "part", 1 << bits)
+    state = staged(model.stepped(moved, True, _settle, ["words", "runs", "contexts", "counts", "asked"], _STATE), "model", "part", parts)
     for table in {id(t): t for t in (moved, fixed, model.routes)}.values():
         discard(table)
-    return Model(state, seen[-samples:] if rounds else seen, bits)
+    return Model(state, seen[-samples:] if rounds else seen, parts)
 
 
 def _frequent(least: float):
@@ -453,7 +461,7 @@ def _place(n: int) -> str:
     return "<u2" if n <= 1 << 16 else "<u4"
 
 
-def _blocks(bits: int, hot: dict[int, int]):
+def _blocks(n_parts: int, hot: dict[int, int]):
     """Tokens by part; the row with ``docs`` describes the texts of the block."""
     hot_words = np.array(sorted(hot), U64)
     hot_copies = np.array([hot[int(w)] for w in hot_words], np.int64)
@@ -467,11 +475,11 @@ def _blocks(bits: int, hot: dict[int, int]):
             word, context, doc = word[order], context[order], doc[order]
             heads = np.flatnonzero(np.concatenate([[len(word) > 0], word[1:] != word[:-1]]))
             words, runs = word[heads], np.diff(heads, append=len(word))
-            parts = _parts_of(words, bits)
+            parts = _parts_of(words, n_parts)
             if len(hot_words):
                 at = np.minimum(np.searchsorted(hot_words, words), len(hot_words) - 1)
                 spread = np.flatnonzero(hot_words[at] == words)
-                parts[spread] = (parts[spread] + (task * 7919 + number) % hot_copies[at[spread]]) % (1 << bits)
+                parts[spread] = (parts[spread] + (task * 7919 + number) % hot_copies[at[spread]]) % n_parts
             by_part = np.argsort(parts, kind="stable")
             cuts = np.flatnonzero(np.diff(parts[by_part], prepend=-1, append=-2))
             block = (task << 24) + number
@@ -488,7 +496,7 @@ def _blocks(bits: int, hot: dict[int, int]):
                 )
             ids = batch.column(0)
             rows.append(
-                (block % (1 << bits), block, None, None, None, None, None, len(n),
+                (block % n_parts, block, None, None, None, None, None, len(n),
                  ids.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8").tobytes(),
                  (ids.is_null().to_numpy(zero_copy_only=False) + 2 * batch.column(1).to_numpy(zero_copy_only=False)).astype(np.uint8).tobytes(),
                  n.astype("<u4").tobytes())
@@ -505,7 +513,7 @@ _BLOCK_NAMES = [x.split()[0] for x in _BLOCK.split(", ")]
 _SUMS = "block long, n int, sums binary, ids binary, flags binary, sizes binary"
 
 
-def _copies(hot: dict[int, int], bits: int):
+def _copies(hot: dict[int, int], n_parts: int):
     """The seating of frequent words for the other parts that score them."""
 
     def copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -521,7 +529,7 @@ def _copies(hot: dict[int, int], bits: int):
                         [t[run] for t in mine.tables], [r[w : w + 1] for r in mine.roots], mine.keys[its], [x[its] for x in mine.seats],
                     )
                     for k in range(1, hot[int(mine.words[w])]):
-                        yield from one.row((row["part"] + k) % (1 << bits)).to_batches()
+                        yield from one.row((row["part"] + k) % n_parts).to_batches()
 
     return copies
 
@@ -628,21 +636,21 @@ def score(docs: DataFrame, model: Model, held: Column, text: str = "text") -> Da
 
     Written share by share, by a hash of the id, so the tokens of one share only are on disk at a time.
     """
-    parts = 1 << model.bits
+    parts = model.parts
     n = model.samples[-1].tokens
     least = max(n / parts / 2, 1)
     common = model.state.select("words", "runs", "counts").mapInArrow(_frequent(least), "word long, n long")
     # each has more than 1 / (2 parts) of all tokens, so there are fewer than 2 * parts
     hot = {r["word"] % (1 << 64): min(parts, int(r["n"] / least) + 1) for r in common.collect()}
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held"), F.col(text).alias("text"))
-    homes = [int(h) for h in np.unique(_parts_of(np.array(sorted(hot), U64), model.bits))]
-    copies = model.state.filter(F.col("part").isin(homes)).mapInArrow(_copies(hot, model.bits), _STATE)
+    homes = [int(h) for h in np.unique(_parts_of(np.array(sorted(hot), U64), parts))]
+    copies = model.state.filter(F.col("part").isin(homes)).mapInArrow(_copies(hot, parts), _STATE)
     copies = copies.select("part", F.struct(*copies.columns).alias("copy"))
     found = []
     for share in range(SHARES):
         some = slim.filter(F.pmod(F.xxhash64("doc_id"), F.lit(SHARES)) == share)
-        sent = some.mapInArrow(_blocks(model.bits, hot), _BLOCK).unionByName(copies, allowMissingColumns=True)
-        sums = dealt(sent, model.bits).groupBy("part").cogroup(model.state.groupBy("part")).applyInArrow(_score(model.samples), _SUMS)
+        sent = some.mapInArrow(_blocks(parts, hot), _BLOCK).unionByName(copies, allowMissingColumns=True)
+        sums = dealt(sent, parts).groupBy("part").cogroup(model.state.groupBy("part")).applyInArrow(_score(model.samples), _SUMS)
         found.append(staged(sums.groupBy("block").applyInArrow(_collect_block, _RESULT), "scores"))
     return reduce(DataFrame.unionAll, found).select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(int(n)).cast("long").alias("train_tokens"), "base_score", "score"

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyframe.llm import arrays
-from tallyframe.llm.lm import dealt, part_bits
+from tallyframe.llm.lm import dealt
 from tallyframe.session import keep, numbered, scratch, shuffles_removed, staged
 
 WORDS = 5
@@ -68,6 +68,11 @@ def class_sums(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.n
     return tuple(arrays.text_sums(arrays.mix(hashes, seed), counts).view(np.int64) for seed in (11, 12))
 
 
+def part_bits(spark) -> int:
+    """Bits that name a part: four to eight parts per shuffle partition, which a task takes one by one."""
+    return (4 * int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()
+
+
 @F.arrow_udf(_PROFILE)
 def profile(text: pa.Array) -> pa.Array:
     """Size, class and shingles per hash range (16 bits each; 65535 stands for any more)."""
@@ -120,7 +125,7 @@ def _count_part(group: pa.Table) -> pa.Table:
 def frequent_shingles(docs: DataFrame, text: str, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Keys of the most frequent shingles, ascending, and the level of each."""
     blocks = docs.select(text).mapInArrow(_count_blocks(bits), "part int, wide boolean, deltas binary")
-    counted = staged(dealt(blocks, bits).groupBy("part").applyInArrow(_count_part, "part int, level int, n long, keys binary"), "frequent")
+    counted = staged(dealt(blocks, 1 << bits).groupBy("part").applyInArrow(_count_part, "part int, level int, n long, keys binary"), "frequent")
     held, least = 0, 64
     for row in sorted(counted.groupBy("level").agg(F.sum("n").alias("n")).collect(), reverse=True):
         held += row["n"]
@@ -324,7 +329,7 @@ def _classes(docs: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
 
     shared = spark.sparkContext.broadcast(frequent_shingles(docs, text, bits))
     packed = docs.select(text).mapInArrow(_prefixes(shared, bits), "part int, hot boolean, token binary, class binary, n binary, place binary, weight binary")
-    postings = staged(dealt(packed, bits).groupBy("part").applyInArrow(_shared_only, _POSTING), "postings").distinct()
+    postings = staged(dealt(packed, 1 << bits).groupBy("part").applyInArrow(_shared_only, _POSTING), "postings").distinct()
 
     order = F.struct((-F.col("weight")).alias("first"), "class", "n", "place")
     hubs = postings.groupBy("token").agg(F.min(order).alias("hub"))
