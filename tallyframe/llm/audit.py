@@ -75,9 +75,12 @@ def possible_repeats(documents: DataFrame, filled: DataFrame, cells: int) -> Dat
 
 
 def _salted(rows: DataFrame, small: DataFrame, key: str, salt: Column, how: str) -> DataFrame:
-    """Join on ``key``, the rows of one key dealt over ``SALTS`` parts."""
+    """Join on ``key``, the rows of one key dealt over ``SALTS`` parts.
+
+    The copies are merged: Spark takes them for as small as the stored rows they are made from, and would build them in the driver.
+    """
     copies = small.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<long>")))
-    return rows.withColumn("salt", F.pmod(salt, F.lit(SALTS))).join(copies, [key, "salt"], how).drop("salt")
+    return rows.withColumn("salt", F.pmod(salt, F.lit(SALTS))).join(copies.hint("merge"), [key, "salt"], how).drop("salt")
 
 
 def masks(documents: DataFrame, hashing=text_hash) -> DataFrame:
@@ -106,7 +109,7 @@ def masks(documents: DataFrame, hashing=text_hash) -> DataFrame:
     shared = known.filter(F.col("texts") > 1).select("h")
     if shared.isEmpty():
         return sure
-    again = texts.join(shared, "h", "left_semi").join(firsts.select("h", "text", "first"), ["h", "text"])
+    again = texts.join(shared, "h", "left_semi").join(firsts.select("h", "text", "first").hint("merge"), ["h", "text"])
     unsure = again.withColumns({"mask": failing(F.col("text")), "documents": F.lit(1).cast("long")}).select(*out)
     return sure.unionByName(unsure)
 
